@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata, vectors
 from vecloom.functions import text as T
+from vecloom.operators.balance import spread
 from vecloom.operators.dedup import first_per_key, with_content_key
-from vecloom.operators.numbering import assign_ids, next_id, stage
+from vecloom.operators.numbering import assign_ids, next_id
 from vecloom.operators.topk import top_k
 from vecloom.plans import documents as docs_plan
 from vecloom.plans.ingest import IngestOptions, ingest_corpus, limit_cut, whole_text_options
 from vecloom.plans.search import search
 from vecloom.plans.stats import skip_stats, store_counts
 from vecloom.plans.vectors import add_vectors, dim_violations
-from vecloom.session import new_folder
+from vecloom.session import new_folder, ship_package
 from vecloom.sources.census import census, table_name
 from vecloom.sources.corpus import in_band, read_corpus
 from vecloom.sources.files import list_files, unprocessed
@@ -35,15 +36,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _band(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _band(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """doc_id and stripped text of the documents inside the length band."""
-    stripped = _table(spark, sf_dir, "documents").select("doc_id", T.strip(F.col("text")).alias("text"))
+    scan = _table(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
+    stripped = (spread(scan) if spread_out else scan).select("doc_id", T.strip(F.col("text")).alias("text"))
     return in_band(stripped, C.MIN_CHARS, C.MAX_CHARS)
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = chunks.windows(F.col("text"), max_length=C.MAX_CHARS)
-    exploded = _band(spark, sf_dir).select("doc_id", F.posexplode(parts).alias("chunk_index", "chunk"))
+    exploded = _band(spark, sf_dir, spread_out=True).select("doc_id", F.posexplode(parts).alias("chunk_index", "chunk"))
     return exploded.where(F.length("chunk") >= C.MIN_CHARS)
 
 
@@ -63,6 +65,10 @@ def _markdown() -> Column:
     )
 
 
+def _markdown_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+
+
 def _new_store(spark: SparkSession, label: str, **options) -> VectorStore:
     return open_store(spark, new_folder(spark, label), **options)
 
@@ -110,12 +116,12 @@ def corpus_limit(spark, sf_dir):
 
 def clean_markdown(spark, sf_dir):
     cleaned = T.clean_markdown(_markdown())
-    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(cleaned).alias("clean_md5"))
+    return _markdown_input(spark, sf_dir).select("doc_id", F.md5(cleaned).alias("clean_md5"))
 
 
 def markdown_title(spark, sf_dir):
     title = T.markdown_title(T.clean_markdown(_markdown()))
-    return _table(spark, sf_dir, "documents").select("doc_id", title.alias("title"))
+    return _markdown_input(spark, sf_dir).select("doc_id", title.alias("title"))
 
 
 def snippets(spark, sf_dir):
@@ -146,7 +152,7 @@ def chunk_documents(spark, sf_dir):
 
 
 def chunk_offsets(spark, sf_dir):
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     cut = docs_plan.document_chunks(documents, C.DOCUMENT_CHUNK_SIZE, C.DOCUMENT_CHUNK_OVERLAP)
     return cut.select("doc_id", "chunk_index", "char_start", "char_end", F.sha1("chunk").alias("sha1"), "total_chunks")
 
@@ -180,7 +186,7 @@ def encode_chunks(spark, sf_dir):
 
 
 def encode_texts(spark, sf_dir):
-    return _encoded(_band(spark, sf_dir), "text").select("doc_id", *_vector_facts())
+    return _encoded(_band(spark, sf_dir, spread_out=True), "text").select("doc_id", *_vector_facts())
 
 
 def normalize(spark, sf_dir):
@@ -367,49 +373,56 @@ def stream_dedup(spark, sf_dir):
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    return search_batch(spark, SMOKE_DIR)
+    return search_batch(ship_package(spark), SMOKE_DIR)
+
+
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(ship_package(spark), sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "corpus_filter": corpus_filter,
-        "strip_text": strip_text,
-        "default_url": default_url,
-        "skip_stats": skipped,
-        "corpus_limit": corpus_limit,
-        "pick_columns": pick_columns,
-        "unprocessed_files": unprocessed_files,
-        "chunk_documents": chunk_documents,
-        "chunk_offsets": chunk_offsets,
-        "dedup_documents": dedup_documents,
-        "documents_registry": documents_registry,
-        "clean_markdown": clean_markdown,
-        "markdown_title": markdown_title,
-        "markdown_status": markdown_status,
-        "valid_url": valid_url,
-        "normalize": normalize,
-        "encode_chunks": encode_chunks,
-        "encode_texts": encode_texts,
-        "assign_ids": assigned_ids,
-        "next_id": following_id,
-        "bulk_add": bulk_add,
-        "append_vectors": append_vectors,
-        "meta_merge": meta_merge,
-        "jsonl_meta": jsonl_meta,
-        "store_stats": store_statistics,
-        "dim_violations": wrong_dimensions,
-        "search_topk": search_topk,
-        "search_batch": search_batch,
-        "search_text": search_text,
-        "search_filtered": search_filtered,
-        "search_prefiltered": search_prefiltered,
-        "snippets": snippets,
-        "upsert_status": upsert_status,
-        "ingest_corpus": ingest_folder,
-        "ingest_whole": ingest_whole,
-        "stream_ingest": stream_ingest,
-        "stream_dedup": stream_dedup,
-    }
+    return {name: _ready(query) for name, query in _QUERIES.items()}
+
+
+_QUERIES = {
+    "corpus_filter": corpus_filter,
+    "strip_text": strip_text,
+    "default_url": default_url,
+    "skip_stats": skipped,
+    "corpus_limit": corpus_limit,
+    "pick_columns": pick_columns,
+    "unprocessed_files": unprocessed_files,
+    "chunk_documents": chunk_documents,
+    "chunk_offsets": chunk_offsets,
+    "dedup_documents": dedup_documents,
+    "documents_registry": documents_registry,
+    "clean_markdown": clean_markdown,
+    "markdown_title": markdown_title,
+    "markdown_status": markdown_status,
+    "valid_url": valid_url,
+    "normalize": normalize,
+    "encode_chunks": encode_chunks,
+    "encode_texts": encode_texts,
+    "assign_ids": assigned_ids,
+    "next_id": following_id,
+    "bulk_add": bulk_add,
+    "append_vectors": append_vectors,
+    "meta_merge": meta_merge,
+    "jsonl_meta": jsonl_meta,
+    "store_stats": store_statistics,
+    "dim_violations": wrong_dimensions,
+    "search_topk": search_topk,
+    "search_batch": search_batch,
+    "search_text": search_text,
+    "search_filtered": search_filtered,
+    "search_prefiltered": search_prefiltered,
+    "snippets": snippets,
+    "upsert_status": upsert_status,
+    "ingest_corpus": ingest_folder,
+    "ingest_whole": ingest_whole,
+    "stream_ingest": stream_ingest,
+    "stream_dedup": stream_dedup,
+}
 
 
 # ---- oracle ----

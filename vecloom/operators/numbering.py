@@ -7,6 +7,7 @@ segment summary - one row per staged file and group - is aggregated, ordered and
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,14 @@ from vecloom.session import new_folder
 
 # Above this many segments their offsets are computed and joined without the driver and without a broadcast.
 MAX_LOCAL_SEGMENTS = 200_000
-ROWS_PER_STAGED_FILE = 100_000
+ROWS_PER_STAGED_FILE = 25_000
+
+
+@dataclass
+class Numbered:
+    rows: DataFrame
+    total: int
+    sums: dict[str, int]
 
 
 def stage(df: DataFrame, label: str, rows_per_file: int = ROWS_PER_STAGED_FILE) -> str:
@@ -34,12 +42,6 @@ def staged_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def segment_summary(rows: DataFrame, within: Sequence[str], order_by: Column, *extra: Column) -> DataFrame:
-    return rows.groupBy("_part", *within).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first_pos"), F.min(order_by).alias("_key"), *extra
-    )
-
-
 def _offsets_local(spark: SparkSession, summary: pa.Table, start: int) -> DataFrame:
     counts = summary["_n"].to_numpy().astype(np.int64)
     base = start + np.cumsum(counts) - counts - summary["_first_pos"].to_numpy()
@@ -61,20 +63,37 @@ def _offsets_distributed(summary: DataFrame, within: Sequence[str], start: int)
 
 
 def number_staged(
-    rows: DataFrame, start: int, *, id_column: str = "vec_id", within: Sequence[str] = (), order_by: Column | None = None
-) -> DataFrame:
-    """Give the rows of :func:`staged_rows` the ids start, start+1, ... in ``order_by`` order of their segments."""
+    rows: DataFrame,
+    start: int,
+    *,
+    id_column: str = "vec_id",
+    within: Sequence[str] = (),
+    order_by: Column | None = None,
+    sums: dict[str, Column] | None = None,
+) -> Numbered:
+    """Give the rows of :func:`staged_rows` the ids start, start+1, ... in ``order_by`` order of their segments.
+
+    ``sums`` are integer expressions summed over all rows in the same pass.
+    """
     spark = rows.sparkSession
     if order_by is None:
         order_by = F.struct(F.length("_part"), F.col("_part"))
-    summary = segment_summary(rows, within, order_by)
-    ordered = summary.orderBy("_key").select("_part", *within, "_first_pos", "_n")
+    names = list(sums or {})
+    summary = rows.groupBy("_part", *within).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_pos").alias("_first_pos"),
+        F.min(order_by).alias("_key"),
+        *[F.sum(expression).cast("bigint").alias(name) for name, expression in (sums or {}).items()],
+    )
+    ordered = summary.orderBy("_key").select("_part", *within, "_first_pos", "_n", *names)
     local = ordered.limit(MAX_LOCAL_SEGMENTS + 1).toArrow()
     if local.num_rows <= MAX_LOCAL_SEGMENTS:
-        offsets = _offsets_local(spark, local, start)
+        totals = {name: sum(local[name].to_pylist()) for name in ["_n", *names]}
+        offsets = _offsets_local(spark, local.drop_columns(names), start)
     else:
-        offsets = _offsets_distributed(summary, within, start)
-    return with_ids(rows, offsets, within, id_column)
+        totals = summary.agg(*[F.sum(name).alias(name) for name in ["_n", *names]]).first().asDict()
+        offsets = _offsets_distributed(summary.drop(*names), within, start)
+    return Numbered(with_ids(rows, offsets, within, id_column), totals.pop("_n"), totals)
 
 
 def with_ids(rows: DataFrame, offsets: DataFrame, within: Sequence[str], id_column: str = "vec_id") -> DataFrame:
@@ -93,7 +112,8 @@ def assign_ids(
     if order_by:
         ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
         df = ranged.sortWithinPartitions(*order_by)
-    return number_staged(staged_rows(df.sparkSession, stage(df, "numbered")), start, id_column=id_column)
+    staged = staged_rows(df.sparkSession, stage(df, "numbered"))
+    return number_staged(staged, start, id_column=id_column).rows
 
 
 def next_id(df: DataFrame, id_column: str = "vec_id") -> DataFrame:

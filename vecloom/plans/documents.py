@@ -23,7 +23,7 @@ _OPTIONAL = ["url", "title", "doc_type", "external_id"]
 
 @dataclass
 class UpsertReport:
-    status: DataFrame  # seq, doc_ref, status, total_chunks, first_id - one row per input row
+    status: DataFrame | None  # seq, doc_ref, status, total_chunks, first_id - one row per input row
     documents: int
     added: int
     seconds: dict[str, float]
@@ -87,41 +87,45 @@ def upsert_documents(
     encoder,
     chunk_size: int = C.DOCUMENT_CHUNK_SIZE,
     overlap: int = C.DOCUMENT_CHUNK_OVERLAP,
+    with_status: bool = True,
 ) -> UpsertReport:
     """Add the documents of ``df`` that the store does not have.
 
     ``df`` needs ``seq``, an orderable column unique per row that decides which copy comes first, and ``text``;
     ``url, title, doc_type, external_id`` are optional. Ids are contiguous and the chunks of a document are
-    consecutive. Registry and chunks become visible together.
+    consecutive. Registry and chunks become visible together. Without ``with_status`` no status rows are kept.
     """
     store.check_dim(encoder.dim)
     spark = store.spark
     began = time.monotonic()
     docs = document_rows(df)
     fresh = new_documents(docs, store.documents())
-    text = F.col("text")
     cut = document_chunks(fresh, chunk_size, overlap)
-    full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), text)
+    full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
     folder = numbering.stage(cut.withColumn("full_text", full_text).drop("text"), "documents")
-    numbered = numbering.number_staged(numbering.staged_rows(spark, folder), store.head.next_id)
+    is_first = F.col("chunk_index") == 0
+    result = numbering.number_staged(
+        numbering.staged_rows(spark, folder), store.head.next_id, sums={"documents": is_first.cast("int")}
+    )
+    numbered = result.rows
     chunked = time.monotonic()
 
     store.write("items", document_items(numbered, encoder))
     encoded = time.monotonic()
-    first = numbered.where(F.col("chunk_index") == 0)
+    first = numbered.where(is_first)
     store.write("documents", registry_rows(first))
-    winners_folder = numbering.stage(
-        first.select("seq", "total_chunks", F.col("vec_id").alias("first_id")), "winners"
-    )
-    winners = spark.read.parquet(winners_folder)
-    totals = winners.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("total_chunks"), F.lit(0)).alias("n")).first()
-    store.commit(added=totals.n, dim=encoder.dim if totals.n else None, model_name=encoder.name)
+    winners_folder = None
+    if with_status:
+        winners_folder = numbering.stage(first.select("seq", "total_chunks", F.col("vec_id").alias("first_id")), "winners")
+    added = result.total
+    store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
     discard(spark, folder)
     ended = time.monotonic()
     seconds = {
         "chunk": chunked - began, "encode": encoded - chunked, "add": ended - encoded, "total": ended - began,
     }
-    return UpsertReport(upsert_status(docs, winners), totals.documents, totals.n, seconds)
+    status = upsert_status(docs, spark.read.parquet(winners_folder)) if winners_folder else None
+    return UpsertReport(status, result.sums["documents"], added, seconds)
 
 
 def upsert_status(docs: DataFrame, winners: DataFrame) -> DataFrame:

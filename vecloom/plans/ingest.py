@@ -19,6 +19,7 @@ from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
+from vecloom.operators.balance import spread_in_order
 from vecloom.session import discard
 from vecloom.sources import files as file_source
 from vecloom.sources.census import census
@@ -26,7 +27,7 @@ from vecloom.sources.corpus import in_band, read_corpus
 from vecloom.store import VectorStore
 
 FILES_PER_SLICE = 20_000
-BYTES_PER_SLICE = 4 * 1024**4
+BYTES_PER_SLICE = 1024**4
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,9 @@ def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: Ingest
     touched, cut = readable, None
     if options.limit is not None:
         touched, cut = limit_cut(spark, readable, options.limit - report.rows_sent, options)
-    folder = numbering.stage(chunk_rows(read_corpus(spark, touched), cut, options), "chunks")
+    corpus = read_corpus(spark, touched)
+    corpus = spread_in_order(corpus, sum(f.length for f in touched), "file_uri", "row_index")
+    folder = numbering.stage(chunk_rows(corpus, cut, options), "chunks")
     rows = numbering.staged_rows(spark, folder)
     segments = _segments(rows)
     ledger = _file_ledger(files, segments, {f.file_uri for f in touched}, cut)

@@ -74,11 +74,10 @@ def add_vectors(
         clean = numbering.stage(staged.where("NOT _bad").drop("_part", "_pos"), "vectors")
         discard(spark, folder)
         folder, staged = clean, numbering.staged_rows(spark, clean)
-    added = staged.count()
     first_id = store.head.next_id
-    columns = [c for c in staged.columns if c != "text" or keep_text]
-    numbered = numbering.number_staged(staged.select(*columns).drop("_bad"), first_id)
-    store.write("items", vector_items(numbered, doc_type))
+    result = numbering.number_staged(staged.drop("_bad", *([] if keep_text else ["text"])), first_id)
+    added = result.total
+    store.write("items", vector_items(result.rows, doc_type))
     store.commit(added=added, dim=dim)
     discard(spark, folder)
     return {"added": added, "rejected": rejected, "first_id": first_id, "dim": dim}

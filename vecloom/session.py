@@ -1,11 +1,14 @@
 """Session settings and the shared folder that holds staged tables."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(app_name: str = "vecloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,7 +25,18 @@ def build_session(app_name: str = "vecloom", master: str | None = None, **conf:
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers of the application, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = f"{tempfile.mkdtemp(prefix='vecloom-')}/{package.name}"
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _SHIPPED.add(app)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,9 +64,14 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def has_files(spark: SparkSession, pattern: str) -> bool:
+    fs, target = _hadoop_path(spark, pattern)
+    return bool(fs.globStatus(target))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop_path(spark, path)
-    return fs.exists(target)
+    fs.mkdirs(target)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

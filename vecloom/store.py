@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vecloom import schemas
-from vecloom.session import path_exists, remove_folder
+from vecloom.session import has_files, make_folder, remove_folder, ship_package
 
 _TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED}
 
@@ -31,15 +31,18 @@ class Head:
 
 class VectorStore:
     def __init__(self, spark: SparkSession, root: str, model_name: str | None = None, keep_full_text: bool = False):
-        self.spark, self.root, self.keep_full_text = spark, root.rstrip("/"), keep_full_text
+        self.spark, self.root, self.keep_full_text = ship_package(spark), root.rstrip("/"), keep_full_text
         self._model_name = model_name
         self._written: set[str] = set()
-        if not path_exists(spark, f"{self.root}/info/version=0"):
-            for name, schema in _TABLES.items():
-                self._write(name, spark.createDataFrame([], schema), 0)
-            self._write_info(0, model_name, None, 1)
+        if not self._committed(0):
+            for name in _TABLES:
+                make_folder(spark, f"{self.root}/{name}")
+            self._write_info(Head(0, model_name, None, 1))
         self.head = self._load_head()
 
+    def _committed(self, version: int) -> bool:
+        return has_files(self.spark, f"{self.root}/info/version={version}/*.parquet")
+
     # ---- reading ----
     def _load_head(self) -> Head:
         row = self._read("info", schemas.INFO, "version").orderBy(F.desc("version")).first()
@@ -99,41 +102,42 @@ class VectorStore:
         if self.head.dim is not None and self.head.dim != dim:
             raise ValueError(f"index dimension mismatch: existing={self.head.dim}, incoming={dim}")
 
-    def _write(self, name: str, rows: DataFrame, batch: int) -> None:
-        schema = _TABLES[name]
+    def write(self, name: str, rows: DataFrame) -> None:
+        """Write this run's rows of a table; invisible until :meth:`commit`. Columns not given become null."""
+        given = set(rows.columns)
         shaped = rows.select(
             *[
-                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in schema.fields
+                (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in _TABLES[name].fields
             ]
         )
-        shaped.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
-
-    def write(self, name: str, rows: DataFrame) -> None:
-        """Write this run's rows of a table; invisible until :meth:`commit`."""
-        self._write(name, rows, self.next_batch)
+        shaped.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={self.next_batch}")
         self._written.add(name)
 
     def written(self, name: str) -> DataFrame:
         """Rows this run has written and not yet committed."""
         return self.spark.read.schema(_TABLES[name]).parquet(f"{self.root}/{name}/batch={self.next_batch}")
 
-    def _write_info(self, version: int, model_name: str | None, dim: int | None, next_id: int) -> None:
-        row = self.spark.createDataFrame([(model_name, dim, next_id, None)], schemas.INFO)
-        stamped = row.withColumn("created_or_updated_at", F.current_timestamp()).coalesce(1)
-        stamped.write.mode("overwrite").parquet(f"{self.root}/info/version={version}")
+    def _write_info(self, head: Head) -> None:
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(head.model_name).cast("string").alias("model_name"),
+            F.lit(head.dim).cast("int").alias("dim"),
+            F.lit(head.next_id).cast("bigint").alias("next_id"),
+            F.current_timestamp().alias("created_or_updated_at"),
+        )
+        row.write.mode("overwrite").parquet(f"{self.root}/info/version={head.version}")
 
     def commit(self, *, added: int = 0, dim: int | None = None, model_name: str | None = None) -> None:
         """Make the written batch visible."""
-        if self._load_head().version != self.head.version:
+        if self._committed(self.next_batch):
             raise RuntimeError("another writer has committed to this store; open it again")
         for name in _TABLES.keys() - self._written:  # what a died run may have left under this batch number
             remove_folder(self.spark, f"{self.root}/{name}/batch={self.next_batch}")
-        dim = self.head.dim if self.head.dim is not None else dim
-        model_name = model_name or self.head.model_name
-        self._write_info(self.next_batch, model_name, dim, self.head.next_id + added)
-        self.head = Head(self.next_batch, model_name, dim, self.head.next_id + added)
-        self._written = set()
+        old = self.head
+        dim = old.dim if old.dim is not None else dim
+        head = Head(self.next_batch, model_name or old.model_name, dim, old.next_id + added)
+        self._write_info(head)
+        self.head, self._written = head, set()
 
 
 def open_store(

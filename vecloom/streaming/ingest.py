@@ -59,7 +59,7 @@ def stream_documents(
     registry, so the stream keeps no growing state."""
 
     def handle(rows: DataFrame, _batch: int) -> None:
-        report = upsert_documents(store.refresh(), rows, encoder, **options)
+        report = upsert_documents(store.refresh(), rows, encoder, with_status=False, **options)
         if reports is not None:
             reports.append(report)
 
