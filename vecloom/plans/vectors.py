@@ -60,22 +60,22 @@ def add_vectors(
         if first is None:
             return {"added": 0, "rejected": 0, "first_id": None, "dim": None}
         dim = first[0]
-    # One staged copy; the shuffle of order_by moves it once, and rejects are counted from its row lengths.
+    marked = usable.withColumn("_bad", vectors.wrong_dimension(F.col("embedding"), dim))
     if order_by:
-        usable = usable.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    bad_last = usable.withColumn("_bad", vectors.wrong_dimension(F.col("embedding"), dim))
-    folder = numbering.stage(bad_last, "vectors")
+        marked = marked.repartitionByRange(*order_by)
+    # Rows to be left out go last in their partition: kept rows are numbered by their place in the staged file.
+    inside = [*(["_bad"] if on_mismatch == "reject" else []), *order_by]
+    if inside:
+        marked = marked.sortWithinPartitions(*inside)
+    folder = numbering.stage(marked, "vectors")
     staged = numbering.staged_rows(spark, folder)
     rejected = staged.where("_bad").count()
     if rejected and on_mismatch == "raise":
         discard(spark, folder)
         raise ValueError(f"index dimension mismatch: existing={dim}, incoming rows of another length={rejected}")
-    if rejected:
-        clean = numbering.stage(staged.where("NOT _bad").drop("_part", "_pos"), "vectors")
-        discard(spark, folder)
-        folder, staged = clean, numbering.staged_rows(spark, clean)
     first_id = store.head.next_id
-    result = numbering.number_staged(staged.drop("_bad", *([] if keep_text else ["text"])), first_id)
+    kept = staged.where("NOT _bad").drop("_bad", *([] if keep_text else ["text"]))
+    result = numbering.number_staged(kept, first_id)
     added = result.total
     store.write("items", vector_items(result.rows, doc_type))
     store.commit(added=added, dim=dim)
