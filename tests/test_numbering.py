@@ -24,8 +24,8 @@ def test_ids_without_order_are_contiguous(spark, shuffled):
 
 
 def test_small_files_and_the_distributed_path_agree(spark, shuffled, monkeypatch):
-    folder = numbering.stage(shuffled.repartitionByRange(4, "k").sortWithinPartitions("k"), "t", rows_per_file=70)
-    rows = numbering.staged_rows(spark, folder)
+    staged = numbering.stage(shuffled.repartitionByRange(4, "k").sortWithinPartitions("k"), "t", rows_per_file=70)
+    rows = staged.positioned()
     local = numbering.number_staged(rows, 1, sums={"half": (F.col("k") < 2500).cast("int")})
     assert check_order(local.rows, 1) == list(range(5000))
     assert (local.total, local.sums) == (5000, {"half": 2500})

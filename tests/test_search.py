@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from vecloom.plans.documents import upsert_documents
-from vecloom.plans.search import rendered, search, search_one
+from vecloom.plans.search import id_ranges, rendered, search, search_one
 from vecloom.plans.vectors import add_vectors
 
 
@@ -85,6 +86,29 @@ def test_empty_store_gives_nothing(spark, store, encoder):
     assert search_one(store, text=" ", encoder=encoder).count() == 0
 
 
+def test_batches_without_hits_are_pruned(spark, filled):
+    far = spark.createDataFrame([(i, [0.0, 0.0, 1.0]) for i in range(9)], "k int, embedding array<float>")
+    for _ in range(3):
+        add_vectors(filled, far)
+    assert filled.batch_starts() == ([1, 13, 22, 31], [1, 2, 3, 4])
+    hits = search(filled, asked(spark, [1.0, 0.0, 0.0]), 2)
+    assert sorted(r.vec_id for r in hits.collect()) == [1, 2]
+    last = search(filled, asked(spark, [0.0, 0.0, 1.0]), 40)
+    assert {r.vec_id for r in last.collect()} >= set(range(13, 40))
+    plan = hits._jdf.queryExecution().toString()
+    assert "batch" in plan and "PartitionFilters" in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "external_id" in line)
+    assert "GreaterThanOrEqual(vec_id,1)" in scan and "LessThanOrEqual(vec_id,2)" in scan
+
+
+def test_id_ranges_cover_all_ids():
+    ids = np.array([5, 1, 2, 3, 100, 101, 5000, 7, 7])
+    assert id_ranges(ids, 3) == [(1, 7), (100, 101), (5000, 5000)]
+    assert id_ranges(ids, 1) == [(1, 5000)]
+    assert id_ranges(ids, 100) == [(1, 3), (5, 5), (7, 7), (100, 101), (5000, 5000)]
+    assert id_ranges(np.array([9])) == [(9, 9)]
+
+
 def test_hits_are_broadcast_to_the_metadata(spark, filled):
     plan = search(filled, asked(spark, [1.0, 0.0, 0.0]), 2)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "NestedLoop" not in plan

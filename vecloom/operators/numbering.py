@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from vecloom.session import new_folder
+from vecloom.session import discard, new_folder
 
 # Above this many segments their offsets are computed and joined without the driver and without a broadcast.
 MAX_LOCAL_SEGMENTS = 200_000
@@ -28,18 +29,31 @@ class Numbered:
     sums: dict[str, int]
 
 
-def stage(df: DataFrame, label: str, rows_per_file: int = ROWS_PER_STAGED_FILE) -> str:
+@dataclass(frozen=True)
+class Staged:
+    """A table written to the shared folder. Keeping its schema saves a job per read."""
+
+    spark: SparkSession
+    folder: str
+    schema: StructType
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.folder)
+
+    def positioned(self) -> DataFrame:
+        """The rows with ``_part`` (the staged file) and ``_pos`` (the row's place in it)."""
+        file, place = F.col("_metadata.file_name").alias("_part"), F.col("_metadata.row_index").alias("_pos")
+        return self.read().select("*", file, place)
+
+    def discard(self) -> None:
+        discard(self.spark, self.folder)
+
+
+def stage(df: DataFrame, label: str, rows_per_file: int = ROWS_PER_STAGED_FILE) -> Staged:
     """Write ``df`` to a fresh shared folder, keeping partition order inside the files."""
     folder = new_folder(df.sparkSession, label)
     df.write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
-    return folder
-
-
-def staged_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Staged rows with ``_part`` (the staged file) and ``_pos`` (the row's place in it)."""
-    return spark.read.parquet(folder).select(
-        "*", F.col("_metadata.file_name").alias("_part"), F.col("_metadata.row_index").alias("_pos")
-    )
+    return Staged(df.sparkSession, folder, df.schema)
 
 
 def _offsets_local(spark: SparkSession, summary: pa.Table, start: int) -> DataFrame:
@@ -51,9 +65,8 @@ def _offsets_local(spark: SparkSession, summary: pa.Table, start: int) -> DataFr
 
 def _offsets_distributed(summary: DataFrame, within: Sequence[str], start: int) -> DataFrame:
     """The same running sum in two levels: within range slots, and over the slots."""
-    spark = summary.sparkSession
     slotted = summary.repartitionByRange("_key").withColumn("_slot", F.spark_partition_id())
-    slots = spark.read.parquet(stage(slotted, "segments"))  # freezes the sampled range bounds
+    slots = stage(slotted, "segments").read()  # freezes the sampled range bounds
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)  # one row per range slot
     slot_start = slots.groupBy("_slot").agg(F.sum("_n").alias("_total"))
     slot_start = slot_start.select("_slot", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_slot_start"))
@@ -71,7 +84,7 @@ def number_staged(
     order_by: Column | None = None,
     sums: dict[str, Column] | None = None,
 ) -> Numbered:
-    """Give the rows of :func:`staged_rows` the ids start, start+1, ... in ``order_by`` order of their segments.
+    """Give the rows of :meth:`Staged.positioned` the ids start, start+1, ... in ``order_by`` order of their segments.
 
     ``sums`` are integer expressions summed over all rows in the same pass.
     """
@@ -112,8 +125,7 @@ def assign_ids(
     if order_by:
         ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
         df = ranged.sortWithinPartitions(*order_by)
-    staged = staged_rows(df.sparkSession, stage(df, "numbered"))
-    return number_staged(staged, start, id_column=id_column).rows
+    return number_staged(stage(df, "numbered").positioned(), start, id_column=id_column).rows
 
 
 def next_id(df: DataFrame, id_column: str = "vec_id") -> DataFrame:

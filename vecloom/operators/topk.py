@@ -35,28 +35,36 @@ class Hits:
 
 
 class LocalTopK:
-    """Running top k of one partition for all queries of a block."""
+    """Running top k of one partition for all queries of a block.
+
+    All pairs are scored in single precision, whose error on unit vectors is bounded by the dimension; pairs that
+    may still belong to the top k are scored again in double precision, and only those scores are compared.
+    """
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
+        self.narrow = queries.astype(np.float32)
         self.scores = np.full((len(queries), k), -np.inf)
         self.ids = np.full((len(queries), k), _NO_ID)
+        # Twice the rounding error of a float32 product of unit vectors.
+        self.rounding = 2 * (queries.shape[1] + 2) * np.finfo(np.float32).eps
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         tile = max(1, SCORE_CELLS // len(self.queries))
         for low in range(0, len(ids), tile):
-            self._add_tile(ids[low : low + tile], vectors[low : low + tile].astype(np.float64))
+            self._add_tile(ids[low : low + tile], vectors[low : low + tile])
 
     def _add_tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        cells = self.queries @ vectors.T
+        cells = self.narrow @ vectors.T
         floor = self.scores[:, -1]
         if len(ids) > self.k and np.isneginf(floor).any():
             cut = len(ids) - self.k
             floor = np.maximum(floor, np.partition(cells, cut, axis=1)[:, cut])
-        # Rounding moves a score by less than one unit of the last digit, so no winner is left out here.
-        owner, column = np.nonzero(cells >= (floor - 10.0**-SCORE_DIGITS)[:, None])
+        longest = np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max())
+        margin = self.rounding * max(1.0, longest) + 10.0**-SCORE_DIGITS
+        owner, column = np.nonzero(cells >= (floor - margin).astype(np.float32)[:, None])
+        fresh = np.round(self._exact(owner, column, vectors, cells.size), SCORE_DIGITS)
         n_queries = len(self.queries)
-        fresh = np.round(cells[owner, column], SCORE_DIGITS)
         owner = np.concatenate((np.repeat(np.arange(n_queries), self.k), owner))
         scores = np.concatenate((self.scores.ravel(), fresh))
         found = np.concatenate((self.ids.ravel(), ids[column]))
@@ -65,6 +73,17 @@ class LocalTopK:
         best = order[starts[:, None] + np.arange(self.k)]
         self.scores, self.ids = scores[best], found[best]
 
+    def _exact(self, owner: np.ndarray, column: np.ndarray, vectors: np.ndarray, n_cells: int) -> np.ndarray:
+        """Double precision scores of some pairs. When many pairs tie, one full product is cheaper than many dots."""
+        if len(owner) * 16 > n_cells:
+            return (self.queries @ vectors.T.astype(np.float64))[owner, column]
+        out = np.empty(len(owner))
+        step = max(1, SCORE_CELLS // vectors.shape[1])
+        for low in range(0, len(owner), step):
+            part = slice(low, low + step)
+            out[part] = np.einsum("ij,ij->i", self.queries[owner[part]], vectors[column[part]].astype(np.float64))
+        return out
+
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owner, place = np.nonzero(self.ids != _NO_ID)
         return owner, self.ids[owner, place], self.scores[owner, place]

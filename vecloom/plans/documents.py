@@ -15,7 +15,6 @@ from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
 from vecloom.operators.dedup import first_per_key, not_known, with_content_key
-from vecloom.session import discard
 from vecloom.store import VectorStore
 
 _OPTIONAL = ["url", "title", "doc_type", "external_id"]
@@ -96,16 +95,15 @@ def upsert_documents(
     consecutive. Registry and chunks become visible together. Without ``with_status`` no status rows are kept.
     """
     store.check_dim(encoder.dim)
-    spark = store.spark
     began = time.monotonic()
     docs = document_rows(df)
     fresh = new_documents(docs, store.documents())
     cut = document_chunks(fresh, chunk_size, overlap)
     full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
-    folder = numbering.stage(cut.withColumn("full_text", full_text).drop("text"), "documents")
+    staged = numbering.stage(cut.withColumn("full_text", full_text).drop("text"), "documents")
     is_first = F.col("chunk_index") == 0
     result = numbering.number_staged(
-        numbering.staged_rows(spark, folder), store.head.next_id, sums={"documents": is_first.cast("int")}
+        staged.positioned(), store.head.next_id, sums={"documents": is_first.cast("int")}
     )
     numbered = result.rows
     chunked = time.monotonic()
@@ -114,17 +112,17 @@ def upsert_documents(
     encoded = time.monotonic()
     first = numbered.where(is_first)
     store.write("documents", registry_rows(first))
-    winners_folder = None
+    status = None
     if with_status:
-        winners_folder = numbering.stage(first.select("seq", "total_chunks", F.col("vec_id").alias("first_id")), "winners")
+        winners = numbering.stage(first.select("seq", "total_chunks", F.col("vec_id").alias("first_id")), "winners")
+        status = upsert_status(docs, winners.read())
     added = result.total
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
-    discard(spark, folder)
+    staged.discard()
     ended = time.monotonic()
     seconds = {
         "chunk": chunked - began, "encode": encoded - chunked, "add": ended - encoded, "total": ended - began,
     }
-    status = upsert_status(docs, spark.read.parquet(winners_folder)) if winners_folder else None
     return UpsertReport(status, result.sums["documents"], added, seconds)
 
 

@@ -20,7 +20,6 @@ from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
 from vecloom.operators.balance import spread_in_order
-from vecloom.session import discard
 from vecloom.sources import files as file_source
 from vecloom.sources.census import census
 from vecloom.sources.corpus import in_band, read_corpus
@@ -76,32 +75,32 @@ def ingest_corpus(
 
 def ingest_files(store: VectorStore, files: DataFrame, encoder, options: IngestOptions = IngestOptions()) -> IngestReport:
     store.check_dim(encoder.dim)
-    spark = store.spark
-    folder = numbering.stage(census(file_source.unprocessed(files, store.processed())), "census")
-    facts = spark.read.parquet(folder)
+    facts = numbering.stage(census(file_source.unprocessed(files, store.processed())), "census")
     report = IngestReport()
     last = ""
     # A limited run starts with few files and widens, as it may need only the first ones.
     width = options.files_per_slice if options.limit is None else min(8, options.files_per_slice)
     while options.limit is None or report.rows_sent < options.limit:
-        slice_files = _next_slice(facts, last, width, options.bytes_per_slice)
-        if not slice_files:
+        slice_files, more = _next_slice(facts.read(), last, width, options.bytes_per_slice)
+        if slice_files:
+            last = slice_files[-1].file_uri
+            width = min(options.files_per_slice, width * 4)
+            _ingest_slice(store, slice_files, encoder, options, report)
+        if not more:
             break
-        last = slice_files[-1].file_uri
-        width = min(options.files_per_slice, width * 4)
-        _ingest_slice(store, slice_files, encoder, options, report)
-    discard(spark, folder)
+    facts.discard()
     return report
 
 
-def _next_slice(facts: DataFrame, after: str, width: int, max_bytes: int) -> list[Row]:
-    rows = facts.where(F.col("file_uri") > after).orderBy("file_uri").limit(width).collect()
+def _next_slice(facts: DataFrame, after: str, width: int, max_bytes: int) -> tuple[list[Row], bool]:
+    """The next files in path order, bounded in number and bytes, and whether more follow."""
+    rows = facts.where(F.col("file_uri") > after).orderBy("file_uri").limit(width + 1).collect()
     total = 0
-    for place, row in enumerate(rows):
+    for place, row in enumerate(rows[:width]):
         total += row.length
         if place and total > max_bytes:
-            return rows[:place]
-    return rows
+            return rows[:place], True
+    return rows[:width], len(rows) > width
 
 
 def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: IngestOptions, report: IngestReport) -> None:
@@ -113,8 +112,8 @@ def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: Ingest
         touched, cut = limit_cut(spark, readable, options.limit - report.rows_sent, options)
     corpus = read_corpus(spark, touched)
     corpus = spread_in_order(corpus, sum(f.length for f in touched), "file_uri", "row_index")
-    folder = numbering.stage(chunk_rows(corpus, cut, options), "chunks")
-    rows = numbering.staged_rows(spark, folder)
+    chunked = numbering.stage(chunk_rows(corpus, cut, options), "chunks")
+    rows = chunked.positioned()
     segments = _segments(rows)
     ledger = _file_ledger(files, segments, {f.file_uri for f in touched}, cut)
     staged = time.monotonic()
@@ -131,7 +130,7 @@ def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: Ingest
         store.write("items", encoded_items(numbered, encoder, options))
     store.write("processed", spark.createDataFrame(pa.Table.from_pandas(ledger, preserve_index=False)).coalesce(1))
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
-    discard(spark, folder)
+    chunked.discard()
 
     report.files += len(files)
     report.rows_sent += int(ledger["rows_sent"].sum())

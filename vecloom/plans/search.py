@@ -1,18 +1,23 @@
 """Top-k cosine search over a store, by text or by vector, with metadata equality filters."""
 
+from functools import reduce
 from typing import Any, Literal
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom import constants as C
 from vecloom import schemas
 from vecloom.functions import encoders, metadata
 from vecloom.functions import text as T
+from vecloom.operators import numbering
 from vecloom.operators.topk import top_k
 from vecloom.store import VectorStore
 
 HIT_BROADCAST_BYTES = 128 * 1024 * 1024
+PRUNING_IDS = 1_000_000
+ID_RANGES = 32
 _TOP_LEVEL = ["external_id", "text"]
 
 
@@ -30,6 +35,26 @@ def query_vectors(queries: DataFrame, encoder=None) -> DataFrame:
     return encoded if given is None else given.unionByName(encoded)
 
 
+def id_ranges(ids: np.ndarray, most: int = ID_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that cover the ids, split at the widest gaps."""
+    ids = np.unique(ids)
+    gaps = np.diff(ids)
+    widest = np.argsort(gaps, kind="stable")[max(0, len(gaps) - most + 1) :]
+    splits = np.sort(widest[gaps[widest] > 1]) + 1
+    return [(int(part[0]), int(part[-1])) for part in np.split(ids, splits) if len(part)]
+
+
+def near_ids(store: VectorStore, ids: np.ndarray) -> Column:
+    """A scan filter that every row of ``ids`` passes: its batch, a partition column, and its range of ids, which
+    parquet row groups are skipped by, as rows are stored in id order."""
+    if not len(ids):
+        return F.lit(False)
+    starts, versions = store.batch_starts()
+    batches = np.unique(np.array(versions)[np.searchsorted(starts, ids, side="right") - 1])
+    ranges = [F.col("vec_id").between(low, high) for low, high in id_ranges(ids)]
+    return F.col("batch").isin([int(b) for b in batches]) & reduce(Column.__or__, ranges)
+
+
 def search(
     store: VectorStore,
     queries: DataFrame,
@@ -56,8 +81,13 @@ def search(
         dim = store.head.dim
     hits = top_k(corpus.select("vec_id", "embedding"), prepared, k, dim)
     small = hits.bounded_bytes is not None and hits.bounded_bytes <= HIT_BROADCAST_BYTES
-    found = F.broadcast(hits.rows) if small else hits.rows
-    described = items.select("vec_id", "external_id", "text", "metadata").join(found, "vec_id")
+    # The hits are written once: reading the result again does not score the corpus again.
+    found = numbering.stage(hits.rows, "hits").read()
+    wide = store.items_by_batch()
+    ids = found.select("vec_id").distinct().limit(PRUNING_IDS + 1).toArrow()["vec_id"].to_numpy()
+    if len(ids) <= PRUNING_IDS:
+        wide = wide.where(near_ids(store, ids))
+    described = wide.select("vec_id", "external_id", "text", "metadata").join(F.broadcast(found) if small else found, "vec_id")
     if equal_to and filter_mode == "post":
         described = described.where(passed)
     columns = ["query_id", "rank", "vec_id", "score", "external_id", "metadata"] + (["text"] if return_text else [])

@@ -10,7 +10,6 @@ from vecloom import schemas
 from vecloom.functions import metadata, vectors
 from vecloom.functions import text as T
 from vecloom.operators import numbering
-from vecloom.session import discard
 from vecloom.store import VectorStore
 
 
@@ -52,7 +51,6 @@ def add_vectors(
     left out and counted with ``on_mismatch="reject"``. Null and empty vectors are skipped. Ids follow
     ``order_by`` when it is given, at the cost of one range shuffle.
     """
-    spark = store.spark
     usable = df.where(F.size("embedding") > 0)
     dim = store.head.dim
     if dim is None:
@@ -67,11 +65,11 @@ def add_vectors(
     inside = [*(["_bad"] if on_mismatch == "reject" else []), *order_by]
     if inside:
         marked = marked.sortWithinPartitions(*inside)
-    folder = numbering.stage(marked, "vectors")
-    staged = numbering.staged_rows(spark, folder)
+    copy = numbering.stage(marked, "vectors")
+    staged = copy.positioned()
     rejected = staged.where("_bad").count()
     if rejected and on_mismatch == "raise":
-        discard(spark, folder)
+        copy.discard()
         raise ValueError(f"index dimension mismatch: existing={dim}, incoming rows of another length={rejected}")
     first_id = store.head.next_id
     kept = staged.where("NOT _bad").drop("_bad", *([] if keep_text else ["text"]))
@@ -79,5 +77,5 @@ def add_vectors(
     added = result.total
     store.write("items", vector_items(result.rows, doc_type))
     store.commit(added=added, dim=dim)
-    discard(spark, folder)
+    copy.discard()
     return {"added": added, "rejected": rejected, "first_id": first_id, "dim": dim}

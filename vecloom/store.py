@@ -55,6 +55,17 @@ class VectorStore:
     def _visible(self, name: str) -> DataFrame:
         return self._read(name, _TABLES[name], "batch").where(F.col("batch") <= self.head.version).drop("batch")
 
+    def items_by_batch(self) -> DataFrame:
+        """Items with their ``batch``, the partition column."""
+        return self._read("items", schemas.ITEMS, "batch").where(F.col("batch") <= self.head.version)
+
+    def batch_starts(self) -> tuple[list[int], list[int]]:
+        """First id and number of each batch that holds items, ascending: one entry per committed run."""
+        rows = self._read("info", schemas.INFO, "version").where(F.col("version") <= self.head.version)
+        history = rows.select("version", "next_id").orderBy("version").collect()
+        pairs = [(before.next_id, row.version) for before, row in zip(history, history[1:]) if row.next_id > before.next_id]
+        return [first for first, _ in pairs], [version for _, version in pairs]
+
     def refresh(self) -> "VectorStore":
         self.head = self._load_head()
         return self
