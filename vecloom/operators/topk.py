@@ -20,6 +20,7 @@ from vecloom.operators.numbering import assign_ids
 from vecloom.session import new_folder
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+LOCAL_HIT_BYTES = 128 * 1024 * 1024
 SCORE_CELLS = 2_000_000
 MERGE_SALTS = 16
 _NO_ID = np.iinfo(np.int64).max
@@ -64,19 +65,27 @@ class LocalTopK:
         margin = self.rounding * max(1.0, longest) + 10.0**-SCORE_DIGITS
         owner, column = np.nonzero(cells >= (floor - margin).astype(np.float32)[:, None])
         fresh = np.round(self._exact(owner, column, vectors, cells.size), SCORE_DIGITS)
-        n_queries = len(self.queries)
-        owner = np.concatenate((np.repeat(np.arange(n_queries), self.k), owner))
-        scores = np.concatenate((self.scores.ravel(), fresh))
-        found = np.concatenate((self.ids.ravel(), ids[column]))
-        order = np.lexsort((found, -scores, owner))
-        starts = np.searchsorted(owner[order], np.arange(n_queries))
+        last, last_id = self.scores[owner, -1], self.ids[owner, -1]
+        better = (fresh > last) | ((fresh == last) & (ids[column] < last_id))
+        self._merge(owner[better], fresh[better], ids[column[better]])
+
+    def _merge(self, owner: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Replace the lists of the queries that gained a candidate by the best k of old and new."""
+        touched, owner = np.unique(owner, return_inverse=True)
+        places = np.arange(len(touched))
+        owner = np.concatenate((np.repeat(places, self.k), owner))
+        scores = np.concatenate((self.scores[touched].ravel(), scores))
+        ids = np.concatenate((self.ids[touched].ravel(), ids))
+        order = np.lexsort((ids, -scores, owner))
+        starts = np.searchsorted(owner[order], places)
         best = order[starts[:, None] + np.arange(self.k)]
-        self.scores, self.ids = scores[best], found[best]
+        self.scores[touched], self.ids[touched] = scores[best], ids[best]
 
     def _exact(self, owner: np.ndarray, column: np.ndarray, vectors: np.ndarray, n_cells: int) -> np.ndarray:
-        """Double precision scores of some pairs. When many pairs tie, one full product is cheaper than many dots."""
-        if len(owner) * 16 > n_cells:
-            return (self.queries @ vectors.T.astype(np.float64))[owner, column]
+        """Double precision scores of some pairs. When many pairs are close, as copies of one text are, one full
+        product is cheaper than many dots."""
+        if len(owner) * 100 > n_cells:
+            return (self.queries @ vectors.astype(np.float64).T)[owner, column]
         out = np.empty(len(owner))
         step = max(1, SCORE_CELLS // vectors.shape[1])
         for low in range(0, len(owner), step):
@@ -137,7 +146,8 @@ def top_k(
         if first is None:
             return empty
         dim = first[0]
-    block_rows = max(1, block_bytes // (8 * dim))
+    # A block is bounded by its matrix, which is broadcast, and by the k hits per query that each task keeps.
+    block_rows = max(1, min(block_bytes // (8 * dim), LOCAL_HIT_BYTES // (16 * k)))
     block = queries.limit(block_rows + 1).toArrow()
     if block.num_rows == 0:
         return empty

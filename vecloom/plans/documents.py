@@ -18,6 +18,7 @@ from vecloom.operators.dedup import first_per_key, not_known, with_content_key
 from vecloom.store import VectorStore
 
 _OPTIONAL = ["url", "title", "doc_type", "external_id"]
+_KEYS = ["full_text_sha1", "doc_ref"]
 
 
 @dataclass
@@ -28,17 +29,19 @@ class UpsertReport:
     seconds: dict[str, float]
 
 
-def document_rows(df: DataFrame) -> DataFrame:
-    """``seq, text`` and the optional columns, absent ones as nulls."""
+def document_rows(df: DataFrame, keyed: bool = False) -> DataFrame:
+    """``seq, text``, the optional columns, absent ones as nulls, and the content hash, taken over when ``keyed``."""
     absent = [F.lit(None).cast("string").alias(name) for name in _OPTIONAL if name not in df.columns]
-    return df.select("seq", F.col("text").cast("string"), *[c for c in _OPTIONAL if c in df.columns], *absent)
+    given = [c for c in _OPTIONAL + (_KEYS if keyed else []) if c in df.columns]
+    rows = df.select("seq", F.col("text").cast("string"), *given, *absent)
+    return rows if keyed else with_content_key(rows)
 
 
 def new_documents(docs: DataFrame, known: DataFrame) -> DataFrame:
     """First document of each hash that is not in ``known``. Deduplication shuffles by ``doc_ref`` after a map-side
     aggregate; the anti join reuses that partitioning and shuffles only the known ids."""
-    keyed = with_content_key(docs.where(~T.is_blank(F.col("text"))))
-    return not_known(first_per_key(keyed, "doc_ref", "seq"), known, "doc_ref", "doc_id")
+    filled = docs.where(~T.is_blank(F.col("text")))
+    return not_known(first_per_key(filled, "doc_ref", "seq"), known, "doc_ref", "doc_id")
 
 
 def document_chunks(docs: DataFrame, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -87,16 +90,18 @@ def upsert_documents(
     chunk_size: int = C.DOCUMENT_CHUNK_SIZE,
     overlap: int = C.DOCUMENT_CHUNK_OVERLAP,
     with_status: bool = True,
+    keyed: bool = False,
 ) -> UpsertReport:
     """Add the documents of ``df`` that the store does not have.
 
     ``df`` needs ``seq``, an orderable column unique per row that decides which copy comes first, and ``text``;
     ``url, title, doc_type, external_id`` are optional. Ids are contiguous and the chunks of a document are
     consecutive. Registry and chunks become visible together. Without ``with_status`` no status rows are kept.
+    ``keyed`` says that ``df`` already has the hash columns of :func:`with_content_key`.
     """
     store.check_dim(encoder.dim)
     began = time.monotonic()
-    docs = document_rows(df)
+    docs = document_rows(df, keyed)
     fresh = new_documents(docs, store.documents())
     cut = document_chunks(fresh, chunk_size, overlap)
     full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
@@ -130,7 +135,7 @@ def upsert_status(docs: DataFrame, winners: DataFrame) -> DataFrame:
     """``added``, ``exists`` or ``rejected`` per input row. Joined on ``seq``, which is unique, so copies of one
     text do not pile up in one task."""
     blank = T.is_blank(F.col("text"))
-    narrow = with_content_key(docs).select("seq", F.when(~blank, F.col("doc_ref")).alias("doc_ref"), blank.alias("_blank"))
+    narrow = docs.select("seq", F.when(~blank, F.col("doc_ref")).alias("doc_ref"), blank.alias("_blank"))
     status = F.when(F.col("_blank"), "rejected").when(F.col("first_id").isNotNull(), "added").otherwise("exists")
     return narrow.join(winners, "seq", "left").select("seq", "doc_ref", status.alias("status"), "total_chunks", "first_id")
 
@@ -180,17 +185,23 @@ def ingest_markdown(
     overlap: int = C.DOCUMENT_CHUNK_OVERLAP,
     language: str = C.DEFAULT_LANGUAGE,
 ) -> DataFrame:
-    """Add markdown pages; one status row per page. ``success`` is also true for pages that exist already."""
-    pages = markdown_documents(df)
-    report = upsert_documents(store, pages.where(F.col("reason").isNull()), encoder, chunk_size, overlap)
+    """Add markdown pages; one status row per page. ``success`` is also true for pages that exist already.
+
+    Cleaning, the costly part, runs once: cleaned pages are staged, and what follows reads the columns it needs.
+    """
+    cleaned = numbering.stage(with_content_key(markdown_documents(df)), "pages")
+    pages = cleaned.read()
+    report = upsert_documents(store, pages.where(F.col("reason").isNull()), encoder, chunk_size, overlap, keyed=True)
     narrow = pages.select("seq", "url", "title", "doc_type", "reason")
-    status = F.coalesce(F.col("status"), F.lit("rejected"))
-    return narrow.join(report.status, "seq", "left").select(
-        "seq", "url", "title", "doc_type", F.lit(language).alias("language"), "doc_ref", status.alias("status"),
-        F.col("reason").isNull().alias("success"), "reason", "total_chunks", "first_id",
-        F.lit(encoder.name).alias("model_name"), F.lit(encoder.dim).alias("dim"),
+    rows = narrow.join(report.status, "seq", "left").select(
+        "seq", "url", "title", "doc_type", F.lit(language).alias("language"), "doc_ref",
+        F.coalesce("status", F.lit("rejected")).alias("status"), F.col("reason").isNull().alias("success"), "reason",
+        "total_chunks", "first_id", F.lit(encoder.name).alias("model_name"), F.lit(encoder.dim).alias("dim"),
         F.current_date().cast("string").alias("emb_ver"),
     )
+    status = numbering.stage(rows, "status").read()
+    cleaned.discard()
+    return status
 
 
 def ingest_markdown_page(

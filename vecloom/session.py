@@ -20,7 +20,6 @@ def build_session(app_name: str = "vecloom", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.executorEnv.OMP_NUM_THREADS": "1",
         **conf,
     }
     for key, value in settings.items():
