@@ -249,9 +249,10 @@ def whole_text_options(limit: int | None = 1000, doc_type: str = "fineweb2", **c
     return IngestOptions(chunk=False, keep_text=True, limit=limit, doc_type=doc_type, **changes)
 
 
-def metadata_lines(store: VectorStore) -> DataFrame:
-    """``id, url, created_at`` of the store's vectors, ready for the JSON-lines sink."""
+def metadata_lines(store: VectorStore, from_id: int = 1) -> DataFrame:
+    """``id, url, created_at`` of the store's vectors, ready for the JSON-lines sink. ``from_id`` leaves out those
+    an earlier export has written."""
     field = F.col("metadata").getItem
-    return store.items().select(
+    return store.items().where(F.col("vec_id") >= from_id).select(
         F.col("vec_id").alias("id"), field("url").alias("url"), field("created_at").alias("created_at")
     )

@@ -14,10 +14,16 @@ def skip_stats(df: DataFrame, by: str, text: Column, low: int = C.MIN_CHARS, hig
     return df.groupBy(by).agg(F.count_if(sent).alias("sent"), F.count_if(~sent).alias("skipped"))
 
 
-def _bytes_of(store: VectorStore, *tables: str) -> DataFrame:
+def stored_bytes(store: VectorStore) -> dict[str, int]:
+    """Bytes of the vector table and of the other tables, from the file listing."""
     reader = store.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    files = reader.option("recursiveFileLookup", "true").load([f"{store.root}/{table}" for table in tables])
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    files = reader.option("recursiveFileLookup", "true").load(store.root)
+    is_index = F.col("path").contains("/items/batch=")
+    row = files.agg(
+        F.coalesce(F.sum(F.when(is_index, F.col("length"))), F.lit(0)).alias("index_size_bytes"),
+        F.coalesce(F.sum(F.when(~is_index, F.col("length"))), F.lit(0)).alias("meta_size_bytes"),
+    )
+    return row.first().asDict()
 
 
 def store_counts(store: VectorStore) -> DataFrame:
@@ -36,11 +42,8 @@ def store_counts(store: VectorStore) -> DataFrame:
 
 def store_stats(store: VectorStore) -> DataFrame:
     """One row of counts plus sizes in bytes and in readable form. The vectors and their metadata share a table."""
-    index = _bytes_of(store, "items").first()[0]
-    meta = _bytes_of(store, "documents", "processed", "info").first()[0]
-    sized = store_counts(store).select(
-        "*", F.lit(index).cast("bigint").alias("index_size_bytes"), F.lit(meta).cast("bigint").alias("meta_size_bytes")
-    )
+    sizes = [F.lit(size).cast("bigint").alias(name) for name, size in stored_bytes(store).items()]
+    sized = store_counts(store).select("*", *sizes)
     return sized.select(
         "*",
         T.human_bytes(F.col("index_size_bytes")).alias("index_size"),

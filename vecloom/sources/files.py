@@ -25,11 +25,12 @@ def list_files(spark: SparkSession, root: str, allow: Sequence[str] | None = Non
     return file_columns(reader.load(_roots(root, allow)))
 
 
-def stream_files(spark: SparkSession, root: str, max_files_per_trigger: int) -> DataFrame:
+def stream_files(spark: SparkSession, root: str, max_files: int, max_bytes: str | None = None) -> DataFrame:
     """The same columns as a stream of files that arrive below ``root``."""
     reader = spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE)
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET)
-    return file_columns(reader.option("maxFilesPerTrigger", max_files_per_trigger).load(root))
+    bound = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return file_columns(reader.option(*bound).load(root))
 
 
 def file_columns(files: DataFrame) -> DataFrame:

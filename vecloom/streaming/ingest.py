@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vecloom import constants as C
 from vecloom.plans.documents import UpsertReport, upsert_documents
 from vecloom.plans.ingest import IngestOptions, IngestReport, ingest_files
+from vecloom.plans.stats import stored_bytes
 from vecloom.sources.files import stream_files
 from vecloom.store import VectorStore
 
@@ -33,17 +34,18 @@ def stream_corpus(
     options: IngestOptions = IngestOptions(),
     interval: str | None = C.CHECKPOINT_INTERVAL,
     files_per_trigger: int = FILES_PER_TRIGGER,
+    bytes_per_trigger: str | None = None,
     reports: list[IngestReport] | None = None,
 ) -> StreamingQuery:
     """Ingest files as they arrive below ``root``, one commit per micro-batch. Without ``interval`` the query takes
-    what is there and ends."""
+    what is there and ends. A micro-batch takes at most ``files_per_trigger`` files, or ``bytes_per_trigger`` when given."""
 
     def handle(files: DataFrame, _batch: int) -> None:
         report = ingest_files(store.refresh(), files, encoder, options)
         if reports is not None:
             reports.append(report)
 
-    return _start(stream_files(store.spark, root, files_per_trigger), handle, checkpoint, interval)
+    return _start(stream_files(store.spark, root, files_per_trigger, bytes_per_trigger), handle, checkpoint, interval)
 
 
 def stream_documents(
@@ -74,13 +76,15 @@ def stop_after_batch(query: StreamingQuery, poll_seconds: float = 0.1) -> None:
 
 
 def heartbeat(query: StreamingQuery, store: VectorStore) -> dict:
-    """Progress of a running ingest: vectors so far, files of the last micro-batch, and whether nothing was added."""
+    """Progress of a running ingest: vectors and bytes so far, rows of the last micro-batch, and whether nothing was
+    added, which a caller may want to warn about."""
     last = query.lastProgress
     added = store.refresh().head.next_id - 1
     return {
         "added": added,
         "version": store.head.version,
         "batch_id": last["batchId"] if last else None,
-        "files_in_batch": last["numInputRows"] if last else 0,
+        "rows_in_batch": last["numInputRows"] if last else 0,
         "nothing_added": added == 0,
+        **stored_bytes(store),
     }
