@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vecloom.sources import files as files_source
-from vecloom.sources.census import census, pick_column
+from vecloom.sources.census import _describe, census, pick_column
 from vecloom.sources.corpus import read_corpus
 
 LONG = "lorem ipsum dolor sit amet " * 5
@@ -66,6 +66,21 @@ def test_census_and_corpus(spark, folder):
     assert {r.file_uri for r in rows} == {r.file_uri for r in facts if r.status == "ok"}
 
 
+def test_broken_footers_are_told_from_lost_files(tmp_path):
+    whole = tmp_path / "whole.parquet"
+    pq.write_table(pa.table({"text": ["a"] * 100}), whole)
+    data = whole.read_bytes()
+    broken = {"empty": b"", "short": b"PAR1", "tail": data[:-6], "length": data[:-8] + b"\xff\xff\xff\x7fPAR1",
+              "thrift": data[:-60] + b"\x99" * 52 + data[-8:]}
+    for name, content in broken.items():
+        file = tmp_path / f"{name}.parquet"
+        file.write_bytes(content)
+        assert _describe(str(file)) == {"status": "unreadable"}, name
+    assert _describe(f"file://{whole}")["n_rows"] == 100
+    with pytest.raises(FileNotFoundError):
+        _describe(str(tmp_path / "gone.parquet"))
+
+
 def test_scan_reads_only_the_chosen_columns(spark, folder):
     facts = [r for r in census(files_source.list_files(spark, folder)).collect() if r.path.endswith("c.parquet")]
     plan = read_corpus(spark, facts)._jdf.queryExecution().executedPlan().toString()

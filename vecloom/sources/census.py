@@ -39,21 +39,35 @@ def _spark_type(schema: pa.Schema, name: str | None) -> str | None:
     return from_arrow_type(dtype.value_type if pa.types.is_dictionary(dtype) else dtype).simpleString()
 
 
-def _describe(path: str) -> dict:
+def _footer(path: str) -> pq.FileMetaData | None:
+    """The footer, or None when the bytes are not a parquet file. Errors of the file system are raised, so that a
+    task is retried and a file is not given up for a lost connection."""
+    filesystem, local = _open(path)
+    with filesystem.open_input_file(local) as handle:
+        size = handle.size()
+        handle.seek(max(0, size - 8))
+        end = handle.read(8)
+        length = int.from_bytes(end[:4], "little") + 8
+        if end[4:] != b"PAR1" or length > size:
+            return None
+        handle.seek(size - length)
+        footer = handle.read(length)
     try:
-        filesystem, local = _open(path)
-        with filesystem.open_input_file(local) as handle:
-            footer = pq.ParquetFile(handle)
-            schema, n_rows = footer.schema_arrow, footer.metadata.num_rows
-        text, url = pick_column(schema.names, C.TEXT_COLUMNS), pick_column(schema.names, C.URL_COLUMNS)
-        return {
-            "status": "ok" if text else "no_text_column", "n_rows": n_rows, "text_col": text, "url_col": url,
-            "text_type": _spark_type(schema, text), "url_type": _spark_type(schema, url),
-        }
-    except (OSError, pa.ArrowException) as broken:
-        if isinstance(broken, (FileNotFoundError, PermissionError)):
-            raise
+        return pq.read_metadata(pa.BufferReader(footer))
+    except (pa.ArrowException, OSError):
+        return None
+
+
+def _describe(path: str) -> dict:
+    footer = _footer(path)
+    if footer is None:
         return {"status": "unreadable"}
+    schema = footer.schema.to_arrow_schema()
+    text, url = pick_column(schema.names, C.TEXT_COLUMNS), pick_column(schema.names, C.URL_COLUMNS)
+    return {
+        "status": "ok" if text else "no_text_column", "n_rows": footer.num_rows, "text_col": text, "url_col": url,
+        "text_type": _spark_type(schema, text), "url_type": _spark_type(schema, url),
+    }
 
 
 def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
