@@ -73,6 +73,10 @@ def _new_store(spark: SparkSession, label: str, **options) -> VectorStore:
     return open_store(spark, new_folder(spark, label), **options)
 
 
+def _all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_documents(spread(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+
+
 def _as_documents(table: DataFrame) -> DataFrame:
     return table.select(F.col("doc_id").alias("seq"), "text", F.col("source").alias("doc_type"))
 
@@ -164,7 +168,7 @@ def dedup_documents(spark, sf_dir):
 
 def documents_registry(spark, sf_dir):
     known = spark.createDataFrame([], "doc_id string")
-    source = docs_plan.document_rows(_as_documents(_table(spark, sf_dir, "documents")))
+    source = docs_plan.document_rows(_all_documents(spark, sf_dir))
     first = docs_plan.new_documents(source, known)
     total = chunks.window_count(F.col("text"), C.DOCUMENT_CHUNK_SIZE, C.DOCUMENT_CHUNK_OVERLAP)
     return first.select("doc_ref", "full_text_sha1", total.alias("total_chunks"))
@@ -256,7 +260,7 @@ def jsonl_meta(spark, sf_dir):
 def store_statistics(spark, sf_dir):
     store = _new_store(spark, "store")
     add_vectors(store, _table(spark, sf_dir, "embeddings").select("embedding"))
-    docs_plan.upsert_documents(store, _as_documents(_table(spark, sf_dir, "documents")), ENCODER)
+    docs_plan.upsert_documents(store, _all_documents(spark, sf_dir), ENCODER)
     return store_counts(store).select("ntotal", "dim", "documents", "next_id")
 
 
@@ -318,14 +322,14 @@ def upsert_status(spark, sf_dir):
     """All documents, after the labelled ones were added before."""
     store = _new_store(spark, "store")
     docs_plan.upsert_documents(store, _as_documents(_labelled(spark, sf_dir, "left_semi")), ENCODER)
-    report = docs_plan.upsert_documents(store, _as_documents(_table(spark, sf_dir, "documents")), ENCODER)
+    report = docs_plan.upsert_documents(store, _all_documents(spark, sf_dir), ENCODER)
     return report.status.select(F.col("seq").alias("doc_id"), "status")
 
 
 def markdown_status(spark, sf_dir):
     """Every document as a markdown page; the pages table gives the url where it has the id."""
     pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "page_id", "url")
-    joined = _table(spark, sf_dir, "documents").join(pages, "doc_id", "left")
+    joined = spread(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).join(pages, "doc_id", "left")
     given = joined.select(
         F.col("doc_id").alias("seq"),
         F.expr(f"CASE WHEN page_id IS NULL THEN concat('https://e.com/', doc_id) ELSE {_ALTERED_URL} END").alias("url"),

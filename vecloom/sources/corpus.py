@@ -49,4 +49,7 @@ def read_corpus(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
 
 
 def in_band(corpus: DataFrame, low: int, high: int) -> DataFrame:
-    return corpus.where(T.in_length_band(F.col("text"), low, high))
+    """Rows whose ``text`` has low..high characters. Exploding a filtered one-element array evaluates the text
+    expression once; a WHERE is pushed below the projection and strips each text again for every comparison."""
+    kept = F.filter(F.array("text"), lambda text: T.in_length_band(text, low, high))
+    return corpus.select(*[c for c in corpus.columns if c != "text"], F.explode(kept).alias("text"))
