@@ -74,7 +74,7 @@ def _new_store(spark: SparkSession, label: str, **options) -> VectorStore:
 
 
 def _all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_documents(spread(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+    return _as_documents(_table(spark, sf_dir, "documents"))
 
 
 def _as_documents(table: DataFrame) -> DataFrame:

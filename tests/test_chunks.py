@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,9 +41,11 @@ def test_windows_match_python(spark, size, overlap):
         assert found == [twin(t or "", size, overlap) for t in texts]
 
 
-def test_long_text_takes_the_linear_path(spark):
-    text = "".join(chr(97 + i % 26) for i in range(200_003))
+def test_very_long_text_is_cut_in_linear_time(spark):
+    text = "".join(chr(97 + i % 26) for i in range(1_000_003)) * 8
+    began = time.monotonic()
     assert cut(spark, [text], chunks.windows(F.col("t"), 1500, 200)) == [twin(text, 1500, 200)]
+    assert time.monotonic() - began < 30  # quadratic cutting of 8 million characters takes minutes
 
 
 def test_document_chunks_carry_offsets(spark):

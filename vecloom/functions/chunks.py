@@ -28,12 +28,16 @@ def _by_substring(text: Column, size: int, step: int) -> Column:
 
 
 def _by_pieces(text: Column, size: int, step: int) -> Column:
-    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % step), F.lit(0))
     spanned = -(-size // step)
-    return F.transform(
-        pieces,
-        lambda _, i: F.left(F.array_join(F.slice(pieces, i + 1, F.lit(spanned)), ""), F.lit(size)),
-    )
+
+    def joined(pieces: Column) -> Column:
+        return F.transform(
+            pieces, lambda _, i: F.left(F.array_join(F.slice(pieces, i + 1, F.lit(spanned)), ""), F.lit(size))
+        )
+
+    # The outer one-element array makes the pieces a lambda variable: cut once per text, not once per window.
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % step), F.lit(0))
+    return F.element_at(F.transform(F.array(cut), joined), 1)
 
 
 def windows(
