@@ -12,6 +12,9 @@ CORPUS_CHUNK_OVERLAP = 100
 DOCUMENT_CHUNK_SIZE = 1500
 DOCUMENT_CHUNK_OVERLAP = 200
 
+WHOLE_TEXT_LIMIT = 1000
+WHOLE_TEXT_TYPE = "fineweb2"
+
 DEFAULT_URL_PREFIX = "http://fw2.local/"
 DOC_REF_PREFIX = "doc_"
 DOC_REF_DIGITS = 12

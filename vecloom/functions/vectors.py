@@ -1,12 +1,10 @@
-"""Vector columns. Arrays reach Python as Arrow buffers and are handled there as flat numpy arrays."""
+"""Vector columns, and the passage of vectors between Arrow and numpy."""
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vecloom import schemas
-
 
 def to_lists(matrix: np.ndarray) -> pa.ListArray:
     """A (n, dim) matrix as an Arrow list column of float32."""
@@ -30,25 +28,20 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return wide / np.where(norms > 0, norms, 1.0)
 
 
-@F.arrow_udf(schemas.VECTOR)
-def _unit(lists: pa.Array) -> pa.Array:
-    lengths = lists.value_lengths().fill_null(0).to_numpy()
-    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    owner = np.repeat(np.arange(len(lists)), lengths)
-    norms = np.sqrt(np.bincount(owner, weights=values * values, minlength=len(lists)))
-    scaled = (values / np.where(norms > 0, norms, 1.0)[owner]).astype(np.float32)
-    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    mask = lists.is_null() if lists.null_count else None
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scaled), mask=mask)
+def norm(vector: Column) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
 def normalize(vector: Column) -> Column:
     """L2-normalised float32 vector; a zero vector is returned unchanged. Rows may differ in length."""
-    return _unit(vector.cast("array<float>"))
+    narrow = vector.cast("array<float>")
 
+    def scaled(length: Column) -> Column:
+        unit = F.transform(narrow, lambda x: (x.cast("double") / length).cast("float"))
+        return F.when(length > 0, unit).otherwise(narrow)
 
-def norm(vector: Column) -> Column:
-    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+    # The one-element array makes the length a lambda variable: computed once per vector, not once per element.
+    return F.element_at(F.transform(F.array(norm(narrow)), scaled), 1)
 
 
 def dot(left: Column, right: Column) -> Column:

@@ -244,7 +244,9 @@ def encoded_items(numbered: DataFrame, encoder, options: IngestOptions) -> DataF
     )
 
 
-def whole_text_options(limit: int | None = 1000, doc_type: str = "fineweb2", **changes) -> IngestOptions:
+def whole_text_options(
+    limit: int | None = C.WHOLE_TEXT_LIMIT, doc_type: str = C.WHOLE_TEXT_TYPE, **changes
+) -> IngestOptions:
     """Small ingest: whole texts without chunking, text kept beside the vector, exact row limit."""
     return IngestOptions(chunk=False, keep_text=True, limit=limit, doc_type=doc_type, **changes)
 
