@@ -26,6 +26,17 @@ from vecloom.sources.files import list_files, unprocessed
 from vecloom.store import VectorStore, open_store
 from vecloom.streaming.ingest import stream_corpus, stream_documents
 
+try:
+    import corpus_pipeline
+    from vecloom.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in {"corpus_pipeline", "vecloom.llm", "vecloom.llm.registry"}:
+        raise
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_ORACLES = {**llm.ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ENCODER = encoders.HashingEncoder(64)
 DIGITS = 6
@@ -385,7 +396,7 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _ready(query) for name, query in _QUERIES.items()}
+    return {name: _ready(query) for name, query in {**_QUERIES, **_LLM_QUERIES}.items()}
 
 
 _QUERIES = {
@@ -552,6 +563,7 @@ def oracle_sql() -> dict[str, str]:
     )
     known = "SELECT doc_id FROM labels"
     return {
+        **_LLM_ORACLES,
         "corpus_filter": f"SELECT doc_id, length(s) AS n FROM ({band})",
         "strip_text": "SELECT doc_id, md5("
         + _strip_sql("concat(chr(160), ' ', chr(28), text, chr(8239))")
