@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate
+from vecloom.llm import decontaminate, mixing, sharding
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
+    "op4_external_shuffle": sharding.op4_external_shuffle,
+    "op9_pareto_mix": mixing.op9_pareto_mix,
 }
 ORACLES = {
     "op1_suffix_decontamination": decontaminate.ORACLE_SQL,
+    "op9_pareto_mix": mixing.ORACLE_SQL,
 }
