@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, mixing, sharding
+from vecloom.llm import decontaminate, langid, mixing, sharding
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
     "op4_external_shuffle": sharding.op4_external_shuffle,
+    "op6_marginal_language_id": langid.op6_marginal_language_id,
     "op9_pareto_mix": mixing.op9_pareto_mix,
 }
 ORACLES = {
