@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, langid, mixing, sharding
+from vecloom.llm import decontaminate, langid, mixing, near_dedup, sharding
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
     "op4_external_shuffle": sharding.op4_external_shuffle,
+    "op5_bottom_k_near_dedup": near_dedup.op5_bottom_k_near_dedup,
     "op6_marginal_language_id": langid.op6_marginal_language_id,
     "op9_pareto_mix": mixing.op9_pareto_mix,
 }
 ORACLES = {
     "op1_suffix_decontamination": decontaminate.ORACLE_SQL,
+    "op5_bottom_k_near_dedup": near_dedup.ORACLE_SQL,
     "op9_pareto_mix": mixing.ORACLE_SQL,
 }
