@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, langid, mixing, near_dedup, sharding
+from vecloom.llm import decontaminate, langid, mixing, near_dedup, sharding, token_records, topk_search, warc
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
+    "op3_warc_chain": warc.op3_warc_chain,
     "op4_external_shuffle": sharding.op4_external_shuffle,
     "op5_bottom_k_near_dedup": near_dedup.op5_bottom_k_near_dedup,
     "op6_marginal_language_id": langid.op6_marginal_language_id,
+    "op7_term_at_a_time": topk_search.op7_term_at_a_time,
+    "op8_token_records": token_records.op8_token_records,
     "op9_pareto_mix": mixing.op9_pareto_mix,
 }
 ORACLES = {
     "op1_suffix_decontamination": decontaminate.ORACLE_SQL,
+    "op3_warc_chain": warc.ORACLE_SQL,
     "op5_bottom_k_near_dedup": near_dedup.ORACLE_SQL,
+    "op7_term_at_a_time": topk_search.ORACLE_SQL,
     "op9_pareto_mix": mixing.ORACLE_SQL,
 }
