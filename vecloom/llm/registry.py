@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, langid, mixing, near_dedup, sharding, token_records, topk_search, warc
+from vecloom.llm import decontaminate, langid, mixing, near_dedup, secret_scan, sharding, token_records, topk_search, warc
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
+    "op2_crf_secret_scan": secret_scan.op2_crf_secret_scan,
     "op3_warc_chain": warc.op3_warc_chain,
     "op4_external_shuffle": sharding.op4_external_shuffle,
     "op5_bottom_k_near_dedup": near_dedup.op5_bottom_k_near_dedup,
