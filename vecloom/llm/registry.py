@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, langid, mixing, near_dedup, secret_scan, sharding, token_records, topk_search, warc
+from vecloom.llm import decontaminate, langid, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_records, topk_search, warc
 
 QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_term_at_a_time": topk_search.op7_term_at_a_time,
     "op8_token_records": token_records.op8_token_records,
     "op9_pareto_mix": mixing.op9_pareto_mix,
+    "op10_fm_substring_dedup": substring_dedup.op10_fm_substring_dedup,
 }
 ORACLES = {
     "op1_suffix_decontamination": decontaminate.ORACLE_SQL,
@@ -21,4 +22,5 @@ ORACLES = {
     "op5_bottom_k_near_dedup": near_dedup.ORACLE_SQL,
     "op7_term_at_a_time": topk_search.ORACLE_SQL,
     "op9_pareto_mix": mixing.ORACLE_SQL,
+    "op10_fm_substring_dedup": substring_dedup.ORACLE_SQL,
 }
