@@ -147,8 +147,9 @@ class Field:
         self.moves = moves.copy()
         self.moves[OUTSIDE, INSIDE] = -np.inf
         allowed = [(a, y, b) for a in range(3) for y in (BEGIN, INSIDE) for b in range(3) if (a, y) != (OUTSIDE, INSIDE)]
-        cost = [self.moves[a, y] + self.moves[y, b] - self.moves[a, OUTSIDE] - self.moves[OUTSIDE, BEGIN if b == INSIDE else b] for a, y, b in allowed]
-        self.worth = max(cost)
+        again = max(self.moves[INSIDE] - self.moves[BEGIN])  # the token behind a new begin
+        worth = [self.moves[a, y] + self.moves[y, b] - self.moves[a, OUTSIDE] - self.moves[OUTSIDE, BEGIN if b == INSIDE else b] + (max(again, 0) if b == INSIDE else 0) for a, y, b in allowed]
+        self.worth = max(worth)
 
     def emissions(self, tokens: Tokens) -> np.ndarray:
         out = np.zeros((tokens.n, 3))

@@ -6,7 +6,8 @@ after term, selects the k best by partitioning that array, and merges them over
 hits per query are merged at the end. Queries are a stated set and are sent to the tasks in blocks of bounded size.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows without vec_id, take no part;
-missing components of shorter vectors are 0; rows with the query's vec_id are its own; ties go to the smaller vec_id;
+missing components of shorter vectors are 0; rows with the query's vec_id are its own; of queries
+with one vec_id the least vector is asked; ties go to the smaller vec_id;
 components beyond 2^62 / 256 are clipped and sums wrap as 64-bit numbers do; further columns are ignored.
 """
 
@@ -94,7 +95,9 @@ def _by_id(scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def top_k_search(vectors: DataFrame, queries: DataFrame, k: int = K, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of ``vectors`` for each of ``queries`` (both vec_id, embedding)."""
     spark = vectors.sparkSession
-    stated = queries.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    stated = queries.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").where(F.col("vec_id").isNotNull() & finite)
+    stated = stated.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     count, longest = stated.agg(F.count("*"), F.max(F.size("embedding"))).first()
     blocks = max(1, -(-count * (longest or 1) * 8 // query_bytes))
     narrow = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
