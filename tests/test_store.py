@@ -21,7 +21,7 @@ def test_new_store_is_empty_and_reopens(spark, store):
 def test_bulk_add_normalises_numbers_and_describes(spark, store):
     own = F.when(F.col("k") == 1, F.create_map(F.lit("url"), F.lit("own"), F.lit("label"), F.lit("7")))
     result = add_vectors(store, vectors(spark, 5).withColumn("metadata", own), doc_type="t", order_by=["k"])
-    assert result == {"added": 5, "rejected": 0, "first_id": 1, "dim": 3}
+    assert result == {"added": 5, "rejected": 0, "skipped": 0, "first_id": 1, "dim": 3}
     rows = store.items().orderBy("vec_id").collect()
     assert [r.vec_id for r in rows] == [1, 2, 3, 4, 5]
     assert all(abs(sum(x * x for x in r.embedding) - 1) < 1e-6 for r in rows)
@@ -79,10 +79,25 @@ def test_uncommitted_rows_stay_invisible_and_are_replaced(spark, store):
 
 def test_second_writer_is_refused(spark, store):
     other = open_store(spark, store.root)
-    add_vectors(store, vectors(spark, 1))
+    add_vectors(store, vectors(spark, 10), order_by=["k"])
     with pytest.raises(RuntimeError, match="another writer"):
-        add_vectors(other, vectors(spark, 1))
-    assert add_vectors(other.refresh(), vectors(spark, 1))["first_id"] == 2
+        add_vectors(other, vectors(spark, 3, start=50))
+    kept = open_store(spark, store.root)
+    assert kept.head.next_id == 11
+    assert [r.metadata["url"] for r in kept.items().orderBy("vec_id").collect()] == [f"http://u/{i}" for i in range(10)]
+    assert add_vectors(other.refresh(), vectors(spark, 1))["first_id"] == 11
+    assert open_store(spark, store.root).items().count() == 11
+
+
+def test_of_two_writers_that_commit_at_once_one_is_refused(spark, store, monkeypatch):
+    other = open_store(spark, store.root)
+    store.write("items", spark.createDataFrame([(1, "a")], "vec_id bigint, text string"))
+    other.write("items", spark.createDataFrame([(1, "b"), (2, "b")], "vec_id bigint, text string"))
+    monkeypatch.setattr(other, "_committed", lambda version: False)  # both have seen no commit
+    store.commit(added=1, dim=3)
+    with pytest.raises(RuntimeError, match="another writer"):
+        other.commit(added=2, dim=3)
+    assert [r.text for r in open_store(spark, store.root).items().collect()] == ["a"]
 
 
 def test_a_broken_store_raises(spark, store):
@@ -99,3 +114,33 @@ def test_stats(spark, store):
     row = store_stats(store).first()
     assert (row.ntotal, row.dim, row.next_id) == (3, 3, 4)
     assert row.index_size_bytes > 0 and row.index_size.endswith("KB") and row.meta_size_bytes > 0
+
+
+def test_vectors_that_are_not_finite_are_refused(spark, store):
+    nan = float("nan")
+    rows = [(0, [1.0, 2.0]), (1, [nan, 1.0]), (2, [1.0, None]), (3, [float("inf"), 0.0]), (4, None), (5, []), (6, [1.0]), (7, [3.0, 4.0])]
+    given = spark.createDataFrame(rows, "k bigint, embedding array<float>")
+    with pytest.raises(ValueError, match="do not fit"):
+        add_vectors(store, given)
+    assert open_store(spark, store.root).items().count() == 0
+    result = add_vectors(store, given, on_mismatch="reject", order_by=["k"])
+    assert result == {"added": 2, "rejected": 4, "skipped": 2, "first_id": 1, "dim": 2}
+
+
+def test_the_commonest_length_is_the_dimension(spark, store):
+    given = spark.createDataFrame([(0, [1.0])] + [(i, [1.0, float(i)]) for i in range(1, 4)], "k bigint, embedding array<float>")
+    result = add_vectors(store, given, on_mismatch="reject", order_by=["k"])
+    assert (result["added"], result["rejected"], result["dim"]) == (3, 1, 2)
+    with pytest.raises(ValueError, match="dimension"):
+        add_vectors(store, given, dim=5)
+
+
+def test_nothing_stays_in_the_shared_folder(spark, store):
+    import glob
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{folder}/vecloom/*"))
+    add_vectors(store, vectors(spark, 3))
+    with pytest.raises(ValueError):
+        add_vectors(store, vectors(spark, 3, dim=4))
+    assert set(glob.glob(f"{folder}/vecloom/*")) == before

@@ -50,6 +50,7 @@ PROCESSED = _struct(
     ("status", StringType()),
     ("rows_sent", LongType()),
     ("rows_skipped", LongType()),
+    ("last_row", LongType()),  # of a file that a row limit cut
 )
 
 INFO = _struct(
@@ -57,6 +58,7 @@ INFO = _struct(
     ("dim", IntegerType()),
     ("next_id", LongType()),
     ("created_or_updated_at", TimestampType()),
+    ("run", StringType()),
 )
 
 METADATA_LINE = _struct(("id", LongType()), ("url", StringType()), ("created_at", StringType()))
@@ -72,6 +74,7 @@ CENSUS = _struct(
     ("path", StringType()),
     ("file_uri", StringType()),
     ("length", LongType()),
+    ("from_row", LongType()),
     ("status", StringType()),
     ("n_rows", LongType()),
     ("text_col", StringType()),

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
@@ -79,6 +80,33 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         fs.delete(target, True)
 
 
+def rename_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless the target exists, in one step where the file system has atomic renames."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    paths = [hadoop.Path(source), hadoop.Path(target)]
+    qualified = [p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p) for p in paths]
+    context = hadoop.FileContext.getFileContext(qualified[0].toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(*qualified, spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
+    except Py4JJavaError as error:
+        if has_files(spark, target):
+            return False
+        raise error
+    return True
+
+
+def hidden_files(spark: SparkSession, root: str, suffix: str) -> list[str]:
+    """Files below ``root`` that Spark's sources pass over, as their names or folders begin with ``_`` or ``.``."""
+    fs, target = _hadoop_path(spark, root)
+    found, base = [], fs.makeQualified(target).toString()
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        if path.endswith(suffix) and any(part[:1] in ("_", ".") for part in path[len(base) :].split("/")):
+            found.append(path)
+    return found
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Drop a staged table made by :func:`new_folder` once its rows are committed elsewhere."""
     if not path.startswith(f"{shared_dir(spark)}/vecloom/"):

@@ -1,22 +1,25 @@
 """The vector store: append-only parquet tables whose batches become visible by one small commit row.
 
-    <root>/items/batch=N       vectors with their metadata
-    <root>/documents/batch=N   document registry
-    <root>/processed/batch=N   ledger of finished files
-    <root>/info/version=N      one row; version N makes batch N of every table visible
-
-A run writes its rows under batch N+1 and its info row last. Readers filter ``batch <= N``, a partition filter, so
-they never see half a batch; a run that died is overwritten by the next one. There is one writer at a time.
+    <root>/items/batch=N/run=R       vectors with their metadata
+    <root>/documents/batch=N/run=R   document registry
+    <root>/processed/batch=N/run=R   ledger of finished files
+    <root>/info/version=N            one row; version N makes run R of batch N of every table visible
+
+A run writes its rows under batch N+1 and a run name of its own, then its info row in a folder beside, and commits by
+renaming that folder to version N+1, which fails if there is one. So of two writers one commits and the other is
+refused, and neither touches the other's rows. Readers filter on batch and run, partition columns, and never see half
+a batch or the rows of a run that died or was refused.
 """
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vecloom import schemas
-from vecloom.session import has_files, make_folder, remove_folder, ship_package
+from vecloom.session import has_files, make_folder, remove_folder, rename_folder, ship_package
 
 _TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED}
 
@@ -33,11 +36,12 @@ class VectorStore:
     def __init__(self, spark: SparkSession, root: str, model_name: str | None = None, keep_full_text: bool = False):
         self.spark, self.root, self.keep_full_text = ship_package(spark), root.rstrip("/"), keep_full_text
         self._model_name = model_name
-        self._written: set[str] = set()
+        self._run = uuid.uuid4().hex
         if not self._committed(0):
             for name in _TABLES:
                 make_folder(spark, f"{self.root}/{name}")
-            self._write_info(Head(0, model_name, None, 1))
+            self._publish(Head(0, model_name, None, 1))
+            self._run = uuid.uuid4().hex  # a run's name stands for one batch
         self.head = self._load_head()
 
     def _committed(self, version: int) -> bool:
@@ -45,24 +49,29 @@ class VectorStore:
 
     # ---- reading ----
     def _load_head(self) -> Head:
-        row = self._read("info", schemas.INFO, "version").orderBy(F.desc("version")).first()
-        return Head(row.version, row.model_name or self._model_name, row.dim, row.next_id)
+        self._history = self._read("info", schemas.INFO, "version").orderBy("version").collect()
+        last = self._history[-1]
+        return Head(last.version, last.model_name or self._model_name, last.dim, last.next_id)
 
-    def _read(self, name: str, schema: StructType, partition: str) -> DataFrame:
-        full = StructType([*schema.fields, StructField(partition, IntegerType())])
-        return self.spark.read.schema(full).parquet(f"{self.root}/{name}")
+    def _read(self, name: str, schema: StructType, *partitions: StructField | str) -> DataFrame:
+        fields = [StructField(p, IntegerType()) if isinstance(p, str) else p for p in partitions]
+        return self.spark.read.schema(StructType([*schema.fields, *fields])).parquet(f"{self.root}/{name}")
 
     def _visible(self, name: str) -> DataFrame:
-        return self._read(name, _TABLES[name], "batch").where(F.col("batch") <= self.head.version).drop("batch")
+        return self._committed_rows(name).drop("batch")
+
+    def _committed_rows(self, name: str) -> DataFrame:
+        rows = self._read(name, _TABLES[name], "batch", StructField("run", StringType()))
+        runs = [row.run for row in self._history if row.version <= self.head.version]
+        return rows.where((F.col("batch") <= self.head.version) & F.col("run").isin(runs)).drop("run")
 
     def items_by_batch(self) -> DataFrame:
         """Items with their ``batch``, the partition column."""
-        return self._read("items", schemas.ITEMS, "batch").where(F.col("batch") <= self.head.version)
+        return self._committed_rows("items")
 
     def batch_starts(self) -> tuple[list[int], list[int]]:
         """First id and number of each batch that holds items, ascending: one entry per committed run."""
-        rows = self._read("info", schemas.INFO, "version").where(F.col("version") <= self.head.version)
-        history = rows.select("version", "next_id").orderBy("version").collect()
+        history = [row for row in self._history if row.version <= self.head.version]
         pairs = [(before.next_id, row.version) for before, row in zip(history, history[1:]) if row.next_id > before.next_id]
         return [first for first, _ in pairs], [version for _, version in pairs]
 
@@ -86,7 +95,7 @@ class VectorStore:
         return self._visible("processed")
 
     def info(self) -> DataFrame:
-        return self._read("info", schemas.INFO, "version").where(F.col("version") == self.head.version).drop("version")
+        return self._read("info", schemas.INFO, "version").where(F.col("version") == self.head.version).drop("version", "run")
 
     def chunks(self) -> DataFrame:
         """Typed view of the chunk fields that document vectors carry in their metadata."""
@@ -111,7 +120,10 @@ class VectorStore:
 
     def check_dim(self, dim: int) -> None:
         if self.head.dim is not None and self.head.dim != dim:
-            raise ValueError(f"index dimension mismatch: existing={self.head.dim}, incoming={dim}")
+            raise ValueError(f"vectors of dimension {dim} do not fit this store of dimension {self.head.dim}")
+
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{name}/batch={self.next_batch}/run={self._run}"
 
     def write(self, name: str, rows: DataFrame) -> None:
         """Write this run's rows of a table; invisible until :meth:`commit`. Columns not given become null."""
@@ -122,33 +134,45 @@ class VectorStore:
                 for f in _TABLES[name].fields
             ]
         )
-        shaped.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={self.next_batch}")
-        self._written.add(name)
+        shaped.write.mode("overwrite").parquet(self._folder(name))
 
     def written(self, name: str) -> DataFrame:
         """Rows this run has written and not yet committed."""
-        return self.spark.read.schema(_TABLES[name]).parquet(f"{self.root}/{name}/batch={self.next_batch}")
+        return self.spark.read.schema(_TABLES[name]).parquet(self._folder(name))
 
-    def _write_info(self, head: Head) -> None:
+    def _publish(self, head: Head) -> bool:
+        """Make ``head`` the version of its number; False if another run has done so."""
         row = self.spark.range(1, numPartitions=1).select(
             F.lit(head.model_name).cast("string").alias("model_name"),
             F.lit(head.dim).cast("int").alias("dim"),
             F.lit(head.next_id).cast("bigint").alias("next_id"),
             F.current_timestamp().alias("created_or_updated_at"),
+            F.lit(self._run).alias("run"),
         )
-        row.write.mode("overwrite").parquet(f"{self.root}/info/version={head.version}")
+        pending = f"{self.root}/pending/{self._run}"
+        row.write.mode("overwrite").parquet(pending)
+        make_folder(self.spark, f"{self.root}/info")
+        published = rename_folder(self.spark, pending, f"{self.root}/info/version={head.version}")
+        if not published:
+            remove_folder(self.spark, pending)
+        return published
+
+    def discard_run(self) -> None:
+        """Remove what this run has written and not committed, and begin a new run."""
+        for name in _TABLES:
+            remove_folder(self.spark, self._folder(name))
+        self._run = uuid.uuid4().hex
 
     def commit(self, *, added: int = 0, dim: int | None = None, model_name: str | None = None) -> None:
         """Make the written batch visible."""
-        if self._committed(self.next_batch):
-            raise RuntimeError("another writer has committed to this store; open it again")
-        for name in _TABLES.keys() - self._written:  # what a died run may have left under this batch number
-            remove_folder(self.spark, f"{self.root}/{name}/batch={self.next_batch}")
         old = self.head
         dim = old.dim if old.dim is not None else dim
         head = Head(self.next_batch, model_name or old.model_name, dim, old.next_id + added)
-        self._write_info(head)
-        self.head, self._written = head, set()
+        if self._committed(self.next_batch) or not self._publish(head):
+            self.discard_run()
+            raise RuntimeError("another writer has committed to this store; refresh it and try again")
+        self._history.append(Row(version=head.version, model_name=head.model_name, dim=head.dim, next_id=head.next_id, run=self._run))
+        self.head, self._run = head, uuid.uuid4().hex
 
 
 def open_store(
