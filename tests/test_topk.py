@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vecloom.functions import vectors
 from vecloom.operators import topk
 
 
@@ -92,3 +93,17 @@ def test_plan_moves_only_hits(spark, data):
     found = topk.top_k(frame(spark, corpus, "embedding", "vec_id"), frame(spark, queries, "vector", "query_id"), 2)
     plan = found.rows._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("n_bad", [1, 5, 40])
+def test_rows_that_are_not_finite_hide_no_hit(spark, n_bad):
+    rng = np.random.default_rng(n_bad)
+    good = vectors.unit_rows(rng.normal(size=(300, 8))).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(good)]
+    rows += [(1000 + i, [[float("nan")] * 8, [float("inf")] * 8, [None] * 8][i % 3]) for i in range(n_bad)]
+    corpus = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(2)
+    queries = spark.createDataFrame([(i, good[i].tolist()) for i in range(6)] + [(9, [float("nan")] * 8)], "query_id int, vector array<float>")
+    found = topk.top_k(corpus, queries, 5).rows.collect()
+    scores = np.round(good[:6].astype(np.float64) @ good.astype(np.float64).T, 6)
+    want = {(q, r + 1, int(i)) for q in range(6) for r, i in enumerate(np.lexsort((np.arange(300), -scores[q]))[:5])}
+    assert {(r.query_id, r.rank, r.vec_id) for r in found} == want

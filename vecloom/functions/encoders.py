@@ -85,6 +85,8 @@ def encode_texts(encoder, texts: list[str]) -> np.ndarray:
         vectors = np.atleast_2d(encoder.encode(part))
         if vectors.shape != (len(part), encoder.dim):
             raise ValueError(f"encoder {encoder.name} gave shape {vectors.shape}, expected {(len(part), encoder.dim)}")
+        if not np.isfinite(vectors).all():
+            raise ValueError(f"encoder {encoder.name} gave elements that are not finite")
         out[low : low + len(part)] = unit_rows(vectors)
     return out
 

@@ -25,10 +25,6 @@ def default_url(url: Column, file_name: Column, row_index: Column) -> Column:
     return F.coalesce(F.nullif(url, F.lit("")), made)
 
 
-def base_name(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
-
-
 def is_valid_url(url: Column) -> Column:
     return F.coalesce(url.startswith("http://") | url.startswith("https://"), F.lit(False))
 

@@ -44,10 +44,16 @@ def normalize(vector: Column) -> Column:
     return F.element_at(F.transform(F.array(norm(narrow)), scaled), 1)
 
 
-def dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+def is_finite(vector: Column) -> Column:
+    """Whether no element is null, NaN or infinite. NaN is the largest number to Spark."""
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
 
 
 def wrong_dimension(vector: Column, dim: int) -> Column:
     return F.coalesce(F.size(vector) != dim, F.lit(True))
+
+
+def fault(vector: Column, dim: int) -> Column:
+    """Why a vector cannot be stored - ``missing``, ``length`` or ``not finite`` - or null."""
+    missing = F.coalesce(F.size(vector) < 1, F.lit(True))
+    return F.when(missing, "missing").when(F.size(vector) != dim, "length").when(~is_finite(vector), "not finite")

@@ -51,6 +51,10 @@ class LocalTopK:
         self.rounding = 2 * (queries.shape[1] + 2) * np.finfo(np.float32).eps
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Vectors with an element that is not finite have no score and are left out."""
+        finite = np.isfinite(vectors).all(axis=1)
+        if not finite.all():
+            ids, vectors = ids[finite], vectors[finite]
         tile = max(1, SCORE_CELLS // len(self.queries))
         for low in range(0, len(ids), tile):
             self._add_tile(ids[low : low + tile], vectors[low : low + tile])

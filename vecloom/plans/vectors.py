@@ -17,6 +17,11 @@ def dim_violations(df: DataFrame, dim: int, vector: str = "embedding") -> DataFr
     return df.where(vectors.wrong_dimension(F.col(vector), dim))
 
 
+def vector_faults(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
+    """Rows whose vector :func:`add_vectors` would not store, with the ``reason``."""
+    return df.withColumn("reason", vectors.fault(F.col(vector), dim)).where(F.col("reason").isNotNull())
+
+
 def vector_items(df: DataFrame, doc_type: str | None, embedding: str = "embedding") -> DataFrame:
     """Unit vector, random id and metadata of each row; a row's own ``metadata`` map wins over the common fields."""
     columns = df.columns
@@ -44,38 +49,42 @@ def add_vectors(
     order_by: Sequence[str] = (),
     on_mismatch: Literal["raise", "reject"] = "raise",
     keep_text: bool = False,
+    dim: int | None = None,
 ) -> dict:
     """Append ``embedding`` rows (optional ``url``, ``text``, ``metadata`` map) to the store.
 
-    The first add fixes the dimension. A vector of another length makes the call fail with nothing added, or is
-    left out and counted with ``on_mismatch="reject"``. Null and empty vectors are skipped. Ids follow
-    ``order_by`` when it is given, at the cost of one range shuffle.
+    The first add fixes the dimension: ``dim``, or the commonest length of its vectors. A vector of another length or
+    with null, NaN or infinite elements makes the call fail with nothing added, or is left out and counted with
+    ``on_mismatch="reject"``. Null and empty vectors are left out and counted as ``skipped``. Ids follow ``order_by``
+    when it is given, at the cost of one range shuffle.
     """
-    usable = df.where(F.size("embedding") > 0)
-    dim = store.head.dim
+    if dim is not None:
+        store.check_dim(dim)
+    dim = store.head.dim if store.head.dim is not None else dim
     if dim is None:
-        first = usable.select(F.size("embedding")).first()
-        if first is None:
-            return {"added": 0, "rejected": 0, "first_id": None, "dim": None}
-        dim = first[0]
-    marked = usable.withColumn("_bad", vectors.wrong_dimension(F.col("embedding"), dim))
+        lengths = df.where(F.size("embedding") > 0).groupBy(F.size("embedding").alias("n")).count()
+        commonest = lengths.orderBy(F.desc("count"), "n").first()
+        if commonest is None:
+            return {"added": 0, "rejected": 0, "skipped": df.count(), "first_id": None, "dim": None}
+        dim = commonest.n
+    marked = df.withColumn("_fault", vectors.fault(F.col("embedding"), dim))
     if order_by:
         marked = marked.repartitionByRange(*order_by)
     # Rows to be left out go last in their partition: kept rows are numbered by their place in the staged file.
-    inside = [*(["_bad"] if on_mismatch == "reject" else []), *order_by]
-    if inside:
-        marked = marked.sortWithinPartitions(*inside)
+    marked = marked.sortWithinPartitions(F.col("_fault").isNotNull(), *order_by)
     copy = numbering.stage(marked, "vectors")
-    staged = copy.positioned()
-    rejected = staged.where("_bad").count()
-    if rejected and on_mismatch == "raise":
+    try:
+        staged = copy.positioned()
+        faults = {row[0]: row[1] for row in staged.where("_fault IS NOT NULL").groupBy("_fault").count().collect()}
+        skipped = faults.pop("missing", 0)
+        rejected = sum(faults.values())
+        if rejected and on_mismatch == "raise":
+            raise ValueError(f"{rejected} vectors do not fit dimension {dim} of the store: {faults}")
+        first_id = store.head.next_id
+        kept = staged.where("_fault IS NULL").drop("_fault", *([] if keep_text else ["text"]))
+        result = numbering.number_staged(kept, first_id)
+        store.write("items", vector_items(result.rows, doc_type))
+        store.commit(added=result.total, dim=dim)
+    finally:
         copy.discard()
-        raise ValueError(f"index dimension mismatch: existing={dim}, incoming rows of another length={rejected}")
-    first_id = store.head.next_id
-    kept = staged.where("NOT _bad").drop("_bad", *([] if keep_text else ["text"]))
-    result = numbering.number_staged(kept, first_id)
-    added = result.total
-    store.write("items", vector_items(result.rows, doc_type))
-    store.commit(added=added, dim=dim)
-    copy.discard()
-    return {"added": added, "rejected": rejected, "first_id": first_id, "dim": dim}
+    return {"added": result.total, "rejected": rejected, "skipped": skipped, "first_id": first_id, "dim": dim}
