@@ -179,3 +179,35 @@ def test_metadata_lines_of_a_store(spark, store, encoder, corpus, tmp_path):
     assert lines.first().url.startswith("http://fw2.local/a.parquet-") and len(lines.first().created_at) == 19
 
 
+
+
+def test_names_and_columns_that_spark_takes_for_something_else(spark, store, encoder, tmp_path):
+    root = str(tmp_path / "in")
+    files = {name: [words(i, 200), words(i + 20, 300)] for i, name in enumerate(["a[1].parquet", "b{x,y}.parquet", "c*?.parquet", "d e.parquet"])}
+    for name, texts in files.items():
+        put(f"{root}/{name}", texts)
+    put(f"{root}/_x.parquet", [words(3, 200)])
+    put(f"{root}/_dir/y.parquet", [words(4, 200)])
+    put(f"{root}/two.parquet", [words(5, 200)], "text", Text=["other"])
+    report = ingest_corpus(store, root, encoder)
+    assert report.added == 8 and store.items().select("source_file").distinct().count() == 4
+    assert sorted(p.split(root + "/")[1] for p in report.hidden) == ["_dir/y.parquet", "_x.parquet"]
+    status = {r.path.rsplit("/", 1)[1]: r.status for r in store.processed().collect()}
+    assert status["two.parquet"] == "ambiguous_column" and sorted(status.values()).count("ok") == 4
+
+
+@pytest.mark.parametrize("limits", [(2,), (1, 2, 4)])
+def test_a_row_limit_loses_nothing(spark, store, encoder, tmp_path, limits):
+    root = str(tmp_path / "in")
+    files = {"a.parquet": [words(1, 100), "short", words(2, 1200), words(3, 90)], "b.parquet": ["x", words(4, 100), None, words(5, 2000)]}
+    for name, texts in files.items():
+        put(f"{root}/{name}", texts)
+    left = 5
+    for limit in limits:
+        assert ingest_corpus(store, root, encoder, IngestOptions(limit=limit)).rows_sent == min(limit, left)
+        left -= min(limit, left)
+    ingest_corpus(store, root, encoder)
+    assert names(stored(store), root) == [w[:3] for w in expected(files)]
+    assert ingest_corpus(store, root, encoder).added == 0
+    totals = store.processed().groupBy().sum("rows_sent", "rows_skipped").first()
+    assert tuple(totals) == (5, 3)

@@ -1,3 +1,4 @@
+import os
 import time
 
 import pyarrow as pa
@@ -82,3 +83,29 @@ def test_documents_are_deduplicated_across_batches(spark, store, encoder, tmp_pa
         stream = spark.readStream.schema("seq bigint, text string").parquet(str(inbox))
         stream_documents(store, stream, encoder, str(tmp_path / "cp"), interval=None).awaitTermination()
     assert store.refresh().documents().count() == 3 and store.items().count() == 3
+
+
+def test_old_files_are_taken(spark, store, encoder, tmp_path):
+    root = str(tmp_path / "in")
+    put(f"{root}/new.parquet", [words(1, 300)])
+    run = lambda: stream_corpus(store, root, encoder, str(tmp_path / "cp"), interval=None).awaitTermination()
+    run()
+    put(f"{root}/old.parquet", [words(2, 300)])
+    os.utime(f"{root}/old.parquet", (time.time() - 30 * 86400,) * 2)
+    run()
+    assert store.refresh().items().count() == 2
+
+
+def test_failed_and_limited_files_are_offered_again(spark, store, encoder, tmp_path):
+    root = str(tmp_path / "in")
+    put(f"{root}/a.parquet", [words(1, 300), words(2, 300), words(3, 300)])
+    ledger = [(f"file://{root}/a.parquet", "failed", 0, 0, None), (f"file://{root}/gone.parquet", "failed", 0, 0, None)]
+    store.write("processed", spark.createDataFrame(ledger, "path string, status string, rows_sent bigint, rows_skipped bigint, last_row bigint"))
+    store.commit()
+    checkpoint = str(tmp_path / "cp")
+    run = lambda: stream_corpus(store, root, encoder, checkpoint, IngestOptions(limit=2), interval=None).awaitTermination()
+    run()
+    assert store.refresh().items().count() == 2
+    put(f"{root}/b.parquet", [words(4, 300)])
+    run()
+    assert sorted(r.source_row for r in store.refresh().items().collect() if r.source_file.endswith("a.parquet")) == [0, 1, 2]

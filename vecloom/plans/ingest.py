@@ -20,6 +20,7 @@ from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
 from vecloom.operators.balance import spread_in_order
+from vecloom.session import hidden_files
 from vecloom.sources import files as file_source
 from vecloom.sources.census import census
 from vecloom.sources.corpus import in_band, read_corpus
@@ -56,6 +57,7 @@ class IngestReport:
     seconds_staging: float = 0.0
     seconds_encoding: float = 0.0
     commits: list[int] = field(default_factory=list)
+    hidden: list[str] = field(default_factory=list)  # files that Spark's sources pass over by their names
 
     @property
     def vectors_per_second(self) -> float:
@@ -63,20 +65,30 @@ class IngestReport:
 
     def as_frame(self, spark: SparkSession) -> DataFrame:
         row = {**asdict(self), "vectors_per_second": self.vectors_per_second}
-        return spark.createDataFrame([Row(**{k: v for k, v in row.items() if k != "commits"})])
+        return spark.createDataFrame([Row(**{k: v for k, v in row.items() if k not in ("commits", "hidden")})])
 
 
 def ingest_corpus(
     store: VectorStore, root: str, encoder, options: IngestOptions = IngestOptions(), allow: list[str] | None = None
 ) -> IngestReport:
-    """Ingest the files below ``root`` that the ledger does not name yet."""
-    return ingest_files(store, file_source.list_files(store.spark, root, allow), encoder, options)
+    """Ingest the files below ``root`` that the ledger does not name yet. The report names files that were passed over."""
+    report = ingest_files(store, file_source.list_files(store.spark, root, allow), encoder, options)
+    report.hidden = hidden_files(store.spark, root, ".parquet")
+    return report
 
 
 def ingest_files(store: VectorStore, files: DataFrame, encoder, options: IngestOptions = IngestOptions()) -> IngestReport:
     store.check_dim(encoder.dim)
     facts = numbering.stage(census(file_source.unprocessed(files, store.processed())), "census")
     report = IngestReport()
+    try:
+        _ingest_slices(store, facts, encoder, options, report)
+    finally:
+        facts.discard()
+    return report
+
+
+def _ingest_slices(store: VectorStore, facts: numbering.Staged, encoder, options: IngestOptions, report: IngestReport) -> None:
     last = ""
     # A limited run starts with few files and widens, as it may need only the first ones.
     width = options.files_per_slice if options.limit is None else min(8, options.files_per_slice)
@@ -88,8 +100,6 @@ def ingest_files(store: VectorStore, files: DataFrame, encoder, options: IngestO
             _ingest_slice(store, slice_files, encoder, options, report)
         if not more:
             break
-    facts.discard()
-    return report
 
 
 def _next_slice(facts: DataFrame, after: str, width: int, max_bytes: int) -> tuple[list[Row], bool]:
@@ -113,24 +123,34 @@ def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: Ingest
     corpus = read_corpus(spark, touched)
     corpus = spread_in_order(corpus, sum(f.length for f in touched), "file_uri", "row_index")
     chunked = numbering.stage(chunk_rows(corpus, cut, options), "chunks")
-    rows = chunked.positioned()
+    try:
+        _number_and_encode(store, files, touched, cut, chunked.positioned(), encoder, options, report, began)
+    finally:
+        chunked.discard()
+
+
+def _number_and_encode(
+    store: VectorStore, files: list[Row], touched: list[Row], cut: tuple[str, int] | None, rows: DataFrame, encoder,
+    options: IngestOptions, report: IngestReport, began: float,
+) -> None:
+    spark = store.spark
     segments = _segments(rows)
     ledger = _file_ledger(files, segments, {f.file_uri for f in touched}, cut)
     staged = time.monotonic()
 
-    good = set(ledger.loc[ledger["status"].isin(["ok", "limited"]), "path"])
+    good = set(ledger.loc[ledger["rows_sent"] > 0, "path"])
     offsets = _segment_offsets(segments[segments["file_uri"].isin(good)], store.head.next_id)
     added = int(offsets["n"].sum())
     if added:
         table = pa.Table.from_pandas(offsets[["_part", "file_uri", "_base"]], preserve_index=False)
-        # At most one row per file and scan split of a bounded slice.
-        small = F.broadcast(spark.createDataFrame(table))
+        # At most one row per file and scan split of a bounded slice; beyond the checked count Spark joins by a shuffle.
+        small = spark.createDataFrame(table)
+        small = F.broadcast(small) if table.num_rows <= numbering.MAX_LOCAL_SEGMENTS else small
         kept = rows.where(F.col("chunk_index").isNotNull())
         numbered = numbering.with_ids(kept, small, ["file_uri"])
         store.write("items", encoded_items(numbered, encoder, options))
     store.write("processed", spark.createDataFrame(pa.Table.from_pandas(ledger, preserve_index=False)).coalesce(1))
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
-    chunked.discard()
 
     report.files += len(files)
     report.rows_sent += int(ledger["rows_sent"].sum())
@@ -210,20 +230,24 @@ def _file_ledger(
     files: list[Row], segments: pd.DataFrame, touched: set[str], cut: tuple[str, int] | None
 ) -> pd.DataFrame:
     """Status and counts per file. A file that gave fewer rows than its footer promises broke off while being read:
-    it is ``failed``, none of its rows are added, and it is offered again by the next run."""
+    it is ``failed``, none of its rows are added, and it is offered again by the next run, as is the ``limited`` file
+    in which a row limit fell, from the row behind ``last_row``."""
     totals = segments.groupby("file_uri")[["sent", "skipped"]].sum()
     rows = []
     for file in files:
         sent, skipped = totals.loc[file.file_uri] if file.file_uri in totals.index else (0, 0)
-        status = file.status
+        status, last_row = file.status, None
         if status == "ok" and file.file_uri not in touched:
             continue  # behind the limit: not read, so not finished
         if cut is not None and file.file_uri == cut[0]:
-            status = "limited"
-        elif status == "ok" and sent + skipped < file.n_rows:
+            status, last_row = "limited", cut[1]
+        elif status == "ok" and sent + skipped < file.n_rows - file.from_row:
             status, sent, skipped = "failed", 0, 0
-        rows.append((file.file_uri, status, int(sent), int(skipped)))
-    return pd.DataFrame(rows, columns=["path", "status", "rows_sent", "rows_skipped"])
+            if file.from_row:  # the rows taken before stay taken
+                status, last_row = "limited", file.from_row - 1
+        rows.append((file.file_uri, status, int(sent), int(skipped), last_row))
+    ledger = pd.DataFrame(rows, columns=["path", "status", "rows_sent", "rows_skipped", "last_row"])
+    return ledger.astype({"last_row": "Int64"})
 
 
 def encoded_items(numbered: DataFrame, encoder, options: IngestOptions) -> DataFrame:

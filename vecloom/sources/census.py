@@ -1,7 +1,9 @@
 """Footer census: which files can be read, and which of their columns hold text and url.
 
 Footers are read in parallel by tasks over the file list; no data page is touched. A file whose footer cannot be
-read is labelled instead of failing a later scan.
+read, or whose text or url column has a double that differs in case only, is labelled instead of failing a later scan.
+Footers are opened by pyarrow's file systems, which take credentials from their own environment settings and not from
+the Hadoop settings of the session.
 """
 
 from collections.abc import Iterator, Sequence
@@ -64,6 +66,9 @@ def _describe(path: str) -> dict:
         return {"status": "unreadable"}
     schema = footer.schema.to_arrow_schema()
     text, url = pick_column(schema.names, C.TEXT_COLUMNS), pick_column(schema.names, C.URL_COLUMNS)
+    lower = [name.lower() for name in schema.names]
+    if any(name and lower.count(name.lower()) > 1 for name in (text, url)):  # Spark tells no columns apart by case
+        return {"status": "ambiguous_column"}
     return {
         "status": "ok" if text else "no_text_column", "n_rows": footer.num_rows, "text_col": text, "url_col": url,
         "text_type": _spark_type(schema, text), "url_type": _spark_type(schema, url),
@@ -84,8 +89,9 @@ _ARROW_CENSUS = pa.schema(
 
 
 def census(files: DataFrame) -> DataFrame:
-    """One row per file of ``path, file_uri, length`` with its status and resolved columns."""
-    return files.select("path", "file_uri", "length").mapInArrow(_census, schemas.CENSUS)
+    """One row per file of ``path, file_uri, length[, from_row]`` with its status and resolved columns."""
+    from_row = "from_row" if "from_row" in files.columns else F.lit(0).cast("bigint").alias("from_row")
+    return files.select("path", "file_uri", "length", from_row).mapInArrow(_census, schemas.CENSUS)
 
 
 def table_name(file_uri: str = "file_uri"):

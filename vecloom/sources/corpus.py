@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from vecloom.functions import text as T
+from vecloom.sources.files import literal_path
 
 COLUMNS = "file_uri string, row_index bigint, text string, url string"
 
@@ -23,7 +24,7 @@ def _read_group(spark: SparkSession, key: tuple, paths: Sequence[str]) -> DataFr
     text_col, _, url_col, _ = key
     # A bad footer was sorted out by the census. ignoreCorruptFiles turns a page that breaks later into missing
     # rows, which ingest detects by comparing the rows scanned with the rows the footer promises.
-    rows = spark.read.schema(_group_schema(*key)).option("ignoreCorruptFiles", "true").parquet(*paths)
+    rows = spark.read.schema(_group_schema(*key)).option("ignoreCorruptFiles", "true").parquet(*map(literal_path, paths))
     url = F.col(f"`{url_col}`").cast("string") if url_col else F.lit(None).cast("string")
     row_index = F.col("_metadata.row_index")
     return rows.select(
@@ -45,7 +46,11 @@ def read_corpus(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
         groups.setdefault((file.text_col, file.text_type, file.url_col, file.url_type), []).append(file.path)
     if not groups:
         return spark.createDataFrame([], COLUMNS)
-    return reduce(DataFrame.unionByName, [_read_group(spark, key, paths) for key, paths in groups.items()])
+    rows = reduce(DataFrame.unionByName, [_read_group(spark, key, paths) for key, paths in groups.items()])
+    for file in files:
+        if file.from_row:  # files that a row limit had cut, a few at most
+            rows = rows.where((F.col("file_uri") != file.file_uri) | (F.col("row_index") >= file.from_row))
+    return rows
 
 
 def in_band(corpus: DataFrame, low: int, high: int) -> DataFrame:

@@ -1,14 +1,24 @@
 """Discovery of parquet files and the ledger of finished ones."""
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom import schemas
 from vecloom.functions import text as T
+from vecloom.session import has_files
 
 PARQUET = "*.parquet"
+#: Spark's file stream passes over files older than this. It must never bite, as copies often keep old times.
+STREAM_MAX_AGE = "36500d"
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that a reader would take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def _roots(root: str, allow: Sequence[str] | None) -> list[str]:
@@ -29,6 +39,7 @@ def stream_files(spark: SparkSession, root: str, max_files: int, max_bytes: str
     """The same columns as a stream of files that arrive below ``root``."""
     reader = spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE)
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET)
+    reader = reader.option("maxFileAge", STREAM_MAX_AGE)
     bound = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
     return file_columns(reader.option(*bound).load(root))
 
@@ -38,9 +49,25 @@ def file_columns(files: DataFrame) -> DataFrame:
 
 
 def unprocessed(files: DataFrame, processed: DataFrame) -> DataFrame:
-    """Files the ledger does not name. Files whose read broke off are offered again."""
-    done = processed.where(F.col("status") != "failed").select(F.col("path").alias("file_uri"))
-    return files.join(done, "file_uri", "left_anti")
+    """Files the ledger does not name, with ``from_row``, the first row to read. Files whose read broke off are offered
+    again, as are files that a row limit cut, from the row behind the last one taken."""
+    done = processed.where(~F.col("status").isin("failed", "limited")).select(F.col("path").alias("file_uri"))
+    left = files.join(done, "file_uri", "left_anti")
+    if "last_row" not in processed.columns:
+        return left.withColumn("from_row", F.lit(0).cast("bigint"))
+    cut = processed.where(F.col("status") == "limited").groupBy(F.col("path").alias("file_uri")).agg(F.max("last_row").alias("_last"))
+    return left.join(cut, "file_uri", "left").withColumn("from_row", F.coalesce(F.col("_last") + 1, F.lit(0))).drop("_last")
+
+
+def to_retry(spark: SparkSession, processed: DataFrame) -> DataFrame | None:
+    """Files of the ledger that are to be read again and still exist, in the columns of :func:`list_files`."""
+    finished = processed.where(~F.col("status").isin("failed", "limited")).select("path")
+    open_paths = processed.where(F.col("status").isin("failed", "limited")).select("path").distinct().join(finished, "path", "left_anti")
+    paths = [unquote(row.path) for row in open_paths.collect()]
+    paths = [path for path in map(literal_path, paths) if has_files(spark, path)]
+    if not paths:
+        return None
+    return file_columns(spark.read.format("binaryFile").load(paths))
 
 
 def read_ledger_text(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +75,7 @@ def read_ledger_text(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(T.strip(F.col("value")).alias("path")).where(F.col("path") != "")
     return lines.select(
         "path", F.lit("ok").alias("status"), F.lit(None).cast("bigint").alias("rows_sent"),
-        F.lit(None).cast("bigint").alias("rows_skipped"),
+        F.lit(None).cast("bigint").alias("rows_skipped"), F.lit(None).cast("bigint").alias("last_row"),
     )
 
 

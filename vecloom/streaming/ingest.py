@@ -14,7 +14,7 @@ from vecloom import constants as C
 from vecloom.plans.documents import UpsertReport, upsert_documents
 from vecloom.plans.ingest import IngestOptions, IngestReport, ingest_files
 from vecloom.plans.stats import stored_bytes
-from vecloom.sources.files import stream_files
+from vecloom.sources.files import stream_files, to_retry
 from vecloom.store import VectorStore
 
 FILES_PER_TRIGGER = 1_000
@@ -38,10 +38,14 @@ def stream_corpus(
     reports: list[IngestReport] | None = None,
 ) -> StreamingQuery:
     """Ingest files as they arrive below ``root``, one commit per micro-batch. Without ``interval`` the query takes
-    what is there and ends. A micro-batch takes at most ``files_per_trigger`` files, or ``bytes_per_trigger`` when given."""
+    what is there and ends. A micro-batch takes at most ``files_per_trigger`` files, or ``bytes_per_trigger`` when given,
+    and the files of the ledger whose read broke off or was cut by a row limit, which the stream itself offers once."""
 
     def handle(files: DataFrame, _batch: int) -> None:
-        report = ingest_files(store.refresh(), files, encoder, options)
+        again = to_retry(store.spark, store.refresh().processed())
+        if again is not None:
+            files = files.union(again).dropDuplicates(["file_uri"])
+        report = ingest_files(store, files, encoder, options)
         if reports is not None:
             reports.append(report)
 
