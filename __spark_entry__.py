@@ -11,14 +11,14 @@ from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata, vectors
 from vecloom.functions import text as T
 from vecloom.operators.balance import spread
-from vecloom.operators.dedup import first_per_key, with_content_key
+from vecloom.operators.dedup import first_rows, first_seq, with_content_key
 from vecloom.operators.numbering import assign_ids, next_id
 from vecloom.operators.topk import top_k
 from vecloom.plans import documents as docs_plan
 from vecloom.plans.ingest import IngestOptions, ingest_corpus, limit_cut, whole_text_options
 from vecloom.plans.search import search
 from vecloom.plans.stats import skip_stats, store_counts
-from vecloom.plans.vectors import add_vectors, dim_violations
+from vecloom.plans.vectors import add_vectors, dim_violations, vector_faults
 from vecloom.session import new_folder, ship_package
 from vecloom.sources.census import census, table_name
 from vecloom.sources.corpus import in_band, read_corpus
@@ -40,6 +40,7 @@ else:
 SMOKE_DIR = "/root/testdata/sf0.001"
 ENCODER = encoders.HashingEncoder(64)
 DIGITS = 6
+WHOLE_LIMIT = 120  # reached at every scale
 
 
 # ---- inputs ----
@@ -61,7 +62,7 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_documents(spark: SparkSession, sf_dir: str, source: DataFrame) -> DataFrame:
-    return first_per_key(with_content_key(source), "doc_ref", "doc_id")
+    return first_rows(with_content_key(source), "doc_id")
 
 
 def _doc_url() -> Column:
@@ -174,11 +175,11 @@ def chunk_offsets(spark, sf_dir):
 
 def dedup_documents(spark, sf_dir):
     keyed = with_content_key(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return keyed.groupBy("doc_ref").agg(F.min("doc_id").alias("doc_id"))
+    return first_seq(keyed, "doc_id").select(T.doc_ref(F.col("full_text_sha1")).alias("doc_ref"), "doc_id")
 
 
 def documents_registry(spark, sf_dir):
-    known = spark.createDataFrame([], "doc_id string")
+    known = spark.createDataFrame([], "full_text_sha1 string")
     source = docs_plan.document_rows(_all_documents(spark, sf_dir))
     first = docs_plan.new_documents(source, known)
     total = chunks.window_count(F.col("text"), C.DOCUMENT_CHUNK_SIZE, C.DOCUMENT_CHUNK_OVERLAP)
@@ -193,7 +194,13 @@ def _encoded(df: DataFrame, text: str) -> DataFrame:
 def _vector_facts() -> list[Column]:
     vector = F.col("embedding")
     nonzero = F.size(F.filter(vector, lambda x: x > 0)).alias("nonzero")
-    return [nonzero, F.round(F.array_max(vector).cast("double"), DIGITS).alias("top")]
+    return [nonzero, F.round(F.array_max(vector).cast("double"), DIGITS).alias("top"), _digest(vector)]
+
+
+def _digest(vector: Column) -> Column:
+    """Sum of place times value of all elements."""
+    placed = F.transform(vector, lambda x, i: (i + 1) * x.cast("double"))
+    return F.round(F.aggregate(placed, F.lit(0.0), lambda total, x: total + x), 4).alias("digest")
 
 
 def encode_chunks(spark, sf_dir):
@@ -211,6 +218,7 @@ def normalize(spark, sf_dir):
         "vec_id",
         F.round(vectors.norm(F.col("unit")), DIGITS).alias("norm"),
         F.round(F.col("unit")[0].cast("double"), DIGITS).alias("first"),
+        _digest(F.col("unit")),
     )
 
 
@@ -282,6 +290,27 @@ def wrong_dimensions(spark, sf_dir):
     return dim_violations(rows, 64).select("vec_id", F.size("embedding").alias("dim"))
 
 
+_ALTERED_VECTOR = (
+    "CASE label WHEN 1 THEN NULL WHEN 2 THEN slice(embedding, 1, 0) WHEN 3 THEN slice(embedding, 1, 63) "
+    "WHEN 4 THEN transform(embedding, (x, i) -> IF(i = 5, CAST('NaN' AS FLOAT), x)) "
+    "WHEN 5 THEN transform(embedding, (x, i) -> IF(i = 6, CAST('-Infinity' AS FLOAT), x)) "
+    "WHEN 6 THEN transform(embedding, (x, i) -> IF(i = 7, NULL, x)) ELSE embedding END"
+)
+
+
+def reject_vectors(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.expr(_ALTERED_VECTOR).alias("embedding"))
+    return vector_faults(rows, 64).select("vec_id", "reason")
+
+
+def accepted_vectors(spark, sf_dir):
+    """What a bulk add keeps of the altered vectors, all of which are offered."""
+    store = _new_store(spark, "store")
+    rows = _labelled_vectors(spark, sf_dir).withColumn("embedding", F.expr(_ALTERED_VECTOR))
+    add_vectors(store, rows, order_by=["source_vec_id"], on_mismatch="reject", dim=64)
+    return store.items().select(*_added(store), _digest(F.col("embedding")))
+
+
 # ---- search ----
 def _unit_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
@@ -364,9 +393,28 @@ def ingest_folder(spark, sf_dir):
     return _ingested(store)
 
 
+def ingest_resume(spark, sf_dir):
+    """A run with a row limit, and a second one that goes on behind the last row taken."""
+    store = _new_store(spark, "store")
+    ingest_corpus(store, sf_dir, ENCODER, IngestOptions(limit=150), allow=["documents.parquet"])
+    ingest_corpus(store, sf_dir, ENCODER, allow=["documents.parquet"])
+    return _ingested(store)
+
+
+def ledger_counts(spark, sf_dir):
+    store = _new_store(spark, "store")
+    ingest_corpus(store, sf_dir, ENCODER)
+    return store.processed().select(table_name("path").alias("table_name"), "status", "rows_sent", "rows_skipped")
+
+
+def human_sizes(spark, sf_dir):
+    size = F.octet_length("text").cast("bigint") * F.pow(F.lit(37), F.col("doc_id") % 9).cast("bigint")
+    return _table(spark, sf_dir, "documents").select("doc_id", T.human_bytes(size).alias("shown"))
+
+
 def ingest_whole(spark, sf_dir):
     store = _new_store(spark, "store")
-    ingest_corpus(store, sf_dir, ENCODER, whole_text_options(), allow=["documents.parquet"])
+    ingest_corpus(store, sf_dir, ENCODER, whole_text_options(limit=WHOLE_LIMIT), allow=["documents.parquet"])
     return store.items().select("vec_id", F.col("source_row").alias("doc_id"), F.col("metadata")["doc_type"].alias("doc_type"))
 
 
@@ -426,6 +474,8 @@ _QUERIES = {
     "jsonl_meta": jsonl_meta,
     "store_stats": store_statistics,
     "dim_violations": wrong_dimensions,
+    "reject_vectors": reject_vectors,
+    "accepted_vectors": accepted_vectors,
     "search_topk": search_topk,
     "search_batch": search_batch,
     "search_text": search_text,
@@ -434,7 +484,10 @@ _QUERIES = {
     "snippets": snippets,
     "upsert_status": upsert_status,
     "ingest_corpus": ingest_folder,
+    "ingest_resume": ingest_resume,
     "ingest_whole": ingest_whole,
+    "ledger_counts": ledger_counts,
+    "human_sizes": human_sizes,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
 }
@@ -446,6 +499,10 @@ _ALTERED_URL = (
     "WHEN 3 THEN '' WHEN 4 THEN NULL ELSE url END"
 )
 _WS = "concat(" + ", ".join(f"chr({point})" for point in C.WHITESPACE_POINTS) + ")"
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 _STEP = C.CORPUS_CHUNK_SIZE - C.CORPUS_CHUNK_OVERLAP
 _DOC_STEP = C.DOCUMENT_CHUNK_SIZE - C.DOCUMENT_CHUNK_OVERLAP
 
@@ -484,7 +541,7 @@ def _encoded_sql(source: str, keys: str, text: str) -> str:
 def _facts_sql(source: str, keys: str, text: str) -> str:
     return (
         f"WITH {_encoded_sql(source, keys, text)} SELECT {keys}, count(v)::INTEGER AS nonzero, "
-        f"round(coalesce(max(v), 0), {DIGITS}) AS top FROM x LEFT JOIN b USING ({keys}) GROUP BY ALL"
+        f"round(coalesce(max(v), 0), {DIGITS}) AS top, round(coalesce(sum((bucket + 1) * v), 0), 4) AS digest FROM x LEFT JOIN b USING ({keys}) GROUP BY ALL"
     )
 
 
@@ -528,11 +585,14 @@ def _text_search_sql(tail: str) -> str:
     )
 
 
-def _ingest_sql() -> str:
-    """All files with a text column, in file order; row numbers follow the keys the files are sorted by."""
+_INGESTED = {"benchmark": "item_id", "conversations": "conv_id, turn", "documents": "doc_id"}
+
+
+def _ingest_sql(tables: tuple[str, ...] = tuple(_INGESTED)) -> str:
+    """Files with a text column, in file order; row numbers follow the keys the files are sorted by."""
     sources = " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, row_number() OVER (ORDER BY {key}) - 1 AS doc_id, text FROM {name}"
-        for name, key in (("benchmark", "item_id"), ("conversations", "conv_id, turn"), ("documents", "doc_id"))
+        f"SELECT '{name}' AS table_name, row_number() OVER (ORDER BY {_INGESTED[name]}) - 1 AS doc_id, text FROM {name}"
+        for name in tables
     )
     chunks_sql = _chunks_sql("SELECT struct_pack(t := table_name, d := doc_id) AS doc_id, s FROM (SELECT table_name, doc_id, "
                              f"{_strip_sql('text')} AS s FROM ({sources})) WHERE length(s) BETWEEN {C.MIN_CHARS} AND {C.MAX_CHARS}")
@@ -555,7 +615,7 @@ def oracle_sql() -> dict[str, str]:
             ranks += f" UNION ALL SELECT {place}, '{column}:{name}'"
     picked = (
         f"WITH r AS ({ranks}), c AS (SELECT table_name, column_name FROM information_schema.columns "
-        "WHERE table_schema = 'main'), p AS (SELECT table_name, "
+        f"WHERE table_schema = 'main' AND table_name IN {_TABLES}), p AS (SELECT table_name, "
         "(SELECT arg_min(substr(r.c, 6), r.r) FROM r JOIN c x ON r.c = 'text:' || x.column_name "
         "WHERE x.table_name = t.table_name) AS text_col, (SELECT arg_min(substr(r.c, 5), r.r) FROM r JOIN c x "
         "ON r.c = 'url:' || x.column_name WHERE x.table_name = t.table_name) AS url_col "
@@ -601,7 +661,7 @@ def oracle_sql() -> dict[str, str]:
         "n AS (SELECT vec_id, v, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)) AS nrm FROM e), "
         "u AS (SELECT vec_id, list_transform(v, lambda x: (x / nrm)::FLOAT::DOUBLE) AS v FROM n) "
         f"SELECT vec_id, round(sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)), {DIGITS}) AS norm, "
-        f"round(v[1], {DIGITS}) AS first FROM u",
+        f"round(v[1], {DIGITS}) AS first, round(list_sum(list_transform(v, lambda x, i: i * x)), 4) AS digest FROM u",
         "encode_chunks": _facts_sql(parts, "doc_id, chunk_index", "chunk"),
         "encode_texts": _facts_sql(band, "doc_id", "s"),
         "assign_ids": f"SELECT row_number() OVER (ORDER BY doc_id, chunk_index) AS vec_id, doc_id, chunk_index FROM ({parts})",
@@ -629,8 +689,24 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE doc_id IN ({known})) AS known, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place FROM documents) "
         "SELECT doc_id, CASE WHEN blank THEN 'rejected' WHEN known OR place > 1 THEN 'exists' ELSE 'added' END AS status FROM d",
         "ingest_corpus": _ingest_sql(),
+        "ingest_resume": _ingest_sql(("documents",)),
+        "ledger_counts": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, 'ok' AS status, count(*) FILTER (WHERE {sent}) AS rows_sent, "
+            f"count(*) FILTER (WHERE NOT ({sent})) AS rows_skipped FROM {name}"
+            for name in _INGESTED
+        ) + " UNION ALL " + " UNION ALL ".join(
+            f"SELECT '{name}', 'no_text_column', 0, 0" for name in _TABLES if name not in _INGESTED
+        ),
+        "human_sizes": "WITH s AS (SELECT doc_id, strlen(text) * (37 ** (doc_id % 9))::BIGINT AS n FROM documents) SELECT doc_id, "
+        "CASE WHEN n < 1024 THEN format('{:.1f}B', n::DOUBLE) WHEN n < 1048576 THEN format('{:.1f}KB', n / 1024) "
+        "WHEN n < 1073741824 THEN format('{:.1f}MB', n / 1048576) WHEN n < 1099511627776 THEN format('{:.1f}GB', n / 1073741824) "
+        "ELSE format('{:.1f}TB', n / 1099511627776) END AS shown FROM s",
+        "reject_vectors": "SELECT vec_id, CASE WHEN label < 3 THEN 'missing' WHEN label = 3 THEN 'length' ELSE 'not finite' END "
+        "AS reason FROM embeddings WHERE label BETWEEN 1 AND 6",
+        "accepted_vectors": f"WITH {_UNIT_SQL} SELECT row_number() OVER (ORDER BY vec_id) AS vec_id, vec_id AS source_vec_id, "
+        "round(list_sum(list_transform(v, lambda x, i: i * x)), 4) AS digest FROM u WHERE label NOT BETWEEN 1 AND 6",
         "ingest_whole": f"SELECT row_number() OVER (ORDER BY doc_id) AS vec_id, doc_id, 'fineweb2' AS doc_type FROM ({band}) "
-        "ORDER BY doc_id LIMIT 1000",
+        f"ORDER BY doc_id LIMIT {WHOLE_LIMIT}",
         "stream_ingest": _ingest_sql(),
         "stream_dedup": f"SELECT {doc_ref} AS doc_ref, sha1(text) AS full_text_sha1, {total} AS total_chunks, "
         f"arg_min(source, (doc_id NOT IN ({known}))::BIGINT * 1000000000 + doc_id) AS doc_type FROM documents "

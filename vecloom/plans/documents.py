@@ -14,7 +14,7 @@ from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
-from vecloom.operators.dedup import first_per_key, not_known, with_content_key
+from vecloom.operators.dedup import first_rows, with_content_key
 from vecloom.store import VectorStore
 
 _OPTIONAL = ["url", "title", "doc_type", "external_id"]
@@ -38,10 +38,8 @@ def document_rows(df: DataFrame, keyed: bool = False) -> DataFrame:
 
 
 def new_documents(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """First document of each hash that is not in ``known``. Deduplication shuffles by ``doc_ref`` after a map-side
-    aggregate; the anti join reuses that partitioning and shuffles only the known ids."""
-    filled = docs.where(~T.is_blank(F.col("text")))
-    return not_known(first_per_key(filled, "doc_ref", "seq"), known, "doc_ref", "doc_id")
+    """First document of each hash that is not in ``known`` (``full_text_sha1``)."""
+    return first_rows(docs.where(~T.is_blank(F.col("text"))), "seq", known)
 
 
 def document_chunks(docs: DataFrame, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -106,6 +104,15 @@ def upsert_documents(
     cut = document_chunks(fresh, chunk_size, overlap)
     full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
     staged = numbering.stage(cut.withColumn("full_text", full_text).drop("text"), "documents")
+    try:
+        return _add_documents(store, docs, staged, encoder, with_status, began)
+    finally:
+        staged.discard()
+
+
+def _add_documents(
+    store: VectorStore, docs: DataFrame, staged: numbering.Staged, encoder, with_status: bool, began: float
+) -> UpsertReport:
     is_first = F.col("chunk_index") == 0
     result = numbering.number_staged(
         staged.positioned(), store.head.next_id, sums={"documents": is_first.cast("int")}
@@ -123,7 +130,6 @@ def upsert_documents(
         status = upsert_status(docs, winners.read())
     added = result.total
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
-    staged.discard()
     ended = time.monotonic()
     seconds = {
         "chunk": chunked - began, "encode": encoded - chunked, "add": ended - encoded, "total": ended - began,
@@ -190,7 +196,13 @@ def ingest_markdown(
     Cleaning, the costly part, runs once: cleaned pages are staged, and what follows reads the columns it needs.
     """
     cleaned = numbering.stage(with_content_key(markdown_documents(df)), "pages")
-    pages = cleaned.read()
+    try:
+        return _ingest_cleaned(store, cleaned.read(), encoder, chunk_size, overlap, language)
+    finally:
+        cleaned.discard()
+
+
+def _ingest_cleaned(store: VectorStore, pages: DataFrame, encoder, chunk_size: int, overlap: int, language: str) -> DataFrame:
     report = upsert_documents(store, pages.where(F.col("reason").isNull()), encoder, chunk_size, overlap, keyed=True)
     narrow = pages.select("seq", "url", "title", "doc_type", "reason")
     rows = narrow.join(report.status, "seq", "left").select(
@@ -199,9 +211,7 @@ def ingest_markdown(
         "total_chunks", "first_id", F.lit(encoder.name).alias("model_name"), F.lit(encoder.dim).alias("dim"),
         F.current_date().cast("string").alias("emb_ver"),
     )
-    status = numbering.stage(rows, "status").read()
-    cleaned.discard()
-    return status
+    return numbering.stage(rows, "status").read()
 
 
 def ingest_markdown_page(

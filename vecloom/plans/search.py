@@ -18,6 +18,7 @@ from vecloom.store import VectorStore
 HIT_BROADCAST_BYTES = 128 * 1024 * 1024
 PRUNING_IDS = 1_000_000
 ID_RANGES = 32
+LINKED_DOCUMENTS = 100_000
 _TOP_LEVEL = ["external_id", "text"]
 
 
@@ -68,7 +69,8 @@ def search(
     """``query_id, rank, vec_id, score, external_id, metadata[, text][, document]``.
 
     ``post`` filters the k best, so fewer than k may be left; ``pre`` ranks only rows that pass. ``rank`` is the
-    place among the k best before a post filter. ``link_documents`` adds the registry row of document chunks.
+    place among the k best before a post filter. ``link_documents`` adds the registry row of document chunks, whose
+    ``full_text`` comes with ``return_text`` only.
     """
     prepared = query_vectors(queries, encoder)
     items = store.items()
@@ -93,9 +95,14 @@ def search(
     columns = ["query_id", "rank", "vec_id", "score", "external_id", "metadata"] + (["text"] if return_text else [])
     result = described.select(*columns)
     if link_documents:
-        registry = store.documents()
+        result = numbering.stage(result, "described-hits").read()
+        wanted = result.select(F.col("metadata")["doc_ref"].alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+        few = wanted.count() <= LINKED_DOCUMENTS
+        registry = store.documents() if return_text else store.documents().drop("full_text")
+        registry = registry.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
         registry = registry.select(F.struct(*registry.columns).alias("document"))
-        result = result.join(registry, F.col("metadata")["doc_ref"] == F.col("document.doc_id"), "left")
+        linked = F.col("metadata")["doc_ref"] == F.col("document.doc_id")
+        result = result.join(F.broadcast(registry) if few and not return_text else registry, linked, "left")
     return result
 
 
