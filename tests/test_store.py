@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from vecloom.plans.stats import store_stats
 from vecloom.plans.vectors import add_vectors
-from vecloom.store import open_store
+from vecloom.plans.search import search
+from vecloom.store import compact, open_store, vacuum
 
 
 def vectors(spark, n, dim=3, start=0):
@@ -144,3 +145,20 @@ def test_nothing_stays_in_the_shared_folder(spark, store):
     with pytest.raises(ValueError):
         add_vectors(store, vectors(spark, 3, dim=4))
     assert set(glob.glob(f"{folder}/vecloom/*")) == before
+
+
+def test_compaction_keeps_ids_and_hits(spark, store):
+    for i in range(6):
+        add_vectors(store, vectors(spark, 4, start=4 * i), order_by=["k"])
+    queries = spark.createDataFrame([(0, [1.0, 1.0, 1.0]), (1, [9.0, 1.0, 1.0])], "query_id int, vector array<float>")
+    look = lambda s: [tuple(r)[:4] for r in search(s, queries, k=7).orderBy("query_id", "rank").collect()]
+    rows, hits = store.items().orderBy("vec_id").collect(), look(store)
+    early = open_store(spark, store.root)
+    compact(store)
+    for other in (store, open_store(spark, store.root), early):
+        assert other.items().orderBy("vec_id").collect() == rows and look(other) == hits
+    assert vacuum(store) == 6 and vacuum(store) == 0
+    again = open_store(spark, store.root)
+    assert len(again.items_by_batch().select("batch").distinct().collect()) == 1 and again.batch_starts() == ([1], [7])
+    assert add_vectors(again, vectors(spark, 2, start=50))["first_id"] == 25
+    assert open_store(spark, store.root).items().count() == 26 and len(look(again)) == 14

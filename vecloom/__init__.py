@@ -6,7 +6,7 @@ from vecloom.plans.ingest import IngestOptions, ingest_corpus, whole_text_option
 from vecloom.plans.search import search, search_one
 from vecloom.plans.stats import store_stats
 from vecloom.plans.vectors import add_vectors
-from vecloom.store import VectorStore, open_store
+from vecloom.store import VectorStore, compact, open_store, vacuum
 from vecloom.streaming.ingest import stream_corpus, stream_documents
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "SentenceModelEncoder",
     "VectorStore",
     "add_vectors",
+    "compact",
     "ingest_corpus",
     "ingest_markdown",
     "ingest_markdown_page",
@@ -26,5 +27,6 @@ __all__ = [
     "stream_documents",
     "upsert_document",
     "upsert_documents",
+    "vacuum",
     "whole_text_options",
 ]

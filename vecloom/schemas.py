@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
     FloatType,
     IntegerType,
     LongType,
@@ -59,6 +60,7 @@ INFO = _struct(
     ("next_id", LongType()),
     ("created_or_updated_at", TimestampType()),
     ("run", StringType()),
+    ("compacted", BooleanType()),  # the batch holds all rows, earlier batches count no more
 )
 
 METADATA_LINE = _struct(("id", LongType()), ("url", StringType()), ("created_at", StringType()))

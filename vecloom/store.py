@@ -22,6 +22,7 @@ from vecloom import schemas
 from vecloom.session import has_files, make_folder, remove_folder, rename_folder, ship_package
 
 _TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED}
+ITEMS_PER_FILE = 500_000
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,9 @@ class VectorStore:
 
     # ---- reading ----
     def _load_head(self) -> Head:
-        self._history = self._read("info", schemas.INFO, "version").orderBy("version").collect()
+        history = self._read("info", schemas.INFO, "version").orderBy("version").collect()
+        base = max((i for i, row in enumerate(history) if row.compacted), default=0)
+        self._history = history[base:]
         last = self._history[-1]
         return Head(last.version, last.model_name or self._model_name, last.dim, last.next_id)
 
@@ -73,6 +76,8 @@ class VectorStore:
         """First id and number of each batch that holds items, ascending: one entry per committed run."""
         history = [row for row in self._history if row.version <= self.head.version]
         pairs = [(before.next_id, row.version) for before, row in zip(history, history[1:]) if row.next_id > before.next_id]
+        if history and history[0].compacted and history[0].next_id > 1:
+            pairs.insert(0, (1, history[0].version))
         return [first for first, _ in pairs], [version for _, version in pairs]
 
     def refresh(self) -> "VectorStore":
@@ -140,7 +145,7 @@ class VectorStore:
         """Rows this run has written and not yet committed."""
         return self.spark.read.schema(_TABLES[name]).parquet(self._folder(name))
 
-    def _publish(self, head: Head) -> bool:
+    def _publish(self, head: Head, compacted: bool = False) -> bool:
         """Make ``head`` the version of its number; False if another run has done so."""
         row = self.spark.range(1, numPartitions=1).select(
             F.lit(head.model_name).cast("string").alias("model_name"),
@@ -148,6 +153,7 @@ class VectorStore:
             F.lit(head.next_id).cast("bigint").alias("next_id"),
             F.current_timestamp().alias("created_or_updated_at"),
             F.lit(self._run).alias("run"),
+            F.lit(compacted).alias("compacted"),
         )
         pending = f"{self.root}/pending/{self._run}"
         row.write.mode("overwrite").parquet(pending)
@@ -163,18 +169,50 @@ class VectorStore:
             remove_folder(self.spark, self._folder(name))
         self._run = uuid.uuid4().hex
 
-    def commit(self, *, added: int = 0, dim: int | None = None, model_name: str | None = None) -> None:
+    def commit(
+        self, *, added: int = 0, dim: int | None = None, model_name: str | None = None, compacted: bool = False
+    ) -> None:
         """Make the written batch visible."""
         old = self.head
         dim = old.dim if old.dim is not None else dim
         head = Head(self.next_batch, model_name or old.model_name, dim, old.next_id + added)
-        if self._committed(self.next_batch) or not self._publish(head):
+        if self._committed(self.next_batch) or not self._publish(head, compacted):
             self.discard_run()
             raise RuntimeError("another writer has committed to this store; refresh it and try again")
-        self._history.append(Row(version=head.version, model_name=head.model_name, dim=head.dim, next_id=head.next_id, run=self._run))
+        row = Row(version=head.version, next_id=head.next_id, run=self._run, compacted=compacted)
+        self._history = [*([] if compacted else self._history), row]
         self.head, self._run = head, uuid.uuid4().hex
 
 
+def compact(store: VectorStore, items_per_file: int = ITEMS_PER_FILE) -> None:
+    """Write all visible rows anew as one batch of larger files and commit it; ids stay, searches need no earlier batch.
+
+    Items stay in ranges of ids. Earlier batches are left for readers that opened the store before; :func:`vacuum`
+    removes them. A commit of another writer meanwhile refuses the compaction, which can be run again.
+    """
+    items = store.items()
+    files = max(1, -(-(store.head.next_id - 1) // items_per_file))
+    store.write("items", items.repartitionByRange(files, "vec_id").sortWithinPartitions("vec_id"))
+    for name in ("documents", "processed"):
+        store.write(name, store._visible(name).repartition(max(1, files // 4)))
+    store.commit(compacted=True)
+
+
+def vacuum(store: VectorStore) -> int:
+    """Remove the batches and versions before the last compaction, which no reader opened since can see. Returns how
+    many versions were removed. Readers that still use an earlier version fail and have to refresh."""
+    base = store.refresh()._history[0]
+    if not base.compacted:
+        return 0
+    versions = store._read("info", schemas.INFO, "version").where(F.col("version").between(1, base.version - 1))
+    gone = [row.version for row in versions.select("version").collect()]
+    for version in gone:
+        for name in _TABLES:
+            remove_folder(store.spark, f"{store.root}/{name}/batch={version}")
+        remove_folder(store.spark, f"{store.root}/info/version={version}")
+    return len(gone)
+
+
 def open_store(
     spark: SparkSession, root: str, model_name: str | None = None, keep_full_text: bool = False
 ) -> VectorStore:
