@@ -10,8 +10,8 @@ Documents are ordered by doc_id with a range partitioning; files are cut after a
 their mean size. The index, one Parquet row per record, holds file, record, offset, length, doc_id, start (tokens of all
 documents before it), n_tokens and the CRC-32 of the ids; a shuffled reader needs a row of it and one ranged read.
 
-White space never is inside a token here, so each distinct run without white space is encoded once per worker and the
-ids of a text are those of its runs; tests compare them with encoding whole texts.
+No token holds white space or spans the end of a word and a sign here, so each distinct run is encoded once per worker
+and the ids of a text are those of its runs; tests compare them with encoding whole texts.
 
 Defined results: a null text is the empty text (its record holds the end id only); rows without doc_id come first; rows
 that share a doc_id are ordered by a hash of the text; further columns are ignored.
@@ -35,7 +35,12 @@ from vecloom.session import new_folder
 
 END_ID = 2
 FILE_BYTES = 16 << 20
-CACHE_RUNS = 300_000
+CACHE_RUNS = 600_000
+RUNS_AT_ONCE = 2000
+SEPARATOR = "<|startoftext|>"
+_SIGN = np.zeros(256, bool)
+_SIGN[0x21:0x30] = _SIGN[0x3A:0x41] = _SIGN[0x5B:0x61] = _SIGN[0x7B:0x7F] = True
+_LETTER = W.ALNUM & (np.arange(256) < 0x80)
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<?qB")
 _INDEX = "file string, record bigint, offset bigint, length bigint, doc_id bigint, in_file bigint, n_tokens bigint, ids_crc32 bigint"
@@ -82,49 +87,82 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
-        self.codes = np.zeros(0, np.uint64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, self.kind)
-
-    def _encode(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        ids = [x.ids for x in got]
-        flat = np.fromiter((i for x in ids for i in x), self.kind)
-        return np.fromiter(map(len, ids), np.int64, len(ids)), flat
+        self.gap = SEPARATOR if self.tokenizer.token_to_id(SEPARATOR) is not None else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes, self.lengths, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def _encode_some(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids. Runs are joined by a special token, at which the tokenizer starts afresh."""
+        texts = [r.decode("utf-8", "replace") for r in runs]
+        if self.gap is None or any("<|" in t for t in texts):
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter((i for x in ids for i in x), self.kind)
+        ids = np.array(self.tokenizer.encode_batch_fast([self.gap.join([*texts, ""])], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.flatnonzero(ids == self.tokenizer.token_to_id(self.gap))
+        return np.diff(ends, prepend=-1) - 1, np.delete(ids, ends).astype(self.kind)
 
     def _known(self, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Lengths and ids, one after the other, of the distinct runs with the given sorted fingerprints."""
+        """Length and place in the returned ids of the distinct runs with the given sorted fingerprints."""
         fresh = ~np.isin(codes, self.codes, assume_unique=True)
         raw = data.tobytes()
-        lengths, ids = self._encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)])
+        runs = [raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)]
+        parts = [self._encode_some(runs[i : i + RUNS_AT_ONCE]) for i in range(0, len(runs), RUNS_AT_ONCE)]
         merged = np.concatenate([self.codes, codes[fresh]])
-        sizes = np.concatenate([self.lengths, lengths])
+        sizes = np.concatenate([self.lengths, *(p[0] for p in parts)])
         begin = np.cumsum(sizes) - sizes
         order = np.argsort(merged, kind="stable")
-        every = np.concatenate([self.ids, ids])
+        every = np.concatenate([self.ids, *(p[1] for p in parts)])
+        wanted = order[np.searchsorted(merged[order], codes)]
         if len(order) <= CACHE_RUNS:
             self.codes, self.lengths = merged[order], sizes[order]
             self.ids = every[W.ranges(begin[order], sizes[order])]
         else:
-            self.__dict__.update(codes=codes[:0], lengths=lengths[:0], ids=ids[:0])
-        wanted = order[np.searchsorted(merged[order], codes)]
+            self._forget()
         return sizes[wanted], begin[wanted], every
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every row."""
         data, offsets = W.text_bytes(column)
         for a, b in W.row_slices(offsets):
-            raw = data[offsets[a] : offsets[b]]
-            starts, ends, words = W.split_words(raw, offsets[a : b + 1] - offsets[a], W.NOT_SPACE)
-            codes, first, inverse = np.unique(W.fingerprints(raw, starts, ends), return_index=True, return_inverse=True)
-            lengths, begin, every = self._known(codes, raw, starts[first], ends[first])
+            raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            low, starts, ends, words = runs_of(raw, bounds)
+            codes, first, inverse = np.unique(W.fingerprints(low, starts, ends), return_index=True, return_inverse=True)
+            lengths, begin, every = self._known(codes, low, starts[first], ends[first])
             sizes = lengths[inverse]
             flat = every[W.ranges(begin[inverse], sizes)]
-            bounds = np.concatenate([[0], np.cumsum(sizes)])[words].tolist()
-            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+            edges = np.concatenate([[0], np.cumsum(sizes)])[words].tolist()
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
                 yield flat[i:j]
 
 
+def runs_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes in lower case, and start, end and row offsets of the runs that are encoded on their own.
+
+    A text is cut at white space, and before an ASCII sign that follows an ASCII letter or digit or a letter of
+    Latin-1: there a token always ends. Upper and lower case of ASCII letters have the same ids. Neither is done to
+    runs with ``<|``, with which special tokens begin.
+    """
+    starts, ends, _ = W.split_words(raw, bounds, W.NOT_SPACE)
+    low = W.LOWER[raw]
+    if len(raw) > 1:
+        before = raw[:-1]
+        letter = _LETTER[before]
+        letter[1:] |= (before[1:] >= 0x80) & (before[1:] != 0x97) & (before[1:] != 0xB7) & (raw[:-2] == 0xC3)
+        cut = np.flatnonzero(_SIGN[raw[1:]] & letter) + 1
+        special = np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))
+        if len(special):
+            held = np.unique(np.searchsorted(starts, special, side="right") - 1)
+            word = np.searchsorted(starts, cut, side="right") - 1
+            cut = cut[~np.isin(word, held)]
+            inside = W.ranges(starts[held], (ends - starts)[held])
+            low[inside] = raw[inside]
+        cut = cut[~np.isin(cut, starts)]
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+    return low, starts, ends, np.searchsorted(starts, bounds)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Write one record per document (doc_id, text) below ``path``, in ascending order of doc_id over the sorted files."""
     vocabulary = tokenizer or default_tokenizer()
