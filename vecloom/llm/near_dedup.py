@@ -9,11 +9,12 @@ set. Documents of equal sets are one node. Inverted lists of the retained values
 2. A list whose members are now in one component has nothing left to show. In the others, members of different
    components meet, which loses no link, as links inside a component change nothing. Long lists (boilerplate that many
    documents share) are only read for nodes that consist of such values to more than half; any other node shares enough
-   of its remaining values with each of its near-duplicates to meet them in short lists.
+   of its remaining values with each of its near-duplicates to meet them in short lists. Lists drop pairs whose sketches
+   have too few values in common, long lists counted as common where they were not read.
 
 Candidates pass if the sketch of their union, estimated from both sketches, does not exclude the threshold, and links
-are those whose full sets do reach it. With 128 values a link is missed with a probability below 1e-8 at the worst
-mixture of long and short lists, and below 1e-30 otherwise.
+are those whose full sets do reach it. With 96 values a link is missed with a probability of at most 5e-7, reached
+only by a pair at the threshold with half of its values in long lists; without those it is below 1e-30.
 
 Defined results: null and empty texts have n_shingles 0 and are linked with nothing; rows that share a doc_id are one
 document; rows without doc_id are linked with nothing, have component_id null and are kept; further columns are ignored
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,11 +37,13 @@ from vecloom.llm.components import components
 from vecloom.llm.staging import small, staged
 
 SHINGLE = 5
-SKETCH = 128
+SKETCH = 96
 NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 0.2  # five standard deviations of the estimate
 LONG_LIST = 50
-LEAST_SHARED = 0.1  # of the values in short lists; links share a third or more
+PIVOT_SHARE = 0.15  # of its values that a node meets its pivot in; the others meet in step 2
+#: Share of a sketch that links have in common at least: the threshold less five standard deviations.
+COMMON = 0.53
 
 
 def shingle_sets(column: pa.Array, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -79,7 +82,7 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
             for values in shingle_sets(batch.column(1)):
                 sizes.append(len(values))
                 digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).hexdigest() if len(values) else None)
-                kept.append(values[:k])
+                kept.append(values[:k].copy())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), _lists(kept)], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -98,13 +101,17 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, schema)
 
 
-def _may_reach(k: int, least: float) -> Column:
-    """Whether the bottom-k sketch of the union, made of both sketches, allows a Jaccard similarity of ``least``."""
-    union = F.array_sort(F.array_union("sketch_a", "sketch_b"))
-    size = F.least(F.size(union), F.lit(k))
-    last = F.element_at(union, size)
-    both = F.size(F.filter(F.array_intersect("sketch_a", "sketch_b"), lambda x: x <= last))
-    return both >= (least - SLACK) * size
+def _may_reach(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of which the sketch of the union, made of both sketches, allows a Jaccard similarity of ``least``."""
+    for batch in batches:
+        keep = np.zeros(batch.num_rows, bool)
+        (i, x), (j, y) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(2), batch.column(3)))
+        for row in range(batch.num_rows):
+            u, v = x[i[row] : i[row + 1]], y[j[row] : j[row + 1]]
+            union = np.union1d(u, v)[:k]
+            both = np.intersect1d(u, v, assume_unique=True)
+            keep[row] = np.searchsorted(both, union[-1], side="right") >= (least - SLACK) * len(union)
+        yield batch.select([0, 1]).filter(pa.array(keep))
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -112,8 +119,8 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num:
     left = nodes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     right = nodes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     fits = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
-    near = pairs.join(left, "a").join(right, "b").where(fits).where(_may_reach(k, num / den))
-    near = staged(near.select("a", "b").distinct(), "candidates")
+    near = pairs.join(left, "a").join(right, "b").where(fits).select("a", "b", "sketch_a", "sketch_b")
+    near = staged(near.mapInArrow(lambda it: _may_reach(it, k, num / den), pairs.schema).distinct(), "candidates")
     sets = staged(_sets(docs, near.select(F.col("a").alias("id")).union(near.select("b")).distinct()), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,26 +139,31 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num:
 
 def _pivot_pairs(listed: DataFrame) -> DataFrame:
     """(a, b): each node with the pivot that leads most of its lists."""
-    members = listed.select("rep", "shared", F.explode("lists.v").alias("v"))
+    members = listed.select("rep", "size", "shared", F.explode("lists.v").alias("v"))
     pivots = staged(members.groupBy("v").agg(F.max(F.struct("shared", (-F.col("rep")).alias("r"))).alias("m")).select("v", (-F.col("m.r")).alias("pivot")), "pivots")
-    led = members.join(pivots, "v").where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("n"))
+    led = members.join(pivots, "v").where("rep <> pivot").groupBy("rep", "size", "pivot").agg(F.count("*").alias("n"))
+    led = led.where(F.col("n") >= PIVOT_SHARE * F.col("size"))
     best = led.groupBy("rep").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("m"))
     return staged(best.select(F.col("rep").alias("a"), (-F.col("m.p")).alias("b")), "pivot-pairs")
 
 
-def _open_pairs(listed: DataFrame, labels: DataFrame, long_list: int) -> DataFrame:
+def _open_pairs(listed: DataFrame, labels: DataFrame, long_list: int, num: int, den: int) -> DataFrame:
     """(a, b): members of a list that are in different components and share enough values."""
-    labelled = listed.join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep"))
-    values = labelled.select("rep", "label", "n_cold", "hot_node", F.explode("lists").alias("l")).select("*", "l.v", "l.cnt").drop("l")
+    related = listed.where(F.size("lists") >= COMMON * F.col("size"))
+    labelled = related.join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep"))
+    values = labelled.select("rep", "n", "label", "size", "held", "hot_node", F.explode("lists").alias("l")).select("*", "l.v", "l.cnt").drop("l")
     values = staged(values.where(f"cnt <= {long_list} OR hot_node"), "list-members")
     open_lists = values.groupBy("v").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("v")
     values = staged(values.join(staged(open_lists, "open-lists"), "v"), "open-members")
-    a = values.select("v", "cnt", F.col("rep").alias("a"), F.col("label").alias("label_a"), F.col("n_cold").alias("cold_a"))
-    b = values.select("v", F.col("rep").alias("b"), F.col("label").alias("label_b"), F.col("n_cold").alias("cold_b"))
-    met = a.join(b, "v").where("a < b AND label_a <> label_b")
-    hot = F.col("cnt") > long_list
-    counted = met.groupBy("a", "b", "cold_a", "cold_b").agg(F.sum(hot.cast("int")).alias("hot"), F.sum((~hot).cast("int")).alias("cold"))
-    enough = (F.col("hot") > 0) | (F.col("cold") >= LEAST_SHARED * F.least("cold_a", "cold_b"))
+    facts = ("n", "label", "size", "held", "hot_node")
+    a = values.select("v", F.col("rep").alias("a"), *(F.col(c).alias(f"{c}_a") for c in facts))
+    b = values.select("v", F.col("rep").alias("b"), *(F.col(c).alias(f"{c}_b") for c in facts))
+    sizes = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    met = a.join(b, "v").where(F.expr("a < b AND label_a <> label_b") & sizes)
+    all_lists = F.col("hot_node_a") & F.col("hot_node_b")
+    least = COMMON * F.least("size_a", "size_b") - F.when(all_lists, F.lit(0)).otherwise(F.least("held_a", "held_b"))
+    counted = met.groupBy("a", "b", least.alias("least")).agg(F.count("*").alias("shared"))
+    enough = F.col("shared") >= F.col("least")
     return staged(counted.where(enough).select("a", "b"), "open-pairs")
 
 
@@ -161,23 +173,25 @@ def near_duplicates(
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
     sketched = staged(sketches(docs, k), "sketches")
     real = sketched.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(real.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    first = real.join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep")))
-    nodes = staged(first.select("rep", "digest", "n", "sketch").dropDuplicates(["rep", "digest"]), "nodes")
-
-    values = nodes.select("rep", F.explode("sketch").alias("v"))
+    classes = staged(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")), "classes")
+    repeated = small(classes.where("members > 1").select(F.col("digest").alias("d"), "rep"))
+    copies = real.select("doc_id", "digest").join(repeated, (F.col("digest") == F.col("d")) & (F.col("doc_id") > F.col("rep")))
+    copies = small(staged(copies.select(F.col("doc_id").alias("copy"), "d").distinct(), "copies"))
+    first = real.join(copies, (F.col("doc_id") == F.col("copy")) & (F.col("digest") == F.col("d")), "left_anti")
+    nodes = first.select(F.col("doc_id").alias("rep"), "n", "sketch")
+
+    values = nodes.select("rep", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
     shared = staged(values.groupBy("v").agg(F.count("*").alias("cnt")).where("cnt > 1"), "shared-values")
-    lists = values.join(shared, "v").groupBy("rep").agg(F.collect_list(F.struct("v", "cnt")).alias("lists"))
+    lists = values.join(shared, "v").groupBy("rep", "n", "size").agg(F.collect_list(F.struct("v", "cnt")).alias("lists"))
     held = F.size(F.filter("lists", lambda x: x["cnt"] > long_list))
-    size = nodes.groupBy("rep").agg(F.max(F.size("sketch")).alias("size"))
-    listed = lists.join(size, "rep").select(
-        "rep", "lists", F.aggregate("lists", F.lit(0).cast("bigint"), lambda s, x: s + x["cnt"]).alias("shared"),
-        (F.size("lists") - held).alias("n_cold"), (2 * held > F.col("size")).alias("hot_node"),
+    listed = lists.select(
+        "rep", "n", "size", "lists", F.aggregate("lists", F.lit(0).cast("bigint"), lambda s, x: s + x["cnt"]).alias("shared"),
+        held.alias("held"), (2 * held > F.col("size")).alias("hot_node"),
     )
     listed = staged(listed, "listed")
 
     links = _confirmed(_pivot_pairs(listed), nodes, docs, k, numerator, denominator)
-    more = _confirmed(_open_pairs(listed, components(links), long_list), nodes, docs, k, numerator, denominator)
+    more = _confirmed(_open_pairs(listed, components(links), long_list, numerator, denominator), nodes, docs, k, numerator, denominator)
     labels = components(links.union(more))
 
     named = classes.join(labels, F.col("rep") == F.col("node"), "left")
