@@ -73,7 +73,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 4, bucket
     total = int(places[-1])
     starts = spark.sparkContext.broadcast((places, np.arange(shards + 1) * total // shards))
     bucket = F.shiftright(F.col("__cell").cast("bigint") * n, CELL_BITS).cast("int").alias("__bucket")
-    scattered = hashed.select(*(F.col(f"`{c}`") for c in docs.columns), "__h", bucket).repartition(n, "__bucket")
+    scattered = hashed.select(*(F.col(f"`{c}`") for c in docs.columns), "__h", bucket).repartitionById(n, "__bucket")
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
