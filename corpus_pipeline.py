@@ -10,33 +10,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vecloom.llm import decontaminate, langid, mixing, near_dedup, sharding
-from vecloom.llm.staging import staged, table
+from vecloom.llm.staging import in_small_batches, staged, table
 from vecloom.session import ship_package
 
 
+@in_small_batches
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of which no language is likelier than all others together, go."""
     ship_package(spark)
     return langid.keep_identified(docs, langid.fit(docs))
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest doc_id stays."""
     ship_package(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
+@in_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in benchmark windows go."""
     return decontaminate.remove_contaminated(docs, table(ship_package(spark), sf_dir, "benchmark"))
 
 
+@in_small_batches
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are left out, or stand up to three times, so that sources reach their target weights."""
     ship_package(spark)
     return mixing.mix(docs)
 
 
+@in_small_batches
 def sharding_in_random_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row gets its shard and its slot in the shard."""
     ship_package(spark)

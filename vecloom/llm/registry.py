@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from vecloom.llm import decontaminate, langid, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_records, topk_search, warc
+from vecloom.llm.staging import in_small_batches
 
-QUERIES = {
+_QUERIES = {
     "op1_suffix_decontamination": decontaminate.op1_suffix_decontamination,
     "op2_crf_secret_scan": secret_scan.op2_crf_secret_scan,
     "op3_warc_chain": warc.op3_warc_chain,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_fm_substring_dedup": substring_dedup.op10_fm_substring_dedup,
 }
+QUERIES = {name: in_small_batches(query) for name, query in _QUERIES.items()}
 ORACLES = {
     "op1_suffix_decontamination": decontaminate.ORACLE_SQL,
     "op3_warc_chain": warc.ORACLE_SQL,

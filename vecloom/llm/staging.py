@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.session import new_folder
 
 BROADCAST_ROWS = 500_000
+BATCH_BYTES = "8m"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -24,3 +28,15 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def in_small_batches(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let the session hand texts to Python in batches of at most ``BATCH_BYTES``: with Spark's 64 MB, which JVM and
+    worker hold several times over, a batch of long texts is the largest thing in an executor's memory."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return query(spark, *args)
+
+    return run
