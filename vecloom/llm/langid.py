@@ -31,8 +31,8 @@ WORD_BYTES = 48
 ROUNDS = 3
 SMOOTHING = 0.02
 REJECT_BELOW = 0.5
-CHUNK = 20_000
-CACHE_WORDS = 400_000
+CHUNK = 4_000
+CACHE_WORDS = 200_000
 _MULTIPLY = np.uint64(0xD1342543DE82EF95)
 _FILTER_BITS = 22
 
@@ -257,7 +257,7 @@ class Scorer:
         data, offsets = W.text_bytes(column)
         n, k = len(offsets) - 1, len(self.model.langs)
         best, score = np.full(n, -1), np.zeros(n)
-        for a, b in W.row_slices(offsets, 4 * W.SLICE_BYTES):
+        for a, b in W.row_slices(offsets):
             if not k:
                 break
             raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
