@@ -66,6 +66,27 @@ def test_language_edge_cases(documents, raw_documents, no_documents):
     assert langid.identify(no_documents, model).isEmpty()
 
 
+def test_language_of_long_texts_only(spark):
+    """A language is learned from texts of any length, and only if it has a text."""
+    short, long = "the cat sat on the mat and it was good ", "der Hund liegt auf dem Boden und schläft "
+    rows = [(i, short * 5, "en") for i in range(40)] + [(i, long * 700, "de") for i in range(40, 80)]
+    rows += [(i, " \t" if i % 2 else None, "xx") for i in range(80, 90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    for few in (3000, 1e-9):  # with the smaller one, one row per language is drawn
+        model = langid.fit(docs, rows=few)
+        assert model.langs == ["de", "en"] and (model.probability.max(axis=0) > 0.01).all()
+        found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+        assert all(found[i][0] == lang and found[i][1] > 0.99 for i, _, lang in rows[:80])
+    model = langid.fit(docs.where("lang = 'de'"))
+    assert {(r.lang_pred, r.score) for r in langid.identify(docs.where("lang = 'de'"), model).collect()} == {("de", 1.0)}
+
+
+def test_expected_counts_do_not_depend_on_the_dealing(spark):
+    docs = table(spark, "documents")
+    one, other = langid.fit(docs.coalesce(1)), langid.fit(docs.repartition(5))
+    assert one.langs == other.langs and (one.probability == other.probability).all()
+
+
 # ---- secrets ----
 SECRETS = [
     'a token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" b', "é PASSWORD: hunter2hunter2", "token:key password=longenough", "token = short",

@@ -5,11 +5,15 @@ pieces, of the product of their probabilities, computed by a forward recursion;
 text's log-probability is the sum over its words, and each distinct word of a batch is scored once. The probabilities
 are fitted by expectation-maximisation, whose expected counts come from the same recursion run both ways.
 
-The models are fitted on a bounded sample of the labelled rows: ``TRAIN_ROWS`` in expectation, spread evenly over the
-languages and drawn by a hash of doc_id, of texts of at most ``TRAIN_CHARS`` characters. Prediction reads whole texts.
+The models are fitted on a sample of the labelled rows: ``TRAIN_ROWS`` in expectation, spread evenly over the languages
+and drawn by a hash of doc_id, of texts of any length; the row with the smallest hash of a language is always drawn. Whole
+texts are read, for fitting as for prediction. Spark reduces the sample to distinct words with their counts per language
+and sums the expected counts of every round over them; the driver holds only the counts per piece and language. Expected
+counts are rounded to a power of two that makes their sums exact, so that the model does not depend on their order.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0, and so is every text where no row is
-labelled; rows with null lang or doc_id are not learned from; runs of more than ``WORD_BYTES`` bytes without white space
+labelled; rows with null lang or doc_id, or without a word, are not learned from, and a language that has no other rows
+is not among the answers; runs of more than ``WORD_BYTES`` bytes without white space
 are scored in parts of that length; equal scores go to the lesser language code.
 """
 
@@ -19,19 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.llm import words as W
+from vecloom.llm.staging import staged
 
 TRAIN_ROWS = 3000
-TRAIN_CHARS = 20_000
 WORD_BYTES = 48
 ROUNDS = 3
 SMOOTHING = 0.02
 REJECT_BELOW = 0.5
 CHUNK = 4_000
+EMIT_WORDS = 50_000
 CACHE_WORDS = 200_000
 _MULTIPLY = np.uint64(0xD1342543DE82EF95)
 _FILTER_BITS = 22
@@ -145,8 +151,9 @@ def word_scores(pieces: Pieces, probability: np.ndarray, data: np.ndarray, start
     return out
 
 
-def _expected(pieces: Pieces, probability: np.ndarray, data, starts, lengths, counts: np.ndarray) -> np.ndarray:
-    """Expected number of uses [piece, language] over all segmentations of words that occur counts[word, language] times."""
+def _expected(pieces: Pieces, probability: np.ndarray, data, starts, lengths, counts: np.ndarray, unit: float) -> np.ndarray:
+    """Expected number of uses [piece, language], in multiples of ``unit``, over all segmentations of words that occur
+    counts[word, language] times."""
     total = np.zeros_like(probability)
     for part in _chunks(lengths):
         cells = _cells(data, starts[part], lengths[part])
@@ -159,6 +166,7 @@ def _expected(pieces: Pieces, probability: np.ndarray, data, starts, lengths, co
         beta = _forward(word[order], (lengths[part][word] - end)[order], flipped[order], weight[order], size, m)
         whole = np.maximum(alpha[lengths[part], np.arange(m)], 1e-300)
         share = alpha[start, word] * weight * beta[lengths[part][word] - end, word] / whole[word] * counts[part][word]
+        share = np.rint(share / unit) * unit
         for k in range(total.shape[1]):
             total[:, k] += np.bincount(piece, weights=share[:, k], minlength=pieces.n)
     return total
@@ -201,28 +209,79 @@ class Model:
         self.langs, self.pieces, self.probability = langs, Pieces(pieces), probability
 
 
-def fit(docs: DataFrame, vocabulary: str | None = None, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
-    """Fit on labelled rows that are not held out; see the bounds above."""
+def _labelled_words(docs: DataFrame, langs: list[str]) -> DataFrame:
+    """word (with its space), uses (index of the language and count) of the distinct words of (lang, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = pc.index_in(batch.column(0), pa.array(langs, batch.column(0).type)).to_numpy(zero_copy_only=False)
+            data, offsets = W.text_bytes(batch.column(1))
+            for a, b in W.row_slices(offsets):
+                raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                out, starts, lengths, _, inverse, words = _distinct(raw, bounds)
+                pairs, n = np.unique(inverse * len(langs) + np.repeat(of[a:b], np.diff(words)), return_counts=True)
+                for i in range(0, len(pairs), EMIT_WORDS):
+                    at, lang = np.divmod(pairs[i : i + EMIT_WORDS], len(langs))
+                    word = [out[x:y].tobytes() for x, y in zip(starts[at].tolist(), (starts + lengths)[at].tolist(), strict=True)]
+                    columns = [pa.array(word, pa.binary()), pa.array(lang, pa.int64()), pa.array(n[i : i + EMIT_WORDS], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["word", "lang", "n"])
+
+    found = docs.select("lang", "text").mapInArrow(run, "word binary, lang bigint, n bigint")
+    found = found.groupBy("word", "lang").agg(F.sum("n").alias("n"))
+    return found.groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("uses"))
+
+
+def _expected_of(words: DataFrame, model: Model, unit: float) -> np.ndarray:
+    """Expected number of uses [piece, language] over all words, summed on Spark."""
+    shared = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        total = np.zeros_like(held.probability)
+        for batch in batches:
+            raw = batch.column(0).to_pylist()
+            lengths = np.array([len(x) for x in raw], np.int64)
+            places, uses = batch.column(1).offsets.to_numpy(), batch.column(1).values
+            counts = np.zeros((len(raw), len(held.langs)))
+            counts[np.repeat(np.arange(len(raw)), np.diff(places)), uses.field(0).to_numpy()[places[0] : places[-1]]] = uses.field(1).to_numpy()[places[0] : places[-1]]
+            if len(raw):
+                data = np.frombuffer(b"".join(raw), np.uint8)
+                total += _expected(held.pieces, held.probability, data, np.cumsum(lengths) - lengths, lengths, counts, unit)
+        piece, lang = np.nonzero(total)
+        for i in range(0, len(piece), EMIT_WORDS):
+            p, k = piece[i : i + EMIT_WORDS], lang[i : i + EMIT_WORDS]
+            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(k), pa.array(total[p, k])], names=["piece", "lang", "uses"])
+
+    sums = words.mapInArrow(run, "piece bigint, lang bigint, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toArrow()
+    shared.destroy()
+    out = np.zeros_like(model.probability)
+    out[sums.column("piece").to_numpy(), sums.column("lang").to_numpy()] = sums.column("uses").to_numpy()
+    return out
+
+
+def fit(docs: DataFrame, vocabulary: str | None = None, rows: int = TRAIN_ROWS) -> Model:
+    """Fit on labelled rows that are not held out; see the sample above."""
     pieces = load_pieces(vocabulary or default_vocabulary())
     known = docs.select("doc_id", "lang", "text").where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(counts)
-    each = rows / max(1, len(langs))
-    share = F.lit(0.0)
+    known = known.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    known = known.withColumn("h", F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 20)))
+    facts = {r["lang"]: r for r in known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()}
+    langs = sorted(facts)
+    if not langs:
+        return Model([], pieces, np.zeros((len(pieces), 0)))
+    each = rows / len(langs)
+    limit = F.lit(0.0)
     for lang in langs:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, each / counts[lang]))).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 20)) / float(1 << 20) < share
-    sample = known.where(drawn).where(F.length("text") <= chars).select("lang", "text").toArrow() if langs else None
+        share = min(1.0, each / facts[lang]["n"])
+        limit = F.when(F.col("lang") == lang, F.lit(max(share * (1 << 20), facts[lang]["least"] + 1.0))).otherwise(limit)
+    words = staged(_labelled_words(known.where(F.col("h") < limit), langs), "labelled-words")
+    used = F.aggregate("uses", F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    size = words.agg(F.sum(used * F.length("word")).alias("size")).first()["size"]
+    # no sum of uses exceeds the bytes of all words: sums of multiples of the unit are exact
+    unit = 2.0 ** (int(size).bit_length() - 52)
     model = Model(langs, pieces, np.full((len(pieces), len(langs)), 1.0 / len(pieces)))
-    if not langs or not len(sample):
-        return Model([], pieces, model.probability[:, :0])
-    data, offsets = W.text_bytes(sample.column("text"))
-    out, starts, lengths, _, inverse, words = _distinct(data, offsets)
-    of = np.array([langs.index(x) for x in sample.column("lang").to_pylist()])
-    uses = np.zeros((len(starts), len(langs)))
-    np.add.at(uses, (inverse, np.repeat(of, np.diff(words))), 1)
     for _ in range(ROUNDS):
-        got = _expected(model.pieces, model.probability, out, starts, lengths, uses) + SMOOTHING
+        got = _expected_of(words, model, unit) + SMOOTHING
         model.probability = got / got.sum(axis=0)
     return model
 
