@@ -125,6 +125,28 @@ def test_secret_patterns_and_field(spark):
     assert gold.sum() > 10 and (gold & tags).sum() >= 0.9 * gold.sum() and (tags & ~gold).sum() <= 0.2 * gold.sum()
 
 
+@pytest.mark.parametrize("position", [0, 2500, 4999])
+def test_field_of_rare_and_long_secrets(spark, position):
+    """Positives come from the whole table and from texts of any length; hints without a match take no place of theirs."""
+    plain = "it is a day like any other and nobody said so "
+    filler = plain * 5000
+    cut = len(filler) * position // 5000 // len(plain) * len(plain)
+    text = filler[:cut] + "password = 'Zx81kQwe77Lm' " + filler[cut:]
+    docs = spark.range(3000).selectExpr("id AS doc_id", f"CASE WHEN id = 1717 THEN NULL ELSE 'token: abc {plain}' || id END AS text")
+    docs = docs.where("text IS NOT NULL").union(spark.createDataFrame([(1717, text)], docs.schema))
+    field = secret_scan.train(docs, rows=5, slice_rows=20)
+    (found,) = secret_scan.scan(spark.createDataFrame([(1, plain + "= 'Zx81kQwe77Lm' " + plain)], docs.schema), field).collect()
+    assert field is not None and found.n_crf == 1
+
+
+def test_windows_hold_the_match():
+    for text in ("é" * 40 + "AKIA" + "B" * 16 + "é" * 40, "AKIA" + "B" * 16 + "x " * 60, "x " * 60 + "AKIA" + "B" * 16):
+        raw = text.encode()
+        window = secret_scan._window(raw, secret_scan.pattern_spans(raw)[0][:2], 0, 41)
+        assert len(window) <= 41 and b"AKIA" + b"B" * 16 in window and window in raw
+    assert secret_scan._window(b"ab", None, -7, 41) == b"ab" and len(secret_scan._window(b"ab" * 50, None, -7, 41)) == 41
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_viterbi_is_exact_when_the_chain_is_cut(seed):
     rng = np.random.default_rng(seed)

@@ -6,13 +6,15 @@ own form and those of its neighbours, whether white space precedes, and file fea
 Tags are decoded by Viterbi. Most tokens are so clearly outside that no neighbourhood can change it; they cut the chain
 exactly, and Viterbi runs over what lies between them.
 
-The field is fitted by gradient steps on the likelihood of a bounded sample: ``TRAIN_ROWS`` documents with and as many
-without a pattern match, of at most ``TRAIN_BYTES`` bytes, from a slice by hash of at most about ``TRAIN_SLICE`` rows.
-The values of pattern matches are its secrets. Scanning reads whole texts.
+The field is fitted by gradient steps on the likelihood of a bounded sample: the ``TRAIN_ROWS`` documents with a pattern
+match that have the smallest hashes in the whole table, and as many without one from a slice by hash of about
+``TRAIN_SLICE`` rows. Of texts over ``TRAIN_BYTES`` bytes a window of that size is used, around the first match or at a
+place given by the hash; its file features are those of the window. The values of pattern matches are its secrets.
+Scanning reads whole texts.
 
 Spans are kind:start:end in code points, end exclusive; kinds are assign, access, hex (the patterns, whose spans always
 stay) and crf (runs of secret tokens that overlap no pattern span). Defined results: a null text is the empty text and
-has no span; without a match in the sample there is no field and no crf span; columns other than doc_id and text are
+has no span; without a match in the table there is no field and no crf span; columns other than doc_id and text are
 ignored.
 """
 
@@ -256,17 +258,48 @@ def _gold(tokens: Tokens, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return tags
 
 
+def _window(raw: bytes, match: tuple[int, int] | None, place: int, most_bytes: int) -> bytes:
+    """At most ``most_bytes`` bytes, around the match (its start if it is longer) or anywhere."""
+    if len(raw) <= most_bytes:
+        return raw
+    if match is None:
+        start = place % (len(raw) - most_bytes + 1)
+    else:
+        start = match[0] - max(0, most_bytes - (match[1] - match[0])) // 2
+    start = min(max(start, 0), len(raw) - most_bytes)
+    return raw[start : start + most_bytes]
+
+
+def _examples(known: DataFrame, matching: bool, most_bytes: int) -> DataFrame:
+    """h, doc_id and window of the texts with a pattern match, or of those without one, of (h, doc_id, text)."""
+    schema = T.StructType([*known.drop("text").schema.fields, T.StructField("text", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = W.text_bytes(batch.column(2))
+            hinted = may_match(batch.column(2))
+            rows, windows = [], []
+            for i in (np.flatnonzero(hinted) if matching else np.arange(len(hinted))).tolist():
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
+                spans = pattern_spans(raw) if hinted[i] else []
+                if bool(spans) == matching:
+                    rows.append(i)
+                    windows.append(_window(raw, spans[0][:2] if spans else None, batch.column(0)[i].as_py(), most_bytes))
+            kept = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns[:2], pa.array(windows, pa.binary())], names=schema.names)
+
+    return known.mapInArrow(run, schema)
+
+
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES, slice_rows: int = TRAIN_SLICE) -> Field | None:
-    """Fit the field on a bounded sample of ``docs``; None if the sample holds no match."""
-    known = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
+    """Fit the field on a bounded sample of ``docs``; None if no text has a match."""
     share = min(1.0, slice_rows / max(1, docs.count()))
     h = F.xxhash64(F.lit("secrets"), "doc_id", F.length("text"))
-    known = known.withColumn("h", h).where(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < share * (1 << 20))
-    hint = F.lit(False)
-    for pattern in _HINTS:
-        hint = hint | F.col("text").rlike(pattern)
-    parts = [known.where(hint if wanted else ~hint).orderBy("h", "doc_id").limit(rows).select("text").toArrow() for wanted in (True, False)]
-    data, offsets = W.text_bytes(pa.concat_arrays([c for p in parts for c in p.column(0).chunks]) if any(map(len, parts)) else pa.array([], pa.string()))
+    known = docs.where("text IS NOT NULL").select(h.alias("h"), "doc_id", "text")
+    some = known.where(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < share * (1 << 20))
+    parts = [_examples(few, wanted, most_bytes).orderBy("h", "doc_id", "text").limit(rows).select("text").toArrow() for few, wanted in ((known, True), (some, False))]
+    windows = [x for p in parts for x in p.column(0).to_pylist()]
+    data, offsets = np.array(bytearray(b"".join(windows)), np.uint8), np.cumsum([0, *map(len, windows)])
     tokens = Tokens(data, offsets)
     tags = _gold(tokens, data, offsets)
     return fit_field(tokens, tags) if (tags != OUTSIDE).any() else None
