@@ -173,6 +173,18 @@ def test_components(spark, seed):
     assert dict(map(tuple, got.collect())) == label
 
 
+def test_estimate_keeps_pairs_far_below_the_threshold():
+    """44 of 96 common values of the union's sketch keep a pair at 0.75, 43 do not."""
+    for common in (44, 43):
+        only = list(range(common, 96))
+        u = list(range(common)) + only[::2] + list(range(200, 200 + len(only) - len(only[::2])))
+        v = list(range(common)) + only[1::2] + list(range(400, 400 + len(only) - len(only[1::2])))
+        kind = pa.list_(pa.int64())
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([u], kind), pa.array([v], kind)], names=["a", "b", "x", "y"])
+        (kept,) = near_dedup._may_reach(iter([batch]), 96, 0.75)
+        assert kept.num_rows == (common == 44)
+
+
 def brute_removed(docs):
     first = {}
     words = [SPACED.findall(d[1] or "") for d in docs]
