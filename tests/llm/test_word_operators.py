@@ -105,6 +105,16 @@ def test_decontamination(spark, documents, raw_documents, block_bytes):
     )
 
 
+def test_driver_keeps_no_block(spark, no_documents, monkeypatch):
+    sent = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(broadcast(self, value)) or sent[-1])
+    benchmark = spark.createDataFrame([(i, f"item {i} of many words") for i in range(30)], "item_id bigint, text string")
+    for use in (decontaminate.contamination, decontaminate.remove_contaminated, decontaminate.longest_matches):
+        use(no_documents, benchmark, block_bytes=200)
+    assert len(sent) > 6 and not any("_value" in b.__dict__ for b in sent)
+
+
 def test_longest_matches(spark, documents, raw_documents):
     part = raw_documents[40][1].split()[5:30]
     benchmark = spark.createDataFrame([(1, "nowhere " + " ".join(part)), (2, "qqq www")], "item_id bigint, text string")

@@ -51,13 +51,20 @@ class Block:
         self.depth = int(lengths.max(initial=1))
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list:
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> tuple[list, int]:
+    """The broadcast blocks and the words of the longest item; the driver never reads a block back, which would keep it."""
     spark = benchmark.sparkSession
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-size // block_bytes) or 1
     parts = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) for k in range(n))
-    return [spark.sparkContext.broadcast(Block(part.collect(), window)) for part in parts]
+    blocks, depth = [], 1
+    for part in parts:
+        block = Block(part.collect(), window)
+        depth = max(depth, block.depth)
+        blocks.append(spark.sparkContext.broadcast(block))
+        del block
+    return blocks, depth
 
 
 def _held(blocks: list) -> Iterator[Block]:
@@ -133,8 +140,7 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (ids of the items found, as strings), n_items, items_sha256, contaminated."""
-    blocks = _blocks(benchmark, window, block_bytes)
-    depth = max(b.value.depth for b in blocks)
+    blocks, depth = _blocks(benchmark, window, block_bytes)
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType(
         [T.StructField("doc_id", kind)]
@@ -159,8 +165,7 @@ def remove_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    blocks = _blocks(benchmark, window, block_bytes)
-    depth = max(b.value.depth for b in blocks)
+    blocks, depth = _blocks(benchmark, window, block_bytes)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +182,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SH
     Items of equal words share a row per id. Items of which no word occurs are absent. Ties go to the smaller doc_id,
     then to the earlier place in the document.
     """
-    blocks = _blocks(benchmark, WINDOW, block_bytes)
-    depth = max(b.value.depth for b in blocks)
+    blocks, depth = _blocks(benchmark, WINDOW, block_bytes)
     schema = "item_id string, n_matched bigint, item_word bigint, doc_id bigint, doc_word bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
