@@ -11,7 +11,7 @@ backward search gives the intervals that occur there, which are the words to rem
    Windows owned by a document are consecutive words of it: its index pieces, in the shard of its id. Windows owned by
    others are its query pieces, routed to the owners' shards; pieces with equal words are searched once.
 
-Every row of the result comes from a search; the fingerprints only choose where to search. The number of shards follows
+Equal texts go by equality; of the others the fingerprints select the windows and a search confirms them. The number of shards follows
 from the number of repeated windows; the queries of a shard with many are salted and its index is sent to each salt.
 
 Defined results: a null text has no words; rows without doc_id neither lose words nor make others lose them; rows that
