@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from vecloom.llm import decontaminate, langid, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_records, topk_search, warc
+from vecloom.llm import (
+    conversation_trie, decontaminate, langid, license_scan, merkle, mixing, near_dedup, secret_scan, sharding, substring_dedup, token_records,
+    topk_search, warc,
+)
 from vecloom.llm.staging import in_small_batches
 
 _QUERIES = {
@@ -16,6 +19,9 @@ _QUERIES = {
     "op8_token_records": token_records.op8_token_records,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_fm_substring_dedup": substring_dedup.op10_fm_substring_dedup,
+    "op11_suffix_automaton_licenses": license_scan.op11_suffix_automaton_licenses,
+    "op12_double_array_trie": conversation_trie.op12_double_array_trie,
+    "op13_merkle_climb": merkle.op13_merkle_climb,
 }
 QUERIES = {name: in_small_batches(query) for name, query in _QUERIES.items()}
 ORACLES = {
@@ -25,4 +31,6 @@ ORACLES = {
     "op7_term_at_a_time": topk_search.ORACLE_SQL,
     "op9_pareto_mix": mixing.ORACLE_SQL,
     "op10_fm_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op12_double_array_trie": conversation_trie.ORACLE_SQL,
+    "op13_merkle_climb": merkle.ORACLE_SQL,
 }
