@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vecloom.llm.staging import small, staged
+from vecloom.llm.staging import release, small, staged
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_DIVISOR = 7
@@ -59,7 +59,7 @@ def leaf_rows(docs: DataFrame, divisor: int = TAMPER_DIVISOR) -> DataFrame:
 def numbered(rows: DataFrame, order: list[str], group: str | None = None) -> DataFrame:
     """``rows`` with ``place`` (from 0, by group and order, nulls first) and, with a group, ``idx`` (from 0 inside the group).
 
-    The rows are staged; rows that tie in all of ``order`` are spread by their place in the input.
+    The result is staged; rows that tie in all of ``order`` are spread by their place in the input.
     """
     keys = ([group] if group else []) + order
     known = staged(rows.withColumn("salt", F.monotonically_increasing_id()), "unordered")
@@ -67,6 +67,7 @@ def numbered(rows: DataFrame, order: list[str], group: str | None = None) -> Dat
     keys += ["salt"]
     ranged = known.repartitionByRange(files, *keys).sortWithinPartitions(*keys).drop("salt")
     written = staged(ranged.withColumn("part", F.spark_partition_id()), "ordered")
+    release(known)
     placed = written.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     runs = ["part", "file"] + ([group] if group else [])
     counts = staged(placed.groupBy(*runs).agg(F.min("row").alias("first"), F.count("*").alias("n")), "run-counts")
@@ -83,7 +84,9 @@ def numbered(rows: DataFrame, order: list[str], group: str | None = None) -> Dat
     kept = [F.col(c) for c in rows.columns] + [(F.col("file_start") + F.col("row")).alias("place")]
     if group:
         kept.append((F.col("run_start") + F.col("row") - F.col("first")).alias("idx"))
-    return out.select(*kept)
+    out = staged(out.select(*kept), "numbered")
+    release(written, counts)
+    return out
 
 
 def _block_levels(level: int, fan: int, lift: int):
@@ -116,13 +119,15 @@ def _block_levels(level: int, fan: int, lift: int):
     return run
 
 
-def build_levels(bottom: DataFrame, most: int, fan: int = FAN, lift: int = LIFT) -> tuple[DataFrame, DataFrame]:
-    """Node rows and top rows of all trees over ``bottom`` (tree, idx, digest, weight, n), of which the largest has ``most`` leaves."""
-    nodes, tops, level = [], [], 0
+def build_levels(bottom: DataFrame, most: int, fan: int = FAN, lift: int = LIFT) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Node rows and top rows of all trees over ``bottom`` (tree, idx, digest, weight, n), of which the largest has ``most``
+    leaves, and the staged tables they are read from."""
+    nodes, tops, tables, level = [], [], [], 0
     current = bottom.select("tree", "idx", "digest", "weight", "n")
     while True:
         grouped = current.groupBy("tree", F.floor(F.col("idx") / F.lit(fan**lift)).alias("block"))
         built = staged(grouped.applyInArrow(_block_levels(level, fan, lift), _NODES), "levels")
+        tables.append(built)
         nodes.append(built.where("NOT top"))
         tops.append(built.where("top AND n = 1"))
         level, most = level + lift, -(-most // fan**lift)
@@ -132,7 +137,7 @@ def build_levels(bottom: DataFrame, most: int, fan: int = FAN, lift: int = LIFT)
     joined = [nodes[0], tops[0]]
     for a, b in zip(nodes[1:], tops[1:], strict=True):
         joined = [joined[0].union(a), joined[1].union(b)]
-    return joined[0], joined[1]
+    return joined[0], joined[1], tables
 
 
 _CLIMB = """
@@ -173,18 +178,20 @@ def _bits(weight: str) -> Column:
 
 def manifest(docs: DataFrame, divisor: int = TAMPER_DIVISOR, fan: int = FAN, lift: int = LIFT, crown_nodes: int = CROWN_NODES) -> DataFrame:
     """Per row: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    leaves = staged(numbered(leaf_rows(docs, divisor), ["doc_id", "leaf"], "lang"), "leaves")
+    leaves = numbered(leaf_rows(docs, divisor), ["doc_id", "leaf"], "lang")
     langs = staged(leaves.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    ranked = staged(numbered(langs, ["lang"]).withColumnRenamed("place", "rank"), "ranked-languages")
+    ranked = numbered(langs, ["lang"]).withColumnRenamed("place", "rank")
     # trees of languages have numbers from 1; tree 0 stands over their subroots
     trees = small(staged(ranked.select(F.col("lang").alias("of"), (F.col("rank") + 1).alias("tree"), "n"), "trees"))
-    leaves = staged(leaves.join(trees, F.col("lang").eqNullSafe(F.col("of"))).drop("of", "lang"), "leaves-of-trees")
+    by_lang = leaves
+    leaves = staged(by_lang.join(trees, F.col("lang").eqNullSafe(F.col("of"))).drop("of", "lang"), "leaves-of-trees")
+    release(by_lang)
     most, n_trees = langs.agg(F.max("n"), F.count("*")).first()
     bottom = leaves.select("tree", "idx", F.col("leaf").alias("digest"), F.lit(1).cast("bigint").alias("weight"), "n")
-    below, subroots = build_levels(bottom, most or 0, fan, lift)
-    subroots = subroots.select(F.col("tree").alias("of"), "digest", "weight")
+    below, subroots, built = build_levels(bottom, most or 0, fan, lift)
+    subroots = staged(subroots.select(F.col("tree").alias("of"), "digest", "weight"), "subroots")
     over = subroots.select(F.lit(0).cast("bigint").alias("tree"), (F.col("of") - 1).alias("idx"), "digest", "weight", F.lit(n_trees).alias("n"))
-    above, roots = build_levels(over, n_trees, fan, lift)
+    above, roots, over_built = build_levels(over, n_trees, fan, lift)
     root = roots.select("digest", "level").first()
     root, height = (bytes(root["digest"]), root["level"]) if root else (b"", 0)
 
@@ -198,8 +205,9 @@ def manifest(docs: DataFrame, divisor: int = TAMPER_DIVISOR, fan: int = FAN, lif
         "parent_weight",
     )
     linked = staged(linked, "nodes")
+    release(*built, *over_built)
     heavy, bits = _heaviest(linked, crown_nodes)
-    linked = linked.withColumn("parent_heavy", F.col("parent_weight") >= heavy)
+    nodes = linked.withColumn("parent_heavy", F.col("parent_weight") >= heavy)
 
     lone = F.col("n") == 1
     start = leaves.select(
@@ -207,8 +215,9 @@ def manifest(docs: DataFrame, divisor: int = TAMPER_DIVISOR, fan: int = FAN, lif
         F.when(lone, F.col("tree") - 1).otherwise(F.col("idx")).cast("bigint").alias("idx"), F.lit(bits == 0).alias("heavy"),
         F.coalesce("altered", "leaf").alias("folded"), F.lit(None).cast("binary").alias("siblings"), F.lit(0).alias("step"),
     )
-    lower = start if bits == 0 else climb(start, linked.where(F.col("weight") < heavy), False)
-    upper = climb(lower.where("heavy"), linked.where(F.col("weight") >= heavy), True)
+    lower = start if bits == 0 else climb(start, nodes.where(F.col("weight") < heavy), False)
+    upper = climb(lower.where("heavy"), nodes.where(F.col("weight") >= heavy), True)
+    release(linked)
     at_root = (F.col("tree") == 0) & (F.col("level") == height)
     steps = lower.where("NOT heavy").union(upper).select(
         "place", "step", "siblings", F.when(at_root, F.col("folded")).alias("folded"),
@@ -223,7 +232,7 @@ def manifest(docs: DataFrame, divisor: int = TAMPER_DIVISOR, fan: int = FAN, lif
         F.max("doc_id").alias("doc_id"), F.max("leaf").alias("leaf"), F.max("of_tree").alias("of_tree"), F.max("folded").alias("folded"), met.alias("met")
     )
     proof = F.sha2(F.array_join(F.transform("met", lambda x: F.lower(F.hex(x["siblings"]))), ""), 256)
-    found = found.join(small(staged(subroots, "subroots")), F.col("of_tree") == F.col("of"))
+    found = found.join(small(subroots), F.col("of_tree") == F.col("of"))
     text = lambda c: F.lower(F.hex(F.col(c)))
     return found.select(
         "doc_id", text("leaf").alias("leaf"), text("digest").alias("subroot"), F.lit(root.hex()).alias("root"), proof.alias("proof_sha256"),

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.session import new_folder
+from vecloom.session import discard, new_folder
 
 BROADCAST_ROWS = 500_000
 BATCH_BYTES = "8m"
@@ -18,7 +18,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below spark.checkpoint.dir and read it back."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_in = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more; others, which were not staged, are left alone."""
+    for df in tables:
+        path = getattr(df, "_staged_in", None)
+        if path:
+            discard(df.sparkSession, path)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
