@@ -41,6 +41,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 ENCODER = encoders.HashingEncoder(64)
 DIGITS = 6
 WHOLE_LIMIT = 120  # reached at every scale
+RESUME_LIMIT = 70  # where the first of two stream runs breaks off
 
 
 # ---- inputs ----
@@ -424,6 +425,14 @@ def stream_ingest(spark, sf_dir):
     return _ingested(store.refresh())
 
 
+def stream_resume(spark, sf_dir):
+    """A run that a row limit cuts, and one that finishes what the ledger lacks though no new file has come."""
+    store, checkpoint = _new_store(spark, "store"), new_folder(spark, "checkpoint")
+    for options in (IngestOptions(limit=RESUME_LIMIT), IngestOptions()):
+        stream_corpus(store, sf_dir, ENCODER, checkpoint, options, interval=None).awaitTermination()
+    return _ingested(store.refresh())
+
+
 def stream_dedup(spark, sf_dir):
     """Documents arriving in two drops, the labelled ones first, through one resumed stream."""
     store = _new_store(spark, "store", keep_full_text=False)
@@ -489,6 +498,7 @@ _QUERIES = {
     "ledger_counts": ledger_counts,
     "human_sizes": human_sizes,
     "stream_ingest": stream_ingest,
+    "stream_resume": stream_resume,
     "stream_dedup": stream_dedup,
 }
 
@@ -708,6 +718,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_whole": f"SELECT row_number() OVER (ORDER BY doc_id) AS vec_id, doc_id, 'fineweb2' AS doc_type FROM ({band}) "
         f"ORDER BY doc_id LIMIT {WHOLE_LIMIT}",
         "stream_ingest": _ingest_sql(),
+        "stream_resume": _ingest_sql(),
         "stream_dedup": f"SELECT {doc_ref} AS doc_ref, sha1(text) AS full_text_sha1, {total} AS total_chunks, "
         f"arg_min(source, (doc_id NOT IN ({known}))::BIGINT * 1000000000 + doc_id) AS doc_type FROM documents "
         f"WHERE {_strip_sql('text')} <> '' GROUP BY text",

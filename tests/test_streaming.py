@@ -109,3 +109,56 @@ def test_failed_and_limited_files_are_offered_again(spark, store, encoder, tmp_p
     put(f"{root}/b.parquet", [words(4, 300)])
     run()
     assert sorted(r.source_row for r in store.refresh().items().collect() if r.source_file.endswith("a.parquet")) == [0, 1, 2]
+
+
+def test_a_run_without_new_files_finishes_what_is_open(spark, store, encoder, tmp_path):
+    """A limited file goes on behind its last row, files behind the limit and a failed one are read at all."""
+    root, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    put(f"{root}/a.parquet", [words(n, 300) for n in range(3)])
+    put(f"{root}/b.parquet", [words(n, 300) for n in range(5, 7)])
+    run = lambda limit: stream_corpus(store, root, encoder, checkpoint, IngestOptions(limit=limit), interval=None).awaitTermination()
+    counts = []
+    for limit in (2, 2, 2, None):
+        run(limit)
+        counts.append(store.refresh().items().count())
+    assert counts == [2, 4, 5, 5]
+    assert sorted((r.source_file[-9:], r.source_row) for r in store.items().collect()) == [
+        ("a.parquet", 0), ("a.parquet", 1), ("a.parquet", 2), ("b.parquet", 0), ("b.parquet", 1),
+    ]
+    ledger = [(f"file://{root}/c.parquet", "failed", 0, 0, None)]
+    store.write("processed", spark.createDataFrame(ledger, "path string, status string, rows_sent bigint, rows_skipped bigint, last_row bigint"))
+    store.commit()
+    run(None)  # gone files are no obstacle
+    put(f"{root}/c.parquet", [words(9, 300)])
+    stream_corpus(store, root, encoder, checkpoint, interval=None).awaitTermination()
+    assert store.refresh().items().count() == 6
+
+
+def test_the_limit_counts_for_the_whole_run(spark, store, encoder, tmp_path):
+    root = str(tmp_path / "in")
+    for n in range(4):
+        put(f"{root}/f{n}.parquet", [words(n, 300), words(n + 10, 300)])
+    reports = []
+    run = lambda limit: stream_corpus(
+        store, root, encoder, str(tmp_path / "cp"), IngestOptions(limit=limit), interval=None, files_per_trigger=1, reports=reports
+    ).awaitTermination()
+    run(3)
+    assert store.refresh().items().count() == 3 and sum(r.rows_sent for r in reports) == 3
+    run(4)
+    assert store.refresh().items().count() == 7
+    run(None)
+    rows = [(r.source_file, r.source_row) for r in store.refresh().items().collect()]
+    assert len(rows) == len(set(rows)) == 8
+    run(None)
+    assert store.refresh().items().count() == 8
+
+
+def test_a_stopped_or_failed_run_is_not_reconciled(spark, store, encoder, tmp_path):
+    root = str(tmp_path / "in")
+    put(f"{root}/a.parquet", [words(1, 300)])
+    query = stream_corpus(store, root, encoder, str(tmp_path / "cp"), interval="1 hour")
+    query.processAllAvailable()
+    query.stop()
+    put(f"{root}/b.parquet", [words(2, 300)])
+    query.awaitTermination()
+    assert store.refresh().items().count() == 1

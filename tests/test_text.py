@@ -76,10 +76,10 @@ def test_urls(spark):
 def test_snippets_and_sizes(spark):
     texts = ["x" * 200, "y" * 201, "", None]
     assert values(spark, texts, T.snippet) == ["x" * 200, "y" * 200 + "...", "", None]
-    sizes = [0, 1023, 1024, 1536, 1024**2, 5 * 1024**4, 3000 * 1024**4]
+    sizes = [0, 1023, 1024, 1536, 1024**2, 5 * 1024**4, 3000 * 1024**4, 1280, 1792, 1024**2 - 1, 1280 * 1024**3, 1281]
     rows = spark.createDataFrame(list(enumerate(sizes)), "i int, n bigint")
     shown = [r.v for r in rows.select("i", T.human_bytes(F.col("n")).alias("v")).orderBy("i").collect()]
-    assert shown == ["0.0B", "1023.0B", "1.0KB", "1.5KB", "1.0MB", "5.0TB", "3000.0TB"]
+    assert shown == ["0.0B", "1023.0B", "1.0KB", "1.5KB", "1.0MB", "5.0TB", "3000.0TB", "1.2KB", "1.8KB", "1024.0KB", "1.2TB", "1.3KB"]
 
 
 def test_metadata_line_and_ids(spark):

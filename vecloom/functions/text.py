@@ -56,15 +56,25 @@ def shown_score(score: Column) -> Column:
 
 
 def human_bytes(size: Column) -> Column:
-    """Size with one decimal in powers of 1024, ending at TB."""
+    """Size with one decimal in powers of 1024, ending at TB; a tie goes to the even tenth. Whole numbers only are used."""
+    size = size.cast("bigint")
     last = len(C.BYTE_UNITS) - 1
-    shown = F.format_string(f"%.1f{C.BYTE_UNITS[last]}", size / F.lit(float(1024**last)))
+    shown = _in_unit(size, last)
     for power in range(last - 1, -1, -1):
-        unit = F.format_string(f"%.1f{C.BYTE_UNITS[power]}", size / F.lit(float(1024**power)))
-        shown = F.when(size < F.lit(1024 ** (power + 1)), unit).otherwise(shown)
+        shown = F.when(size < F.lit(1024 ** (power + 1)), _in_unit(size, power)).otherwise(shown)
     return shown
 
 
+def _in_unit(size: Column, power: int) -> Column:
+    unit, bits = 1024**power, 10 * power
+    tenths = size.bitwiseAND(F.lit(unit - 1)) * 10  # of the rest, in units of 1 / unit
+    tenth, rest = F.shiftright(tenths, bits), tenths.bitwiseAND(F.lit(unit - 1)) * 2
+    up = (rest > unit) | ((rest == unit) & (tenth % 2 == 1))
+    rounded = F.shiftright(size, bits) * 10 + tenth + F.when(up, 1).otherwise(0)
+    whole = (rounded - rounded % 10) / 10
+    return F.concat(whole.cast("bigint").cast("string"), F.lit("."), (rounded % 10).cast("string"), F.lit(C.BYTE_UNITS[power]))
+
+
 def external_id_16() -> Column:
     """A random id of 16 hexadecimal digits."""
     return F.left(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(16))
