@@ -329,3 +329,26 @@ def test_runs_are_encoded_like_texts():
     want = [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     for _ in range(2):
         assert [x.tolist() for x in encoder(pa.array(texts))] == want
+
+
+def test_runs_are_encoded_like_texts_with_marks():
+    """Every ASCII letter and some others before every combining mark of U+0300 to U+036F, in words and before signs."""
+    rng = np.random.default_rng(4)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B)]] + ["É", "ß", "9", "=", "<", "Ω", "한", "İ"]
+    texts = [f"x{letter}{chr(m)}, y{letter}" for letter in letters for m in range(0x300, 0x370)]
+    texts += ["".join(rng.choice([*letters, "́", "̸", " ", ",", "'S", "H̱", " ", "'ll"], 40)) for _ in range(300)]
+    encoder = token_records.Encoder(token_records.default_tokenizer())
+    assert encoder.by_runs
+    whole = [x.ids for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(pa.array(texts))] == whole
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    cased = Tokenizer(models.WordLevel({"[UNK]": 0, "Hello": 1, "hello": 2, "a.b": 3, "a": 4, ".": 5, "b": 6}, unk_token="[UNK]"))
+    cased.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    cased.save(str(tmp_path / "cased.json"))
+    encoder = token_records.Encoder(str(tmp_path / "cased.json"))
+    assert not encoder.by_runs
+    assert [x.tolist() for x in encoder(pa.array(["Hello hello a.b", None, "", "b Hello"]))] == [[1, 2, 3], [], [], [6, 1]]

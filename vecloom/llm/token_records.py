@@ -10,8 +10,9 @@ Documents are ordered by doc_id with a range partitioning; files are cut after a
 their mean size. The index, one Parquet row per record, holds file, record, offset, length, doc_id, start (tokens of all
 documents before it), n_tokens and the CRC-32 of the ids; a shuffled reader needs a row of it and one ranged read.
 
-No token holds white space or spans the end of a word and a sign here, so each distinct run is encoded once per worker
-and the ids of a text are those of its runs; tests compare them with encoding whole texts.
+With a tokenizer that cuts texts into words as ``WORDS`` says, no token holds white space or spans the end of a word and a
+sign, so each distinct run is encoded once per worker and the ids of a text are those of its runs. Capitals are only lowered in runs
+of pure ASCII, as others are composed before they are lowered. With any other tokenizer whole texts are encoded. Tests compare both.
 
 Defined results: a null text is the empty text (its record holds the end id only); rows without doc_id come first; rows
 that share a doc_id are ordered by a hash of the text; further columns are ignored.
@@ -19,10 +20,12 @@ that share a doc_id are ordered by a hash of the text; further columns are ignor
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +38,13 @@ from vecloom.session import new_folder
 
 END_ID = 2
 FILE_BYTES = 16 << 20
-CACHE_RUNS = 300_000
+CACHE_RUNS = 200_000
 RUNS_AT_ONCE = 2000
+OUT_BYTES = 1 << 20
 SEPARATOR = "<|startoftext|>"
+TEXTS_AT_ONCE = 64
+#: Fixed value: the words of tokenizers whose texts may be cut into runs.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SIGN = np.zeros(256, bool)
 _SIGN[0x21:0x30] = _SIGN[0x3A:0x41] = _SIGN[0x5B:0x61] = _SIGN[0x7B:0x7F] = True
 _LETTER = W.ALNUM & (np.arange(256) < 0x80)
@@ -78,14 +85,31 @@ def frames(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at = end + 1
 
 
+def cuts_into_words(settings: dict) -> bool:
+    """Whether a tokenizer composes characters, lowers them and takes the words of ``WORDS``, each on its own."""
+    normal, split = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+    steps = normal.get("normalizers", [normal])
+    spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    words = {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True}
+    parts = split.get("pretokenizers", [])
+    return (
+        [x.get("type") for x in steps if x != spaces] == ["NFC", "Lowercase"]
+        and len(parts) == 2 and parts[0] == words
+        and parts[1].get("type") == "ByteLevel" and not parts[1].get("add_prefix_space") and not parts[1].get("use_regex")
+        and not settings["model"].get("dropout") and not settings.get("truncation") and not settings.get("padding")
+    )
+
+
 class Encoder:
-    """Encodes texts run by run, with a bounded memory of runs seen before."""
+    """Encodes texts run by run, with a bounded memory of runs seen before, or whole where runs are not shown to be enough."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, "rb") as file:
+            self.by_runs = cuts_into_words(json.load(file))
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.gap = SEPARATOR if self.tokenizer.token_to_id(SEPARATOR) is not None else None
         self._forget()
@@ -124,6 +148,12 @@ class Encoder:
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every row."""
+        if not self.by_runs:
+            for at in range(0, len(column), TEXTS_AT_ONCE):
+                texts = [x or "" for x in column.slice(at, TEXTS_AT_ONCE).to_pylist()]
+                for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                    yield np.array(x.ids, self.kind)
+            return
         data, offsets = W.text_bytes(column)
         for a, b in W.row_slices(offsets):
             raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -137,12 +167,18 @@ class Encoder:
                 yield flat[i:j]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One tokenizer for all tasks of a worker; loading it leaves more behind than it holds."""
+    return Encoder(path)
+
+
 def runs_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes in lower case, and start, end and row offsets of the runs that are encoded on their own.
+    """Bytes with pure ASCII runs in lower case, and start, end and row offsets of the runs that are encoded on their own.
 
     A text is cut at white space, and before an ASCII sign that follows an ASCII letter or digit or a letter of
-    Latin-1: there a token always ends. Upper and lower case of ASCII letters have the same ids. Neither is done to
-    runs with ``<|``, with which special tokens begin.
+    Latin-1: there a token always ends, and no character is composed over the cut. Upper and lower case of ASCII letters have the same
+    ids, unless a mark follows with which only one of them composes. Neither is done to runs with ``<|``, with which special tokens begin.
     """
     starts, ends, _ = W.split_words(raw, bounds, W.NOT_SPACE)
     low = W.LOWER[raw]
@@ -160,6 +196,10 @@ def runs_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
             low[inside] = raw[inside]
         cut = cut[~np.isin(cut, starts)]
         starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+        beyond = np.flatnonzero(raw >= 0x80)
+        mixed = np.unique(np.searchsorted(starts, beyond, side="right") - 1)
+        inside = W.ranges(starts[mixed], (ends - starts)[mixed])
+        low[inside] = raw[inside]
     return low, starts, ends, np.searchsorted(starts, bounds)
 
 
@@ -171,13 +211,18 @@ def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_
     ordered = rows.repartitionByRange(F.asc_nulls_first("doc_id"), "h").sortWithinPartitions(F.asc_nulls_first("doc_id"), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(vocabulary)
         last = np.array([end_id], encoder.kind)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            records = [frame(i, np.concatenate([x, last])) for i, x in zip(ids, encoder(batch.column(1)), strict=True)]
-            for a in range(0, len(records), 2000):
-                yield pa.RecordBatch.from_arrays([pa.array(records[a : a + 2000], pa.binary())], names=["record"])
+            records, size = [], 0
+            for i, x in zip(batch.column(0).to_pylist(), encoder(batch.column(1)), strict=True):
+                records.append(frame(i, np.concatenate([x, last])))
+                size += len(records[-1])
+                if size >= OUT_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
+                    records, size = [], 0
+            if records:
+                yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     records = ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
     records.write.option("lineSep", "\n").option("maxRecordsPerFile", max(1, int(file_bytes // (mean + 32)))).text(path)
