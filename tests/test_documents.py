@@ -106,10 +106,59 @@ def test_single_markdown_page(spark, store, encoder):
         ingest_markdown_page(store, encoder, "http://a", "https://only.url")
 
 
-def test_one_shuffle_of_text(spark, store, encoder):
-    from vecloom.plans.documents import document_rows, new_documents
-
-    plan = new_documents(document_rows(frame(spark, ["a", "b"])), store.documents())
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in text.splitlines() if "Exchange hashpartitioning(doc_ref" in line]
-    assert len(wide) <= 1 or "BroadcastHashJoin" in text
+def test_texts_are_not_shuffled(spark, store, encoder):
+    from vecloom.operators import numbering
+    from vecloom.operators.dedup import first_seq, rows_of
+    from vecloom.plans.documents import document_rows, judged_rows
+
+    docs = document_rows(frame(spark, ["a", "b"]))
+    winners = first_seq(judged_rows(docs).where("NOT blank"), "seq", store.documents(), store.known_hashes()).select("seq")
+    winners = numbering.stage(winners, "winners").read()
+    text = rows_of(docs, winners, "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_membership_bitmaps(spark):
+    """No known hash is said to be new, and few new ones are said to be known."""
+    from vecloom.operators import membership
+
+    assert [membership.bits_for(n) for n in (0, 1, 2048, 2049, 10**9)] == [15, 15, 15, 16, 34]
+    hashes = spark.range(6000).select("id", F.sha1(F.col("id").cast("string").cast("binary")).alias("full_text_sha1"))
+    parts = membership.bitmaps(hashes.where("id < 2000"), 2000).union(membership.bitmaps(hashes.where("id >= 1500 AND id < 3000"), 3000))
+    known = membership.combined(parts.union(parts))
+    assert sorted({r.bits for r in known.collect()}) == [15, 16]
+    flagged = membership.with_maybe_known(hashes, known)
+    assert flagged.where("id < 3000 AND NOT maybe_known").isEmpty()
+    assert flagged.where("id >= 3000 AND maybe_known").count() < 3000 / 8
+    assert membership.with_maybe_known(hashes, known.where("bits = 3")).where("maybe_known").isEmpty()
+
+
+@pytest.mark.parametrize("bitmap_bytes", [0, 1 << 26])
+def test_upsert_of_many_known_documents(spark, store, encoder, monkeypatch, bitmap_bytes):
+    """The same status by sent hashes, by bitmaps and by comparing all rows."""
+    from vecloom.operators import dedup, membership
+
+    upsert_documents(store, frame(spark, [f"text {i}" for i in range(0, 60, 2)]), encoder)
+    upsert_documents(store, frame(spark, [f"text {i}" for i in range(0, 60, 3)]), encoder)
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(membership, "MAX_BITMAP_BYTES", bitmap_bytes)
+    report = upsert_documents(store, frame(spark, [f"text {i}" for i in range(80)] + [" "]), encoder)
+    status = {r.seq: r.status for r in report.status.collect()}
+    assert status == {i: "exists" if i < 60 and (i % 2 == 0 or i % 3 == 0) else "added" for i in range(80)} | {80: "rejected"}
+    assert report.documents == report.added == sum(s == "added" for s in status.values())
+    again = upsert_documents(store, frame(spark, [f"text {i}" for i in range(80)]), encoder)
+    assert again.added == 0 and {r.status for r in again.status.collect()} == {"exists"}
+
+
+def test_a_batch_without_bitmaps_is_compared_whole(spark, store, encoder, monkeypatch):
+    from vecloom.operators import dedup
+
+    upsert_documents(store, frame(spark, ["one", "two"]), encoder)
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr("vecloom.store.LAYOUT", None)  # written by an earlier release
+    upsert_documents(store, frame(spark, ["three"]), encoder)
+    monkeypatch.setattr("vecloom.store.LAYOUT", 2)
+    store = open_store(spark, store.root)
+    assert not store.has_layout and store.known_hashes() is None
+    report = upsert_documents(store, frame(spark, ["one", "three", "four"]), encoder)
+    assert {r.seq: r.status for r in report.status.collect()} == {0: "exists", 1: "exists", 2: "added"}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from vecloom.plans.documents import upsert_documents
 from vecloom.plans.search import id_ranges, rendered, search, search_one
 from vecloom.plans.vectors import add_vectors
+from vecloom.store import compact
 
 
 @pytest.fixture
@@ -112,3 +113,38 @@ def test_id_ranges_cover_all_ids():
 def test_hits_are_broadcast_to_the_metadata(spark, filled):
     plan = search(filled, asked(spark, [1.0, 0.0, 0.0]), 2)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "NestedLoop" not in plan
+
+
+def test_filters_on_promoted_keys_reach_the_scan(spark, store, encoder, monkeypatch):
+    """doc_type, url and doc_ref are pushed down; batches from before the columns are still read by their metadata."""
+    from vecloom import schemas
+    from vecloom.functions import metadata
+    from vecloom.plans.vectors import add_vectors
+
+    def add(low, high):
+        rows = [([float(i), 1.0], f"http://x/{i}" if i % 4 else None, {"lang": "en"}) for i in range(low, high)]
+        add_vectors(store, spark.createDataFrame(rows, "embedding array<float>, url string, metadata map<string,string>"), doc_type=f"t{low}")
+
+    def found(equal_to):
+        hits = search(store.refresh(), spark.createDataFrame([(0, [1.0, 0.5])], "query_id int, vector array<float>"), 50, equal_to=equal_to, filter_mode="pre")
+        return sorted(r.vec_id for r in hits.collect())
+
+    add(0, 8)
+    add(8, 16)
+    items = store.items()
+    assert {(r.doc_type, r.url) for r in items.collect()} == {(r.metadata["doc_type"], r.metadata.get("url")) for r in items.collect()}
+    passed = metadata.matches({"metadata.doc_type": "t8", "metadata.url": None}, [], schemas.PROMOTED)
+    plan = items.where(passed).select("vec_id", "embedding")._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "EqualNullSafe(doc_type,t8)" in pushed and "url" in pushed.split("PushedFilters")[1] and "metadata" not in pushed.split("ReadSchema")[1]
+    wanted = ({"metadata.doc_type": "t8"}, {"metadata.url": "http://x/3"}, {"metadata.url": None}, {"metadata.doc_ref": None, "metadata.lang": "en"})
+    expected = [list(range(9, 17)), [4], [1, 5, 9, 13], list(range(1, 17))]
+    assert [found(x) for x in wanted] == expected
+    monkeypatch.setattr("vecloom.store.LAYOUT", None)
+    monkeypatch.setattr(schemas, "PROMOTED", ())
+    add(16, 18)  # as an earlier release would write it
+    monkeypatch.undo()
+    assert not store.refresh().has_layout
+    assert [found(x) for x in wanted] == [*expected[:2], [1, 5, 9, 13, 17], list(range(1, 19))]
+    compact(store)
+    assert store.has_layout and found(wanted[2]) == [1, 5, 9, 13, 17]

@@ -1,6 +1,7 @@
 """Metadata maps and equality filters over them."""
 
 import json
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column
@@ -30,14 +31,16 @@ def merge(base: Column, override: Column) -> Column:
     return F.map_concat(kept, right)
 
 
-def matches(equal_to: dict[str, Any] | None, columns: list[str]) -> Column:
-    """AND of equalities. ``metadata.<key>`` looks into the map (the rest after the first dot is the key), any
-    other key names a top-level column. A missing key equals None."""
+def matches(equal_to: dict[str, Any] | None, columns: list[str], promoted: Sequence[str] = ()) -> Column:
+    """AND of equalities. ``metadata.<key>`` looks into the map (the rest after the first dot is the key), or into the
+    column of that name for keys that are ``promoted``, which lets the filter reach the scan. Any other key names a top-level
+    column. A missing key equals None."""
     passed = F.lit(True)
     for key, value in (equal_to or {}).items():
         wanted = F.lit(render(value)).cast("string")
         if key.startswith("metadata."):
-            found = F.col("metadata")[key.split(".", 1)[1]]
+            inner = key.split(".", 1)[1]
+            found = F.col(inner) if inner in promoted else F.col("metadata")[inner]
         elif key in columns:
             found = F.col(key).cast("string")
         else:

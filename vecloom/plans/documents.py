@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
-from vecloom.operators import numbering
-from vecloom.operators.dedup import first_rows, with_content_key
+from vecloom.operators import membership, numbering
+from vecloom.operators.dedup import first_seq, rows_of, with_content_key
 from vecloom.store import VectorStore
 
 _OPTIONAL = ["url", "title", "doc_type", "external_id"]
@@ -37,9 +37,9 @@ def document_rows(df: DataFrame, keyed: bool = False) -> DataFrame:
     return rows if keyed else with_content_key(rows)
 
 
-def new_documents(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """First document of each hash that is not in ``known`` (``full_text_sha1``)."""
-    return first_rows(docs.where(~T.is_blank(F.col("text"))), "seq", known)
+def judged_rows(docs: DataFrame) -> DataFrame:
+    """What decides about a document: ``seq``, its hash, its reference and whether its text is blank."""
+    return docs.select("seq", *_KEYS, T.is_blank(F.col("text")).alias("blank"))
 
 
 def document_chunks(docs: DataFrame, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -100,18 +100,28 @@ def upsert_documents(
     store.check_dim(encoder.dim)
     began = time.monotonic()
     docs = document_rows(df, keyed)
-    fresh = new_documents(docs, store.documents())
-    cut = document_chunks(fresh, chunk_size, overlap)
-    full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
-    staged = numbering.stage(cut.withColumn("full_text", full_text).drop("text"), "documents")
+    scratch = []
+
+    def kept(rows: DataFrame, label: str) -> numbering.Staged:
+        scratch.append(numbering.stage(rows, label))
+        return scratch[-1]
+
     try:
-        return _add_documents(store, docs, staged, encoder, with_status, began)
+        # One pass judges all rows, another reads the texts of those that turned out to be first and new.
+        judged = kept(judged_rows(docs), "judged").read()
+        first = first_seq(judged.where("NOT blank"), "seq", store.documents(), store.known_hashes())
+        winners = kept(first.select("seq"), "first-rows").read()
+        cut = document_chunks(rows_of(docs, winners, "seq"), chunk_size, overlap)
+        full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
+        staged = kept(cut.withColumn("full_text", full_text).drop("text"), "documents")
+        return _add_documents(store, judged, staged, encoder, with_status, began)
     finally:
-        staged.discard()
+        for table in scratch:
+            table.discard()
 
 
 def _add_documents(
-    store: VectorStore, docs: DataFrame, staged: numbering.Staged, encoder, with_status: bool, began: float
+    store: VectorStore, judged: DataFrame, staged: numbering.Staged, encoder, with_status: bool, began: float
 ) -> UpsertReport:
     is_first = F.col("chunk_index") == 0
     result = numbering.number_staged(
@@ -124,11 +134,12 @@ def _add_documents(
     encoded = time.monotonic()
     first = numbered.where(is_first)
     store.write("documents", registry_rows(first))
+    added = result.total
+    store.write("known", membership.bitmaps(store.written("documents"), store.head.next_id + added))
     status = None
     if with_status:
-        winners = numbering.stage(first.select("seq", "total_chunks", F.col("vec_id").alias("first_id")), "winners")
-        status = upsert_status(docs, winners.read())
-    added = result.total
+        winners = first.select("seq", "total_chunks", F.col("vec_id").alias("first_id"))
+        status = numbering.stage(upsert_status(judged, winners), "status").read()
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
     ended = time.monotonic()
     seconds = {
@@ -137,13 +148,12 @@ def _add_documents(
     return UpsertReport(status, result.sums["documents"], added, seconds)
 
 
-def upsert_status(docs: DataFrame, winners: DataFrame) -> DataFrame:
+def upsert_status(judged: DataFrame, winners: DataFrame) -> DataFrame:
     """``added``, ``exists`` or ``rejected`` per input row. Joined on ``seq``, which is unique, so copies of one
     text do not pile up in one task."""
-    blank = T.is_blank(F.col("text"))
-    narrow = docs.select("seq", F.when(~blank, F.col("doc_ref")).alias("doc_ref"), blank.alias("_blank"))
-    status = F.when(F.col("_blank"), "rejected").when(F.col("first_id").isNotNull(), "added").otherwise("exists")
-    return narrow.join(winners, "seq", "left").select("seq", "doc_ref", status.alias("status"), "total_chunks", "first_id")
+    status = F.when(F.col("blank"), "rejected").when(F.col("first_id").isNotNull(), "added").otherwise("exists")
+    doc_ref = F.when(~F.col("blank"), F.col("doc_ref")).alias("doc_ref")
+    return judged.join(winners, "seq", "left").select("seq", doc_ref, status.alias("status"), "total_chunks", "first_id")
 
 
 def upsert_document(

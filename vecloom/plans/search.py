@@ -75,7 +75,8 @@ def search(
     prepared = query_vectors(queries, encoder)
     items = store.items()
     passed = metadata.matches(equal_to, _TOP_LEVEL)
-    corpus = items.where(passed) if equal_to and filter_mode == "pre" else items
+    scanned = metadata.matches(equal_to, _TOP_LEVEL, schemas.PROMOTED if store.has_layout else ())
+    corpus = items.where(scanned) if equal_to and filter_mode == "pre" else items
     if store.head.dim is None:
         corpus, dim = corpus.limit(0), encoder.dim if encoder else 1
         prepared = prepared.limit(0)

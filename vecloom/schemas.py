@@ -33,7 +33,15 @@ ITEMS = _struct(
     ("source_file", StringType()),
     ("source_row", LongType()),
     ("chunk_index", IntegerType()),
+    # Filter keys that are also columns of their own, so that filters on them reach the scan.
+    ("doc_type", StringType()),
+    ("url", StringType()),
+    ("doc_ref", StringType()),
 )
+PROMOTED = ("doc_type", "url", "doc_ref")
+
+# Which document hashes there may be: a bit per value of the first ``bits`` bits, in buckets of Spark's bitmap functions.
+KNOWN = _struct(("bits", IntegerType()), ("bucket", LongType()), ("bitmap", BinaryType()))
 
 DOCUMENTS = _struct(
     ("doc_id", StringType()),
@@ -61,6 +69,7 @@ INFO = _struct(
     ("created_or_updated_at", TimestampType()),
     ("run", StringType()),
     ("compacted", BooleanType()),  # the batch holds all rows, earlier batches count no more
+    ("layout", IntegerType()),  # null where a batch has no promoted columns and no bitmaps
 )
 
 METADATA_LINE = _struct(("id", LongType()), ("url", StringType()), ("created_at", StringType()))

@@ -3,6 +3,7 @@
     <root>/items/batch=N/run=R       vectors with their metadata
     <root>/documents/batch=N/run=R   document registry
     <root>/processed/batch=N/run=R   ledger of finished files
+    <root>/known/batch=N/run=R       bitmaps of the hashes of the documents
     <root>/info/version=N            one row; version N makes run R of batch N of every table visible
 
 A run writes its rows under batch N+1 and a run name of its own, then its info row in a folder beside, and commits by
@@ -14,15 +15,19 @@ a batch or the rows of a run that died or was refused.
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vecloom import schemas
+from vecloom.operators import membership
 from vecloom.session import has_files, make_folder, remove_folder, rename_folder, ship_package
 
-_TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED}
+_TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED, "known": schemas.KNOWN}
 ITEMS_PER_FILE = 500_000
+LAYOUT = 2
+#: Filters for single values of columns with many; their size follows from the values of a row group.
+_BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true"} | {f"parquet.bloom.filter.enabled#{c}": "true" for c in ("url", "doc_ref")}
 
 
 @dataclass(frozen=True)
@@ -99,6 +104,17 @@ class VectorStore:
     def processed(self) -> DataFrame:
         return self._visible("processed")
 
+    @property
+    def has_layout(self) -> bool:
+        """Whether all visible batches have promoted columns, and bitmaps of their documents."""
+        return all(row.layout == LAYOUT for row in self._history if row.version <= self.head.version)
+
+    def known_hashes(self) -> DataFrame | None:
+        """``bits, bucket, bitmap`` over all commits, or None if a batch is older than the bitmaps."""
+        if not self.has_layout:
+            return None
+        return membership.combined(self._visible("known"))
+
     def info(self) -> DataFrame:
         return self._read("info", schemas.INFO, "version").where(F.col("version") == self.head.version).drop("version", "run")
 
@@ -135,11 +151,17 @@ class VectorStore:
         given = set(rows.columns)
         shaped = rows.select(
             *[
-                (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+                self._column(name, f.name, given).cast(f.dataType).alias(f.name)
                 for f in _TABLES[name].fields
             ]
         )
-        shaped.write.mode("overwrite").parquet(self._folder(name))
+        shaped.write.mode("overwrite").options(**(_BLOOM if name == "items" else {})).parquet(self._folder(name))
+
+    def _column(self, table: str, name: str, given: set[str]) -> Column:
+        if name in given:
+            return F.col(name)
+        promoted = table == "items" and name in schemas.PROMOTED and "metadata" in given
+        return F.col("metadata")[name] if promoted else F.lit(None)
 
     def written(self, name: str) -> DataFrame:
         """Rows this run has written and not yet committed."""
@@ -154,6 +176,7 @@ class VectorStore:
             F.current_timestamp().alias("created_or_updated_at"),
             F.lit(self._run).alias("run"),
             F.lit(compacted).alias("compacted"),
+            F.lit(LAYOUT).cast("int").alias("layout"),
         )
         pending = f"{self.root}/pending/{self._run}"
         row.write.mode("overwrite").parquet(pending)
@@ -179,7 +202,7 @@ class VectorStore:
         if self._committed(self.next_batch) or not self._publish(head, compacted):
             self.discard_run()
             raise RuntimeError("another writer has committed to this store; refresh it and try again")
-        row = Row(version=head.version, next_id=head.next_id, run=self._run, compacted=compacted)
+        row = Row(version=head.version, next_id=head.next_id, run=self._run, compacted=compacted, layout=LAYOUT)
         self._history = [*([] if compacted else self._history), row]
         self.head, self._run = head, uuid.uuid4().hex
 
@@ -192,7 +215,9 @@ def compact(store: VectorStore, items_per_file: int = ITEMS_PER_FILE) -> None:
     """
     items = store.items()
     files = max(1, -(-(store.head.next_id - 1) // items_per_file))
+    items = items.drop(*schemas.PROMOTED)  # taken from the metadata anew, as older batches have none
     store.write("items", items.repartitionByRange(files, "vec_id").sortWithinPartitions("vec_id"))
+    store.write("known", membership.bitmaps(store.documents().select("full_text_sha1"), store.head.next_id))
     for name in ("documents", "processed"):
         store.write(name, store._visible(name).repartition(max(1, files // 4)))
     store.commit(compacted=True)
