@@ -180,9 +180,8 @@ def dedup_documents(spark, sf_dir):
 
 
 def documents_registry(spark, sf_dir):
-    known = spark.createDataFrame([], "full_text_sha1 string")
     source = docs_plan.document_rows(_all_documents(spark, sf_dir))
-    first = docs_plan.new_documents(source, known)
+    first = first_rows(source.where(~T.is_blank(F.col("text"))), "seq")
     total = chunks.window_count(F.col("text"), C.DOCUMENT_CHUNK_SIZE, C.DOCUMENT_CHUNK_OVERLAP)
     return first.select("doc_ref", "full_text_sha1", total.alias("total_chunks"))
 

@@ -20,6 +20,12 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(n) if scan.rdd.getNumPartitions() < n else scan
 
 
+def spread_small(df: DataFrame, input_bytes: int) -> DataFrame:
+    """Like :func:`spread` for an input of known size, whatever its plan holds."""
+    n = cores(df.sparkSession)
+    return df.repartition(n) if input_bytes < n * SPLIT_BYTES else df
+
+
 def spread_in_order(df: DataFrame, input_bytes: int, *keys: str) -> DataFrame:
     """Like :func:`spread` for an input of known size, keeping ranges of ``keys`` together."""
     n = cores(df.sparkSession)

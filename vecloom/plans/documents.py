@@ -14,6 +14,7 @@ from vecloom import constants as C
 from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import membership, numbering
+from vecloom.operators.balance import spread_small
 from vecloom.operators.dedup import first_seq, rows_of, with_content_key
 from vecloom.store import VectorStore
 
@@ -38,8 +39,8 @@ def document_rows(df: DataFrame, keyed: bool = False) -> DataFrame:
 
 
 def judged_rows(docs: DataFrame) -> DataFrame:
-    """What decides about a document: ``seq``, its hash, its reference and whether its text is blank."""
-    return docs.select("seq", *_KEYS, T.is_blank(F.col("text")).alias("blank"))
+    """What decides about a document: ``seq``, its hash, its reference, whether its text is blank, and its size."""
+    return docs.select("seq", *_KEYS, T.is_blank(F.col("text")).alias("blank"), F.octet_length("text").cast("bigint").alias("bytes"))
 
 
 def document_chunks(docs: DataFrame, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -111,7 +112,8 @@ def upsert_documents(
         judged = kept(judged_rows(docs), "judged").read()
         first = first_seq(judged.where("NOT blank"), "seq", store.documents(), store.known_hashes())
         winners = kept(first.select("seq"), "first-rows").read()
-        cut = document_chunks(rows_of(docs, winners, "seq"), chunk_size, overlap)
+        size = judged.agg(F.sum("bytes")).first()[0] or 0
+        cut = document_chunks(spread_small(rows_of(docs, winners, "seq"), size), chunk_size, overlap)
         full_text = F.when((F.col("chunk_index") == 0) & F.lit(store.keep_full_text), F.col("text"))
         staged = kept(cut.withColumn("full_text", full_text).drop("text"), "documents")
         return _add_documents(store, judged, staged, encoder, with_status, began)
