@@ -276,3 +276,19 @@ def test_sharding(documents, raw_documents, bucket_bytes):
 
 def test_sharding_of_nothing(no_documents):
     assert sharding.shard_documents(no_documents).isEmpty()
+
+
+def test_names_of_the_stages_are_no_obstacle(spark):
+    """Columns that are called like internal ones are passed through as they are."""
+    names = ["__h", "__cell", "__bucket", "__gone", "__source", "__copies", "__copy", "__source_of", "__target_of", "__full_of", "row", "copy", "h", "cell"]
+    rows = [(i, f"word{i % 20} " * (30 + i % 5), f"s{i % 3}", *(f"{n}:{i}" for n in names)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    known = {r[0]: tuple(r) for r in rows}
+    kept = near_dedup.keep_one_of_each(docs)
+    mixed = mixing.mix(docs)
+    sharded = sharding.shard_documents(docs, shards=3)
+    assert kept.columns == mixed.columns == docs.columns and sharded.columns == [*docs.columns, "shard", "slot"]
+    assert all(tuple(r) == known[r.doc_id] for df in (kept, mixed) for r in df.collect())
+    placed = sharded.collect()
+    assert len(placed) == 60 and all(tuple(r)[:-2] == known[r.doc_id] for r in placed)
+    assert mixed.count() >= 1 and kept.count() <= 60

@@ -129,9 +129,10 @@ def mix_report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 9) -> DataFrame:
     """The mixture: every document as often as it is taken, with the columns of ``docs``."""
     plan = _plan(staged(_sized(docs, seed), "mix-sizes"), weights, most)
-    rows = docs.select("*", F.col("source").cast("string").alias("__source"), rank_key(seed).alias("__h"))
+    # a row is held as one value, so that no column of it can clash with those beside it
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("__source"), rank_key(seed).alias("__h"))
     copies = F.array_repeat(F.lit(0), F.col("__copies").cast("int"))
-    return _copies(rows, plan, most).withColumn("__copy", F.explode(copies)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return _copies(rows, plan, most).withColumn("copy", F.explode(copies)).select("row.*")
 
 
 def op9_pareto_mix(spark, sf_dir):

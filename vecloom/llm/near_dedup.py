@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from vecloom.llm import words as W
 from vecloom.llm.components import components
-from vecloom.llm.staging import small, staged
+from vecloom.llm.staging import free_name, small, staged
 
 SHINGLE = 5
 SKETCH = 96
@@ -205,8 +205,9 @@ def near_duplicates(
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    gone = staged(near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "near-duplicates")
-    return docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = staged(near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "near-duplicates")
+    return docs.join(small(gone), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op5_bottom_k_near_dedup(spark, sf_dir):

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecloom.llm.staging import free_name
 from vecloom.session import new_folder
 
 SHARDS = 24
@@ -35,16 +36,15 @@ def text_size():
     return F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + ROW_BYTES
 
 
-def _hashed(docs: DataFrame, seed: int) -> DataFrame:
+def _hashed(docs: DataFrame, seed: int, h: str, cell: str) -> DataFrame:
     keys = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    h = F.xxhash64(F.lit(seed), *keys)
-    return docs.withColumn("__h", h).withColumn("__cell", F.shiftrightunsigned("__h", 64 - CELL_BITS).cast("int"))
+    return docs.withColumn(h, F.xxhash64(F.lit(seed), *keys)).withColumn(cell, F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int"))
 
 
-def _buckets(hashed: DataFrame, bucket_bytes: int) -> tuple[int, np.ndarray]:
+def _buckets(hashed: DataFrame, cell: str, bucket_bytes: int) -> tuple[int, np.ndarray]:
     """Number of buckets and the place of the first row of each, the number of rows at the end."""
-    cells = hashed.groupBy("__cell").agg(F.count("*").alias("n"), F.sum(text_size()).alias("b")).toArrow()
-    where = cells.column("__cell").to_numpy().astype(np.int64)
+    cells = hashed.groupBy(F.col(cell).alias("cell")).agg(F.count("*").alias("n"), F.sum(text_size()).alias("b")).toArrow()
+    where = cells.column("cell").to_numpy().astype(np.int64)
     n = int(min(max(1, -(-int(np.sum(cells.column("b").to_numpy())) // bucket_bytes)), 1 << CELL_BITS))
     counts = np.bincount(where * n >> CELL_BITS, weights=cells.column("n").to_numpy(), minlength=n).astype(np.int64)
     return n, np.concatenate([[0], np.cumsum(counts)])
@@ -58,7 +58,7 @@ def _placed(bucket: list[pa.RecordBatch], number: int, places: np.ndarray, start
     np.random.Generator(np.random.PCG64([seed, number])).shuffle(order)  # Fisher-Yates
     place = places[number] + np.arange(len(rows))
     shard = np.searchsorted(starts, place, side="right") - 1
-    done = rows.drop_columns(["__h", "__bucket"]).take(pa.array(order))
+    done = rows.select(range(rows.num_columns - 2)).take(pa.array(order))  # without hash and bucket
     done = done.append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - starts[shard]))
     yield from done.to_batches(max_chunksize=2000)
 
@@ -68,12 +68,13 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 4, bucket
     spark = docs.sparkSession
     path = path or new_folder(spark, "shards")
     docs = docs.drop("shard", "slot")
-    hashed = _hashed(docs, seed)
-    n, places = _buckets(hashed, bucket_bytes)
+    h, cell, number = (free_name(docs, name) for name in ("__h", "__cell", "__bucket"))
+    hashed = _hashed(docs, seed, h, cell)
+    n, places = _buckets(hashed, cell, bucket_bytes)
     total = int(places[-1])
     starts = spark.sparkContext.broadcast((places, np.arange(shards + 1) * total // shards))
-    bucket = F.shiftright(F.col("__cell").cast("bigint") * n, CELL_BITS).cast("int").alias("__bucket")
-    scattered = hashed.select(*(F.col(f"`{c}`") for c in docs.columns), "__h", bucket).repartitionById(n, "__bucket")
+    bucket = F.shiftright(F.col(cell).cast("bigint") * n, CELL_BITS).cast("int").alias(number)
+    scattered = hashed.select(*(F.col(f"`{c}`") for c in docs.columns), h, bucket).repartitionById(n, number)
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +95,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 4, bucket
             yield from _placed(held, current, *starts.value, seed)
 
     others = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    ordered = scattered.sortWithinPartitions("__bucket", "__h", *others) if docs.columns else scattered
+    ordered = scattered.sortWithinPartitions(number, h, *others) if docs.columns else scattered
     placed = ordered.mapInArrow(run, schema)
     placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     back = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])

@@ -31,6 +31,14 @@ def release(*tables: DataFrame) -> None:
             discard(df.sparkSession, path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it, as no column of ``df`` is called, in lower or upper case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a staged narrow table for broadcasting if it has at most ``limit`` rows; else let Spark shuffle it."""
     return F.broadcast(df) if df.count() <= limit else df
