@@ -15,14 +15,14 @@ from vecloom.operators.dedup import first_rows, first_seq, with_content_key
 from vecloom.operators.numbering import assign_ids, next_id
 from vecloom.operators.topk import top_k
 from vecloom.plans import documents as docs_plan
-from vecloom.plans.ingest import IngestOptions, ingest_corpus, limit_cut, whole_text_options
+from vecloom.plans.ingest import IngestOptions, export_metadata_lines, ingest_corpus, limit_cut, whole_text_options
 from vecloom.plans.search import search
 from vecloom.plans.stats import skip_stats, store_counts
 from vecloom.plans.vectors import add_vectors, dim_violations, vector_faults
 from vecloom.session import new_folder, ship_package
 from vecloom.sources.census import census, table_name
 from vecloom.sources.corpus import in_band, read_corpus
-from vecloom.sources.files import list_files, unprocessed
+from vecloom.sources.files import list_files, read_exported_lines, unprocessed
 from vecloom.store import VectorStore, open_store
 from vecloom.streaming.ingest import stream_corpus, stream_documents
 
@@ -424,6 +424,17 @@ def stream_ingest(spark, sf_dir):
     return _ingested(store.refresh())
 
 
+def jsonl_export(spark, sf_dir):
+    """Two exports of a store that grows between them, and one that finds nothing new."""
+    store, path = _new_store(spark, "store"), new_folder(spark, "export")
+    given = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.concat(F.lit("u"), "vec_id").alias("url"))
+    for rest in (0, 1):
+        add_vectors(store, given.where(F.col("vec_id") % 2 == rest), order_by=["vec_id"])
+        export_metadata_lines(store, path)
+    export_metadata_lines(store, path)
+    return read_exported_lines(spark, path).select("id", "url")
+
+
 def stream_resume(spark, sf_dir):
     """A run that a row limit cuts, and one that finishes what the ledger lacks though no new file has come."""
     store, checkpoint = _new_store(spark, "store"), new_folder(spark, "checkpoint")
@@ -498,6 +509,7 @@ _QUERIES = {
     "human_sizes": human_sizes,
     "stream_ingest": stream_ingest,
     "stream_resume": stream_resume,
+    "jsonl_export": jsonl_export,
     "stream_dedup": stream_dedup,
 }
 
@@ -718,6 +730,7 @@ def oracle_sql() -> dict[str, str]:
         f"ORDER BY doc_id LIMIT {WHOLE_LIMIT}",
         "stream_ingest": _ingest_sql(),
         "stream_resume": _ingest_sql(),
+        "jsonl_export": "SELECT row_number() OVER (ORDER BY vec_id % 2, vec_id) AS id, concat('u', vec_id) AS url FROM embeddings",
         "stream_dedup": f"SELECT {doc_ref} AS doc_ref, sha1(text) AS full_text_sha1, {total} AS total_chunks, "
         f"arg_min(source, (doc_id NOT IN ({known}))::BIGINT * 1000000000 + doc_id) AS doc_type FROM documents "
         f"WHERE {_strip_sql('text')} <> '' GROUP BY text",

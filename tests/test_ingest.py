@@ -211,3 +211,31 @@ def test_a_row_limit_loses_nothing(spark, store, encoder, tmp_path, limits):
     assert ingest_corpus(store, root, encoder).added == 0
     totals = store.processed().groupBy().sum("rows_sent", "rows_skipped").first()
     assert tuple(totals) == (5, 3)
+
+
+def test_lines_are_exported_once(spark, store, encoder, tmp_path, monkeypatch):
+    """Over a run that dies before it publishes, a repeated one and two that begin at the same id."""
+    from vecloom.plans.ingest import export_metadata_lines
+    from vecloom.sources import files
+
+    root, out = str(tmp_path / "in"), str(tmp_path / "out [1]")
+    put(f"{root}/a.parquet", [words(1, 300), words(2, 300)])
+    ingest_corpus(store, root, encoder)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(files, "rename_folder", dies)
+        with pytest.raises(OSError):
+            export_metadata_lines(store, out)
+    assert files.export_watermark(spark, out) == 0
+    assert export_metadata_lines(store, out) == 2 and export_metadata_lines(store, out) == 0
+    put(f"{root}/b.parquet", [words(3, 300)])
+    ingest_corpus(store, root, encoder)
+    with monkeypatch.context() as late:
+        late.setattr(files, "export_watermark", lambda *_: 0)  # has not seen the first export
+        with pytest.raises(RuntimeError):
+            export_metadata_lines(store, out)
+    assert export_metadata_lines(store, out) == 1
+    assert sorted(r.id for r in files.read_exported_lines(spark, out).collect()) == [1, 2, 3]

@@ -282,3 +282,18 @@ def metadata_lines(store: VectorStore, from_id: int = 1) -> DataFrame:
     return store.items().where(F.col("vec_id") >= from_id).select(
         F.col("vec_id").alias("id"), field("url").alias("url"), field("created_at").alias("created_at")
     )
+
+
+def export_metadata_lines(store: VectorStore, path: str) -> int:
+    """Export the metadata lines of all vectors that no export below ``path`` has; how many ids were exported.
+
+    The watermark is published with the lines, so every id is exported once, whatever run dies or is repeated.
+    """
+    first = file_source.export_watermark(store.spark, path) + 1
+    last = store.head.next_id - 1
+    if last < first:
+        return 0
+    lines = metadata_lines(store, first).where(F.col("id") <= last)
+    if not file_source.publish_metadata_lines(lines, path, first, last):
+        raise RuntimeError("another export has begun at the same id; try again")
+    return last - first + 1

@@ -70,6 +70,11 @@ def has_files(spark: SparkSession, pattern: str) -> bool:
     return bool(fs.globStatus(target))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    fs, target = _hadoop_path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(target) or []]
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop_path(spark, path)
     fs.mkdirs(target)
@@ -90,7 +95,8 @@ def rename_folder(spark: SparkSession, source: str, target: str) -> bool:
     try:
         context.rename(*qualified, spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
     except Py4JJavaError as error:
-        if has_files(spark, target):
+        fs, path = _hadoop_path(spark, target)
+        if fs.exists(path):
             return False
         raise error
     return True

@@ -1,6 +1,7 @@
 """Discovery of parquet files and the ledger of finished ones."""
 
 import re
+import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vecloom import schemas
 from vecloom.functions import text as T
-from vecloom.session import has_files
+from vecloom.session import has_files, matching_paths, remove_folder, rename_folder
 
 PARQUET = "*.parquet"
 #: Spark's file stream passes over files older than this. It must never bite, as copies often keep old times.
@@ -83,6 +84,31 @@ def read_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.METADATA_LINE).json(path)
 
 
+def export_watermark(spark: SparkSession, path: str) -> int:
+    """The largest id of the exports published below ``path``, 0 if there is none."""
+    ends = matching_paths(spark, f"{literal_path(path)}/from-*/to-*")
+    return max((int(end.rsplit("-", 1)[1]) for end in ends), default=0)
+
+
+def publish_metadata_lines(df: DataFrame, path: str, first: int, last: int) -> bool:
+    """Write ``id, url, created_at`` as JSON lines and publish them below ``path`` together with their range of ids.
+
+    An export becomes visible by one rename to ``from-<first>``, which fails if there is one, so of two exports that begin at
+    the same id one is refused, and one that died leaves nothing that is read.
+    """
+    spark = df.sparkSession
+    pending = f"{path}/pending/{uuid.uuid4().hex}"
+    write_metadata_lines(df, f"{pending}/to-{last}")
+    if rename_folder(spark, pending, f"{path}/from-{first}"):
+        return True
+    remove_folder(spark, pending)
+    return False
+
+
+def read_exported_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.METADATA_LINE).json(f"{literal_path(path)}/from-*/to-*")
+
+
 def write_metadata_lines(df: DataFrame, path: str) -> None:
     """Append ``id, url, created_at`` as JSON lines; nulls are written."""
     df.select("id", "url", "created_at").write.mode("append").option("ignoreNullFields", "false").json(path)
