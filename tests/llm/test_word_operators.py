@@ -1,6 +1,7 @@
 """Operators on words against brute force."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -163,6 +164,54 @@ def test_near_duplicates(documents, raw_documents, long_list):
     assert sum(not w[3] for w in want) > 40
 
 
+def family(rng, members, first_id):
+    """Texts that share half or more of a common original; copies cut short; a branch of copies with words of its own."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+    rows = [(first_id, " ".join(base))]
+    branch = [f"b{rng.randrange(10**6)}" for _ in range(40)]
+    for i in range(1, members):
+        words = list(base)
+        if i % 7 == 0:
+            words = words[: rng.randrange(90, 160)]
+        elif i % 7 == 1:
+            words = words[:60] + branch[: rng.randrange(25, 40)] + words[100:]
+        for _ in range(rng.choice([1, 3, 5, 8, 12])):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10**9)}"
+        rows.append((first_id + i, " ".join(words)))
+    return rows
+
+
+def test_large_families(spark):
+    rng = random.Random(5)
+    rows = [r for f in range(3) for r in family(rng, 120, 1000 * f)]
+    rows += [(5000 + i, " ".join(f"o{rng.randrange(10**6)}" for _ in range(50))) for i in range(20)]
+    label = brute_components(rows)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert {r.doc_id: r.component_id for r in found.collect()} == label
+    sizes = sorted(np.unique(list(label.values()), return_counts=True)[1])
+    assert sizes[-1] > 20 and sizes.count(1) > 60
+
+
+def test_families_meet_without_their_square(spark):
+    """Texts of one family that are linked to nothing, each half its original, meet nobody."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1500):
+        words = list(base)
+        for at in rng.sample(range(200), 12):
+            words[at] = f"n{i}-{at}"
+        rows.append((i, " ".join(words)))
+    met = []
+    kept, near_dedup._confirmed = near_dedup._confirmed, lambda pairs, *a: (met.append(pairs.count()), kept(pairs, *a))[1]
+    try:
+        found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    finally:
+        near_dedup._confirmed = kept
+    assert found.where("kept").count() == 1500
+    assert met[0] <= 1500 and met[1] == 0
+
+
 def test_one_of_each_stays(documents, raw_documents, no_documents):
     label = brute_components(raw_documents)
     kept = near_dedup.keep_one_of_each(documents)

@@ -4,17 +4,24 @@ A document's set is its distinct 5-word shingles; its sketch the ``SKETCH`` smal
 set. Documents of equal sets are one node. Inverted lists of the retained values give candidates:
 
 1. Every list has a pivot, the member whose values are the most shared. Each node meets the pivot that leads most of its
-   lists. A large family of near copies has its common original as pivot and falls into one component here, with one
-   candidate per member.
-2. A list whose members are now in one component has nothing left to show. In the others, members of different
-   components meet, which loses no link, as links inside a component change nothing. Long lists (boilerplate that many
-   documents share) are only read for nodes that consist of such values to more than half; any other node shares enough
-   of its remaining values with each of its near-duplicates to meet them in short lists. Lists drop pairs whose sketches
-   have too few values in common, long lists counted as common where they were not read.
+   lists and is of that pivot's family. A large family of near copies has its common original as pivot and falls into one
+   component here, with one candidate per member.
+2. Members of one family meet by what sets them apart from the pivot. Of two members, what they have in common inside the
+   pivot's set is at most the lesser of what each has in common with the pivot, which is known exactly by now. So a link
+   needs either as many common values outside the pivot's set as are missing from that bound, which are counted in lists
+   of such values alone, or sizes so small that none are missing, which are looked up by size. Both are exact, on full
+   sets; the members of a family that are linked to nothing meet nothing.
+3. Members of different families meet in the lists of the sketches. Long lists (boilerplate that many documents share) are
+   only read for nodes that consist of such values to more than half; any other node shares enough of its remaining
+   values with each of its near-duplicates to meet them in short lists. Lists drop pairs whose sketches have too few
+   values in common, long lists counted as common where they were not read.
+
+Nodes that are in one component already never meet, which loses no link, as links inside a component change nothing. Of
+a list, the members outside its largest group meet all others, so a group of any size costs nothing by itself.
 
 Candidates pass if the sketch of their union, estimated from both sketches, does not exclude the threshold, and links
 are those whose full sets do reach it. With 96 values a pair at the threshold is missed with a probability of at most
-1.1e-6 (binomial: 50 or fewer values in common, where step 2 asks for 51), with or without long lists, and of 2.8e-10 by
+1.1e-6 (binomial: 50 or fewer values in common, where step 3 asks for 51), with or without long lists, and of 2.8e-10 by
 the estimate (43 or fewer); pairs above the threshold are missed less often.
 
 Defined results: null and empty texts have n_shingles 0 and are linked with nothing; rows that share a doc_id are one
@@ -42,7 +49,8 @@ SKETCH = 96
 NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 0.3  # 6.8 standard deviations of the estimate
 LONG_LIST = 50
-PIVOT_SHARE = 0.15  # of its values that a node meets its pivot in; the others meet in step 2
+PIVOT_SHARE = 0.15  # of its values that a node meets its pivot in; nodes without such a pivot are a family each
+SALT_ROWS = 512  # members of a family that meet one copy of their pivot's set
 #: Share of a sketch that links have in common at least: the threshold less five standard deviations.
 COMMON = 0.53
 
@@ -148,24 +156,108 @@ def _pivot_pairs(listed: DataFrame) -> DataFrame:
     return staged(best.select(F.col("rep").alias("a"), (-F.col("m.p")).alias("b")), "pivot-pairs")
 
 
-def _open_pairs(listed: DataFrame, labels: DataFrame, long_list: int, num: int, den: int) -> DataFrame:
-    """(a, b): members of a list that are in different components and share enough values."""
+def _families(pivot_pairs: DataFrame) -> DataFrame:
+    """(node, fam): the pivot that each node has met; pivots that have met none lead their own family."""
+    heads = pivot_pairs.select(F.col("b").alias("head")).distinct().join(pivot_pairs.select("a"), F.col("head") == F.col("a"), "left_anti")
+    return staged(pivot_pairs.select(F.col("a").alias("node"), F.col("b").alias("fam")).union(heads.select("head", F.col("head"))), "families")
+
+
+def _met(rows: DataFrame, on: list[str], group: str, facts: tuple[str, ...]) -> DataFrame:
+    """Pairs (a, b) of members of a list (equal ``on``) in different groups, with both sides' facts, once per list.
+
+    Those outside the largest group of a list meet all others, so that one large group does not cost its square.
+    """
+    groups = rows.groupBy(*on, F.col(group).alias("g")).agg(F.count("*").alias("k"))
+    lists = groups.groupBy(*on).agg(F.max(F.struct("k", "g")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
+    lists = staged(lists.select(*on, F.col("top.g").alias("largest")), "open-lists")
+    rows = staged(rows.join(lists, on).withColumn("minor", F.col(group) != F.col("largest")).drop("largest"), "open-members")
+    a = rows.where("minor").select(*on, F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in facts))
+    b = rows.select(*on, F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in facts), "minor")
+    return a.join(b, on).where(f"{group}_a <> {group}_b AND label_a <> label_b AND (a < b OR NOT minor)")
+
+
+def _ordered(pairs: DataFrame, label: str) -> DataFrame:
+    return staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), label)
+
+
+def _open_families(families: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Members of families that are in several components: node, fam, label, n, least_n (the smallest n of the family),
+    apart (not in the pivot's component), c (common values with the pivot), own (values that the pivot does not have)."""
+    sized = families.join(nodes.groupBy("rep").agg(F.min("n").alias("n")), F.col("node") == F.col("rep")).drop("rep")
+    known = labels.select(F.col("node").alias("known"), "label")
+    members = staged(sized.join(known, F.col("node") == F.col("known"), "left").select("node", "fam", "n", F.coalesce("label", "node").alias("label")), "members")
+    seen = members.groupBy("fam").agg(F.count("*").alias("k"), F.min("n").alias("least_n"), F.min("label").alias("x"), F.max("label").alias("y"))
+    seen = seen.where("k > 2 AND x <> y").join(known, F.col("fam") == F.col("known"), "left")
+    salts = (1 + F.floor(F.col("k") / SALT_ROWS)).cast("int").alias("salts")
+    seen = staged(seen.select("fam", "least_n", F.coalesce("label", "fam").alias("head"), salts), "open-families")
+    members = staged(members.join(seen, "fam"), "open-family-members")
+    ids = staged(members.select(F.col("node").alias("id")).union(seen.select("fam")).distinct(), "open-ids")
+    sets = staged(_sets(docs, ids), "family-sets")
+
+    copies = seen.select("fam", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    pivots = copies.join(sets.select(F.col("id").alias("fam"), F.col("members").alias("pivot")), "fam")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).drop("salts")
+    both = salted.join(sets.select(F.col("id").alias("node"), "members"), "node").join(pivots, ["fam", "salt"])
+    both = both.select("node", "fam", "label", "n", "least_n", (F.col("label") != F.col("head")).alias("apart"), "members", "pivot")
+    schema = T.StructType([*both.schema.fields[:6], T.StructField("c", T.LongType()), T.StructField("own", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            common, own = [], []
+            for x, p in zip(batch.column(6), batch.column(7), strict=True):
+                x, p = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(p.as_buffer(), np.uint64)
+                own.append(np.setdiff1d(x, p, assume_unique=True))
+                common.append(len(x) - len(own[-1]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(common, pa.int64()), _lists(own)], names=schema.names)
+
+    return staged(both.mapInArrow(run, schema), "family-values")
+
+
+def _family_pairs(opened: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): members of one family, of different components, whose full sets may reach num / den."""
+    both = num + den
+    # a link has at least num * (n_a + n_b) / both common values
+    facts = opened.groupBy("node", "fam", "label", "least_n", "apart").agg(F.min("n").alias("n"), F.max("c").alias("c"))
+    facts = facts.withColumn("partner", F.greatest("least_n", F.ceil(F.col("n") * num / den)))
+    facts = staged(facts.withColumn("missing", F.ceil((F.col("n") + F.col("partner")) * num / both) - F.col("c")), "family-facts")
+
+    rows = opened.select("node", "fam", F.explode("own").alias("v")).distinct()
+    shared = staged(rows.groupBy("fam", "v").agg(F.count("*").alias("k")).where("k > 1").select("fam", "v"), "own-lists")
+    rows = staged(rows.join(shared, ["fam", "v"]), "own-members")
+    able = rows.groupBy("node").agg(F.count("*").alias("k")).join(facts, "node").where("k >= missing").select("node", "n", "c", "label")
+    met = _met(rows.join(able, "node"), ["fam", "v"], "label", ("n", "c", "label"))
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * num / both) - F.least("c_a", "c_b")
+    by_value = met.groupBy("a", "b", least.alias("least")).agg(F.count("*").alias("k")).where("k >= least")
+
+    def bucket(n):
+        return F.floor(8 * F.log(n)).cast("int")
+
+    reach = F.floor(F.col("c") * both / num) - F.col("n")  # the largest partner that needs no common value of its own
+    facts = facts.select("node", "fam", "label", "n", "c", "partner", reach.alias("reach"), "apart")
+    near = facts.where("apart AND reach >= partner").withColumn("bucket", F.explode(F.sequence(bucket(F.col("partner")), bucket(F.col("reach")))))
+    names = ("label", "n", "c")
+    x = small(staged(near.select("fam", "bucket", F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in names)), "seekers"))
+    y = facts.select("fam", bucket(F.col("n")).alias("bucket"), F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in names), "apart")
+    fits = F.least("c_a", "c_b") * both >= (F.col("n_a") + F.col("n_b")) * num
+    by_size = y.join(x, ["fam", "bucket"]).where(fits & F.expr("label_a <> label_b AND (a < b OR NOT apart)"))
+    return _ordered(by_value.select("a", "b").union(by_size.select("a", "b")), "family-pairs")
+
+
+def _open_pairs(listed: DataFrame, labels: DataFrame, families: DataFrame, long_list: int, num: int, den: int) -> DataFrame:
+    """(a, b): members of a list that are of different families and components and share enough values."""
     related = listed.where(F.size("lists") >= COMMON * F.col("size"))
-    labelled = related.join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("label", "rep"))
-    values = labelled.select("rep", "n", "label", "size", "held", "hot_node", F.explode("lists").alias("l")).select("*", "l.v", "l.cnt").drop("l")
-    values = staged(values.where(f"cnt <= {long_list} OR hot_node"), "list-members")
-    open_lists = values.groupBy("v").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("v")
-    values = staged(values.join(staged(open_lists, "open-lists"), "v"), "open-members")
-    facts = ("n", "label", "size", "held", "hot_node")
-    a = values.select("v", F.col("rep").alias("a"), *(F.col(c).alias(f"{c}_a") for c in facts))
-    b = values.select("v", F.col("rep").alias("b"), *(F.col(c).alias(f"{c}_b") for c in facts))
+    known = labels.select(F.col("node").alias("known"), "label")
+    related = related.join(known, F.col("rep") == F.col("known"), "left").join(families, F.col("rep") == F.col("node"), "left")
+    facts = ("n", "label", "fam", "size", "held", "hot_node")
+    related = related.select(F.col("rep").alias("node"), "n", F.coalesce("label", "rep").alias("label"), F.coalesce("fam", "rep").alias("fam"), "size", "held", "hot_node", F.explode("lists").alias("l"))
+    values = staged(related.where(F.col("hot_node") | (F.col("l.cnt") <= long_list)).select("node", *facts, "l.v"), "list-members")
     sizes = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
-    met = a.join(b, "v").where(F.expr("a < b AND label_a <> label_b") & sizes)
+    met = _met(values, ["v"], "fam", facts).where(sizes)
     all_lists = F.col("hot_node_a") & F.col("hot_node_b")
     least = COMMON * F.least("size_a", "size_b") - F.when(all_lists, F.lit(0)).otherwise(F.least("held_a", "held_b"))
-    counted = met.groupBy("a", "b", least.alias("least")).agg(F.count("*").alias("shared"))
-    enough = F.col("shared") >= F.col("least")
-    return staged(counted.where(enough).select("a", "b"), "open-pairs")
+    ordered = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), least.alias("least"))
+    counted = ordered.groupBy("a", "b", "least").agg(F.count("*").alias("shared"))
+    return staged(counted.where("shared >= least").select("a", "b"), "open-pairs")
 
 
 def near_duplicates(
@@ -191,8 +283,12 @@ def near_duplicates(
     )
     listed = staged(listed, "listed")
 
-    links = _confirmed(_pivot_pairs(listed), nodes, docs, k, numerator, denominator)
-    more = _confirmed(_open_pairs(listed, components(links), long_list, numerator, denominator), nodes, docs, k, numerator, denominator)
+    pivot_pairs = _pivot_pairs(listed)
+    links = _confirmed(pivot_pairs, nodes, docs, k, numerator, denominator)
+    found, families = components(links), _families(pivot_pairs)
+    inside = _family_pairs(_open_families(families, found, nodes, docs), numerator, denominator)
+    across = _open_pairs(listed, found, families, long_list, numerator, denominator)
+    more = _confirmed(inside.union(across), nodes, docs, k, numerator, denominator)
     labels = components(links.union(more))
 
     named = classes.join(labels, F.col("rep") == F.col("node"), "left")
