@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom import constants as C
-from vecloom.functions import chunks, encoders, metadata, vectors
+from vecloom.functions import chunks, encoders, metadata, typed, vectors
 from vecloom.functions import text as T
 from vecloom.operators.balance import spread
 from vecloom.operators.dedup import first_rows, first_seq, with_content_key
@@ -269,6 +269,29 @@ def meta_merge(spark, sf_dir):
     return rows.select("vec_id", merged("doc_type").alias("doc_type"), merged("label").alias("label"))
 
 
+def meta_typed(spark, sf_dir):
+    """Typed metadata of the events, written and read back, then filtered by numbers, booleans, nested and missing keys."""
+    props = F.from_json("props", "k bigint")
+    fields = F.struct(F.col("event_type").alias("kind"), "value", (F.col("value") > 20).alias("high"), props.alias("props"))
+    folder = new_folder(spark, "typed")
+    _table(spark, sf_dir, "events").select("event_id", typed.typed(F.to_json(fields)).alias("metadata")).write.parquet(folder)
+    held = F.col("metadata")
+    filters = {
+        "is_five": {"props": {"k": 5.0}},
+        "is_text_five": {"props": {"k": "5"}},
+        "is_high": {"metadata.high": 1},
+        "high_view": {"high": True, "kind": "view"},
+        "no_value": {"value": None},
+    }
+    return spark.read.parquet(folder).select(
+        "event_id",
+        F.try_variant_get(held, "$.props.k", "bigint").alias("k"),
+        F.try_variant_get(held, "$.value", "double").alias("value"),
+        typed.text_form(typed.member(held, "high")).alias("high"),
+        *(typed.matches(held, wanted).alias(name) for name, wanted in filters.items()),
+    )
+
+
 def jsonl_meta(spark, sf_dir):
     narrow = _chunks(spark, sf_dir).select("doc_id", "chunk_index", _doc_url().alias("url"))
     numbered = assign_ids(narrow, 1, order_by=["doc_id", "chunk_index"])
@@ -490,6 +513,7 @@ _QUERIES = {
     "bulk_add": bulk_add,
     "append_vectors": append_vectors,
     "meta_merge": meta_merge,
+    "meta_typed": meta_typed,
     "jsonl_meta": jsonl_meta,
     "store_stats": store_statistics,
     "dim_violations": wrong_dimensions,
@@ -691,6 +715,9 @@ def oracle_sql() -> dict[str, str]:
         "append_vectors": "SELECT row_number() OVER (ORDER BY label >= 5, vec_id) AS vec_id, vec_id AS source_vec_id FROM embeddings",
         "meta_merge": "SELECT vec_id, CASE WHEN label BETWEEN 5 AND 7 THEN 'own' ELSE 'vector' END AS doc_type, "
         "CASE WHEN label < 8 THEN label::VARCHAR ELSE 'none' END AS label FROM embeddings",
+        "meta_typed": "SELECT event_id, (props->>'$.k')::BIGINT AS k, value, (value > 20)::VARCHAR AS high, "
+        "coalesce((props->>'$.k')::BIGINT = 5, false) AS is_five, false AS is_text_five, coalesce(value > 20, false) AS is_high, "
+        "coalesce(value > 20 AND event_type = 'view', false) AS high_view, value IS NULL AS no_value FROM events",
         "jsonl_meta": "SELECT json_object('id', row_number() OVER (ORDER BY doc_id, chunk_index), 'url', "
         f"concat('{C.DEFAULT_URL_PREFIX}documents.parquet-', doc_id), 'created_at', '2024-01-02 03:04:05')::VARCHAR AS line FROM ({parts})",
         "store_stats": f"WITH d AS (SELECT text, {total} AS n FROM documents WHERE {_strip_sql('text')} <> '' GROUP BY text), "
