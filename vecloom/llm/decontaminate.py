@@ -27,7 +27,7 @@ from vecloom.llm.suffixes import search, suffix_array
 
 WINDOW = 13
 SHARE = 20  # contaminated when SHARE * hit words >= words
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 16 << 20
 
 
