@@ -7,12 +7,13 @@ is bounded too, and a lost run repeats at most one slice.
 """
 
 import time
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vecloom import constants as C
@@ -20,6 +21,7 @@ from vecloom.functions import chunks, encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
 from vecloom.operators.balance import spread_in_order
+from vecloom.plans.progress import Meter, Progress
 from vecloom.session import hidden_files
 from vecloom.sources import files as file_source
 from vecloom.sources.census import census
@@ -69,26 +71,33 @@ class IngestReport:
 
 
 def ingest_corpus(
-    store: VectorStore, root: str, encoder, options: IngestOptions = IngestOptions(), allow: list[str] | None = None
-) -> IngestReport:
-    """Ingest the files below ``root`` that the ledger does not name yet. The report names files that were passed over."""
-    report = ingest_files(store, file_source.list_files(store.spark, root, allow), encoder, options)
+    store: VectorStore, root: str, encoder, options: IngestOptions = IngestOptions(), allow: list[str] | None = None,
+    progress: Callable[[Progress], None] | None = None,
+) -> IngestReport:
+    """Ingest the files below ``root`` that the ledger does not name yet. The report names files that were passed over.
+    ``progress`` is told what has been done so far, twice per slice."""
+    meter = Meter(progress) if progress else None
+    report = ingest_files(store, file_source.list_files(store.spark, root, allow), encoder, options, meter)
     report.hidden = hidden_files(store.spark, root, ".parquet")
     return report
 
 
-def ingest_files(store: VectorStore, files: DataFrame, encoder, options: IngestOptions = IngestOptions()) -> IngestReport:
+def ingest_files(
+    store: VectorStore, files: DataFrame, encoder, options: IngestOptions = IngestOptions(), meter: Meter | None = None
+) -> IngestReport:
     store.check_dim(encoder.dim)
     facts = numbering.stage(census(file_source.unprocessed(files, store.processed())), "census")
     report = IngestReport()
     try:
-        _ingest_slices(store, facts, encoder, options, report)
+        _ingest_slices(store, facts, encoder, options, report, meter)
     finally:
         facts.discard()
     return report
 
 
-def _ingest_slices(store: VectorStore, facts: numbering.Staged, encoder, options: IngestOptions, report: IngestReport) -> None:
+def _ingest_slices(
+    store: VectorStore, facts: numbering.Staged, encoder, options: IngestOptions, report: IngestReport, meter: Meter | None
+) -> None:
     last = ""
     # A limited run starts with few files and widens, as it may need only the first ones.
     width = options.files_per_slice if options.limit is None else min(8, options.files_per_slice)
@@ -97,7 +106,7 @@ def _ingest_slices(store: VectorStore, facts: numbering.Staged, encoder, options
         if slice_files:
             last = slice_files[-1].file_uri
             width = min(options.files_per_slice, width * 4)
-            _ingest_slice(store, slice_files, encoder, options, report)
+            _ingest_slice(store, slice_files, encoder, options, report, meter)
         if not more:
             break
 
@@ -113,7 +122,9 @@ def _next_slice(facts: DataFrame, after: str, width: int, max_bytes: int) -> tup
     return rows[:width], len(rows) > width
 
 
-def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: IngestOptions, report: IngestReport) -> None:
+def _ingest_slice(
+    store: VectorStore, files: list[Row], encoder, options: IngestOptions, report: IngestReport, meter: Meter | None
+) -> None:
     spark = store.spark
     began = time.monotonic()
     readable = [f for f in files if f.status == "ok"]
@@ -122,16 +133,21 @@ def _ingest_slice(store: VectorStore, files: list[Row], encoder, options: Ingest
         touched, cut = limit_cut(spark, readable, options.limit - report.rows_sent, options)
     corpus = read_corpus(spark, touched)
     corpus = spread_in_order(corpus, sum(f.length for f in touched), "file_uri", "row_index")
-    chunked = numbering.stage(chunk_rows(corpus, cut, options), "chunks")
+    pieces, seen = chunk_rows(corpus, cut, options), None
+    if meter and touched:
+        pieces, seen = meter.observe(pieces, **_row_counts())
+    chunked = numbering.stage(pieces, "chunks")
+    if seen:
+        meter.add("staged", files=len(touched), **seen.get)
     try:
-        _number_and_encode(store, files, touched, cut, chunked.positioned(), encoder, options, report, began)
+        _number_and_encode(store, files, touched, cut, chunked.positioned(), encoder, options, report, began, meter)
     finally:
         chunked.discard()
 
 
 def _number_and_encode(
     store: VectorStore, files: list[Row], touched: list[Row], cut: tuple[str, int] | None, rows: DataFrame, encoder,
-    options: IngestOptions, report: IngestReport, began: float,
+    options: IngestOptions, report: IngestReport, began: float, meter: Meter | None,
 ) -> None:
     spark = store.spark
     segments = _segments(rows)
@@ -148,7 +164,12 @@ def _number_and_encode(
         small = F.broadcast(small) if table.num_rows <= numbering.MAX_LOCAL_SEGMENTS else small
         kept = rows.where(F.col("chunk_index").isNotNull())
         numbered = numbering.with_ids(kept, small, ["file_uri"])
-        store.write("items", encoded_items(numbered, encoder, options))
+        items = encoded_items(numbered, encoder, options)
+        if meter:
+            items, seen = meter.observe(items, added=F.count("vec_id"))
+        store.write("items", items)
+        if meter:
+            meter.add("encoded", **seen.get)
     store.write("processed", spark.createDataFrame(pa.Table.from_pandas(ledger, preserve_index=False)).coalesce(1))
     store.commit(added=added, dim=encoder.dim if added else None, model_name=encoder.name)
 
@@ -207,14 +228,18 @@ def chunk_rows(corpus: DataFrame, cut: tuple[str, int] | None, options: IngestOp
     )
 
 
+def _row_counts() -> dict[str, Column]:
+    return {"rows_sent": F.count_if(F.col("chunk_index") == 0), "rows_skipped": F.count_if(F.col("chunk_index").isNull())}
+
+
 def _segments(rows: DataFrame) -> pd.DataFrame:
     kept = F.col("chunk_index").isNotNull()
     summary = rows.groupBy("_part", "file_uri").agg(
         F.count("chunk_index").alias("n"),
         F.min(F.when(kept, F.col("_pos"))).alias("first_pos"),
         F.min(F.when(kept, F.col("row_index"))).alias("first_row"),
-        F.count_if(F.col("chunk_index") == 0).alias("sent"),
-        F.count_if(~kept).alias("skipped"),
+        _row_counts()["rows_sent"].alias("sent"),
+        _row_counts()["rows_skipped"].alias("skipped"),
     )
     return summary.toPandas()
 

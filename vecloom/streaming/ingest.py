@@ -10,6 +10,7 @@ the listing with the ledger, with which each run that takes what is there and en
 """
 
 import time
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vecloom import constants as C
 from vecloom.plans.documents import UpsertReport, upsert_documents
 from vecloom.plans.ingest import IngestOptions, IngestReport, ingest_files
+from vecloom.plans.progress import Meter, Progress, offered
 from vecloom.plans.stats import stored_bytes
 from vecloom.sources.files import list_files, stream_files, to_retry
 from vecloom.store import VectorStore
@@ -34,8 +36,10 @@ def _start(stream: DataFrame, handle, checkpoint: str, interval: str | None) ->
 class CorpusRun:
     """What one run of :func:`stream_corpus` has taken. ``options.limit`` counts for the run, over all of its micro-batches."""
 
-    def __init__(self, store: VectorStore, encoder, options: IngestOptions, reports: list[IngestReport] | None):
-        self.store, self.encoder, self.options, self.reports = store, encoder, options, reports
+    def __init__(
+        self, store: VectorStore, encoder, options: IngestOptions, reports: list[IngestReport] | None, meter: Meter | None = None
+    ):
+        self.store, self.encoder, self.options, self.reports, self.meter = store, encoder, options, reports, meter
         self.sent = 0
 
     @property
@@ -45,7 +49,7 @@ class CorpusRun:
     def take(self, files: DataFrame) -> IngestReport:
         """Ingest those of ``files`` that the ledger does not hold as finished, as far as the run's limit reaches."""
         limit = None if self.options.limit is None else self.options.limit - self.sent
-        report = ingest_files(self.store.refresh(), files, self.encoder, replace(self.options, limit=limit))
+        report = ingest_files(self.store.refresh(), files, self.encoder, replace(self.options, limit=limit), self.meter)
         self.sent += report.rows_sent
         return report
 
@@ -100,13 +104,15 @@ def stream_corpus(
     files_per_trigger: int = FILES_PER_TRIGGER,
     bytes_per_trigger: str | None = None,
     reports: list[IngestReport] | None = None,
+    progress: Callable[[Progress], None] | None = None,
 ) -> CorpusStream:
     """Ingest files as they arrive below ``root``, one commit per micro-batch. Without ``interval`` the query takes
     what is there and ends, and ``awaitTermination`` then finishes what the ledger still lacks, also where no new file has come.
     With one, open files of the ledger are taken up by the next micro-batch. A micro-batch takes at most ``files_per_trigger``
-    files, or ``bytes_per_trigger`` when given; ``options.limit`` is the number of rows of the whole run."""
-    run = CorpusRun(store, encoder, options, reports)
-    query = _start(stream_files(store.spark, root, files_per_trigger, bytes_per_trigger), run.micro_batch, checkpoint, interval)
+    files, or ``bytes_per_trigger`` when given; ``options.limit`` is the number of rows of the whole run. ``progress`` is told what the run has done so far."""
+    run = CorpusRun(store, encoder, options, reports, Meter(progress) if progress else None)
+    stream = offered(stream_files(store.spark, root, files_per_trigger, bytes_per_trigger))
+    query = _start(stream, run.micro_batch, checkpoint, interval)
     return CorpusStream(query, run, root, ends=interval is None)
 
 
