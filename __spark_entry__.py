@@ -16,14 +16,14 @@ from vecloom.operators.numbering import assign_ids, next_id
 from vecloom.operators.topk import top_k
 from vecloom.plans import documents as docs_plan
 from vecloom.plans.ingest import IngestOptions, export_metadata_lines, ingest_corpus, limit_cut, whole_text_options
-from vecloom.plans.search import search
+from vecloom.plans.search import rendered, search
 from vecloom.plans.stats import skip_stats, store_counts
 from vecloom.plans.vectors import add_vectors, dim_violations, vector_faults
 from vecloom.session import new_folder, ship_package
 from vecloom.sources.census import census, table_name
 from vecloom.sources.corpus import in_band, read_corpus
 from vecloom.sources.files import list_files, read_exported_lines, unprocessed
-from vecloom.store import VectorStore, open_store
+from vecloom.store import VectorStore, index_regions, open_store
 from vecloom.streaming.ingest import stream_corpus, stream_documents
 
 try:
@@ -247,7 +247,7 @@ def _added(store: VectorStore) -> list[Column]:
 def bulk_add(spark, sf_dir):
     store = _new_store(spark, "store")
     add_vectors(store, _labelled_vectors(spark, sf_dir), doc_type="vector", order_by=["source_vec_id"])
-    return store.items().select(*_added(store), F.col("metadata")["doc_type"].alias("doc_type"))
+    return store.items().select(*_added(store), F.col("metadata")["doc_type"].alias("doc_type"), _digest(F.col("embedding")))
 
 
 def append_vectors(spark, sf_dir):
@@ -255,7 +255,7 @@ def append_vectors(spark, sf_dir):
     source = _labelled_vectors(spark, sf_dir)
     add_vectors(store, source.where("label < 5"), order_by=["source_vec_id"])
     add_vectors(store, source.where("label >= 5"), order_by=["source_vec_id"])
-    return store.items().select(*_added(store))
+    return store.items().select(*_added(store), _digest(F.col("embedding")))
 
 
 def meta_merge(spark, sf_dir):
@@ -380,6 +380,49 @@ def search_prefiltered(spark, sf_dir):
     return _search_label(spark, sf_dir, "pre")
 
 
+def search_pruned(spark, sf_dir):
+    """All queries against a store of which one batch is described by regions and a later one is not."""
+    store = _new_store(spark, "store")
+    source = _labelled_vectors(spark, sf_dir)
+    middle = source.agg(F.avg("source_vec_id")).first()[0] or 0
+    add_vectors(store, source.where(F.col("source_vec_id") <= middle), order_by=["source_vec_id"])
+    index_regions(store)
+    add_vectors(store, source.where(F.col("source_vec_id") > middle), order_by=["source_vec_id"])
+    hits = search(store, _all_queries(spark, sf_dir))
+    return hits.select("query_id", "rank", F.col("metadata")["source_vec_id"].cast("bigint").alias("vec_id"), "score")
+
+
+def _benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark text as a query, and a blank one beside each, which has no hits."""
+    asked = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return asked.unionByName(asked.select((-1 - F.col("query_id")).alias("query_id"), F.lit(" \n ").alias("text")))
+
+
+def search_documents(spark, sf_dir):
+    """Nearest chunks of a store of all documents, and whether the document linked to a chunk has it where it says.
+
+    Chunks of one score may stand in either order, as ids follow the order of arrival.
+    """
+    store = _new_store(spark, "store", keep_full_text=True)
+    docs_plan.upsert_documents(store, _all_documents(spark, sf_dir), ENCODER, with_status=False)
+    asked = _benchmark_queries(spark, sf_dir)
+    hits = search(store, asked, encoder=ENCODER, return_text=True, link_documents=True)
+    field, text = F.col("metadata").getItem, F.col("document.full_text")
+    start, end = field("char_start").cast("int"), field("char_end").cast("int")
+    placed = F.sha1(F.substring(text, start + 1, end - start)) == field("sha1")
+    whole = (F.sha1(text) == F.col("document.full_text_sha1")) & (F.col("document.total_chunks") == field("total_chunks").cast("int"))
+    return hits.select(F.col("query_id").alias("item_id"), "rank", "score", (placed & whole).alias("linked"))
+
+
+def rendered_hits(spark, sf_dir):
+    """Result lists of text queries over stored texts: score, url and snippet."""
+    store = _new_store(spark, "store")
+    first = _encoded(_first_documents(spark, sf_dir, _band(spark, sf_dir)), "text")
+    add_vectors(store, first.select("doc_id", "embedding", "text", _doc_url().alias("url")), order_by=["doc_id"], keep_text=True)
+    hits = search(store, _benchmark_queries(spark, sf_dir), encoder=ENCODER, return_text=True)
+    return rendered(hits).withColumnRenamed("query_id", "item_id")
+
+
 # ---- compounds ----
 def upsert_status(spark, sf_dir):
     """All documents, after the labelled ones were added before."""
@@ -406,7 +449,7 @@ def markdown_status(spark, sf_dir):
 def _ingested(store: VectorStore) -> DataFrame:
     return store.items().select(
         "vec_id", table_name("source_file").alias("table_name"), F.col("source_row").alias("doc_id"), "chunk_index",
-        F.col("metadata")["url"].alias("url"),
+        F.col("metadata")["url"].alias("url"), _digest(F.col("embedding")),
     )
 
 
@@ -438,7 +481,9 @@ def human_sizes(spark, sf_dir):
 def ingest_whole(spark, sf_dir):
     store = _new_store(spark, "store")
     ingest_corpus(store, sf_dir, ENCODER, whole_text_options(limit=WHOLE_LIMIT), allow=["documents.parquet"])
-    return store.items().select("vec_id", F.col("source_row").alias("doc_id"), F.col("metadata")["doc_type"].alias("doc_type"))
+    return store.items().select(
+        "vec_id", F.col("source_row").alias("doc_id"), F.col("metadata")["doc_type"].alias("doc_type"), _digest(F.col("embedding"))
+    )
 
 
 def stream_ingest(spark, sf_dir):
@@ -524,6 +569,9 @@ _QUERIES = {
     "search_text": search_text,
     "search_filtered": search_filtered,
     "search_prefiltered": search_prefiltered,
+    "search_pruned": search_pruned,
+    "search_documents": search_documents,
+    "rendered_hits": rendered_hits,
     "snippets": snippets,
     "upsert_status": upsert_status,
     "ingest_corpus": ingest_folder,
@@ -572,6 +620,15 @@ def _chunks_sql(band: str) -> str:
     )
 
 
+def _document_chunks_sql() -> str:
+    """Chunks of all different documents."""
+    return (
+        f"SELECT row_number() OVER () AS id, substr(text, i * {_DOC_STEP} + 1, {C.DOCUMENT_CHUNK_SIZE}) AS body FROM "
+        f"(SELECT text, unnest(range(0, (length(text) + {_DOC_STEP - 1}) // {_DOC_STEP})) AS i FROM "
+        f"(SELECT DISTINCT text FROM documents WHERE {_strip_sql('text')} <> ''))"
+    )
+
+
 def _encoded_sql(source: str, keys: str, text: str) -> str:
     """CTEs x (keys, text), b (keys, bucket, float value) of the hashing encoder."""
     return (
@@ -606,6 +663,8 @@ _UNIT_SQL = (
     "list_transform(raw, lambda x: x::DOUBLE / nrm) AS q FROM e)"
 )
 
+_UNIT_DIGEST_SQL = "round(list_sum(list_transform(v, lambda x, i: i * x)), 4)"
+
 
 def _search_sql(corpus: str = "u", post: str = "", query: str = "", columns: str = "query_id, rank, vec_id, score") -> str:
     return (
@@ -616,11 +675,8 @@ def _search_sql(corpus: str = "u", post: str = "", query: str = "", columns: str
     )
 
 
-def _text_search_sql(tail: str) -> str:
-    first = (
-        f"SELECT 'd' AS side, min(doc_id) AS id, s AS body FROM ({_band_sql()}) GROUP BY s "
-        "UNION ALL SELECT 'q', item_id, text FROM benchmark"
-    )
+def _text_search_sql(tail: str, corpus: str = f"SELECT min(doc_id) AS id, s AS body FROM ({_band_sql()}) GROUP BY s") -> str:
+    first = f"SELECT 'd' AS side, id, body FROM ({corpus}) UNION ALL SELECT 'q', item_id, text FROM benchmark"
     return (
         f"WITH {_encoded_sql(first, 'side, id', 'body')}, q AS (SELECT id, bucket, v / sqrt(sum(v * v) OVER "
         "(PARTITION BY id)) AS v FROM b WHERE side = 'q'), s AS (SELECT q.id AS item_id, d.id AS doc_id, "
@@ -641,11 +697,17 @@ def _ingest_sql(tables: tuple[str, ...] = tuple(_INGESTED)) -> str:
     )
     chunks_sql = _chunks_sql("SELECT struct_pack(t := table_name, d := doc_id) AS doc_id, s FROM (SELECT table_name, doc_id, "
                              f"{_strip_sql('text')} AS s FROM ({sources})) WHERE length(s) BETWEEN {C.MIN_CHARS} AND {C.MAX_CHARS}")
-    return (
+    numbered = (
         "SELECT row_number() OVER (ORDER BY doc_id.t, doc_id.d, chunk_index) AS vec_id, doc_id.t AS table_name, "
-        f"doc_id.d AS doc_id, chunk_index, concat('{C.DEFAULT_URL_PREFIX}', doc_id.t, '.parquet-', doc_id.d) AS url "
-        f"FROM ({chunks_sql})"
+        f"doc_id.d AS doc_id, chunk_index, concat('{C.DEFAULT_URL_PREFIX}', doc_id.t, '.parquet-', doc_id.d) AS url, "
+        f"chunk FROM ({chunks_sql})"
     )
+    return _digests_sql(numbered, "vec_id, table_name, doc_id, chunk_index, url", "chunk")
+
+
+def _digests_sql(source: str, keys: str, text: str) -> str:
+    """``keys`` and the digest of the encoded ``text``."""
+    return f"SELECT {keys}, digest FROM ({_facts_sql(source, keys, text)})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -711,8 +773,10 @@ def oracle_sql() -> dict[str, str]:
         "encode_texts": _facts_sql(band, "doc_id", "s"),
         "assign_ids": f"SELECT row_number() OVER (ORDER BY doc_id, chunk_index) AS vec_id, doc_id, chunk_index FROM ({parts})",
         "next_id": "SELECT coalesce(max(vec_id), 0) + 1 AS next_id FROM embeddings",
-        "bulk_add": "SELECT row_number() OVER (ORDER BY vec_id) AS vec_id, vec_id AS source_vec_id, 'vector' AS doc_type FROM embeddings",
-        "append_vectors": "SELECT row_number() OVER (ORDER BY label >= 5, vec_id) AS vec_id, vec_id AS source_vec_id FROM embeddings",
+        "bulk_add": f"WITH {_UNIT_SQL} SELECT row_number() OVER (ORDER BY vec_id) AS vec_id, vec_id AS source_vec_id, "
+        f"'vector' AS doc_type, {_UNIT_DIGEST_SQL} AS digest FROM u",
+        "append_vectors": f"WITH {_UNIT_SQL} SELECT row_number() OVER (ORDER BY label >= 5, vec_id) AS vec_id, "
+        f"vec_id AS source_vec_id, {_UNIT_DIGEST_SQL} AS digest FROM u",
         "meta_merge": "SELECT vec_id, CASE WHEN label BETWEEN 5 AND 7 THEN 'own' ELSE 'vector' END AS doc_type, "
         "CASE WHEN label < 8 THEN label::VARCHAR ELSE 'none' END AS label FROM embeddings",
         "meta_typed": "SELECT event_id, (props->>'$.k')::BIGINT AS k, value, (value > 20)::VARCHAR AS high, "
@@ -733,6 +797,15 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT item_id, rank, r.doc_id, CASE WHEN length(t.s) > {C.SNIPPET_CHARS} THEN concat(left(t.s, {C.SNIPPET_CHARS}), '...') "
             f"ELSE t.s END AS snippet FROM r JOIN ({band}) t ON r.doc_id = t.doc_id WHERE rank <= {C.DEFAULT_TOP_K}"
         ),
+        "search_pruned": _search_sql(),
+        "search_documents": _text_search_sql(
+            f"SELECT item_id, rank, score, true AS linked FROM r WHERE rank <= {C.DEFAULT_TOP_K}", _document_chunks_sql()
+        ),
+        "rendered_hits": _text_search_sql(
+            f"SELECT item_id, rank, round(score, {C.SCORE_DIGITS_SHOWN}) AS score, concat('{C.DEFAULT_URL_PREFIX}documents.parquet-', r.doc_id) AS url, "
+            f"CASE WHEN length(t.s) > {C.SNIPPET_CHARS} THEN concat(left(t.s, {C.SNIPPET_CHARS}), '...') "
+            f"ELSE t.s END AS snippet FROM r JOIN ({band}) t ON r.doc_id = t.doc_id WHERE rank <= {C.DEFAULT_TOP_K}"
+        ),
         "upsert_status": f"WITH d AS (SELECT doc_id, text, {_strip_sql('text')} = '' AS blank, text IN (SELECT text FROM documents "
         f"WHERE doc_id IN ({known})) AS known, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place FROM documents) "
         "SELECT doc_id, CASE WHEN blank THEN 'rejected' WHEN known OR place > 1 THEN 'exists' ELSE 'added' END AS status FROM d",
@@ -753,8 +826,10 @@ def oracle_sql() -> dict[str, str]:
         "AS reason FROM embeddings WHERE label BETWEEN 1 AND 6",
         "accepted_vectors": f"WITH {_UNIT_SQL} SELECT row_number() OVER (ORDER BY vec_id) AS vec_id, vec_id AS source_vec_id, "
         "round(list_sum(list_transform(v, lambda x, i: i * x)), 4) AS digest FROM u WHERE label NOT BETWEEN 1 AND 6",
-        "ingest_whole": f"SELECT row_number() OVER (ORDER BY doc_id) AS vec_id, doc_id, 'fineweb2' AS doc_type FROM ({band}) "
-        f"ORDER BY doc_id LIMIT {WHOLE_LIMIT}",
+        "ingest_whole": _digests_sql(
+            f"SELECT row_number() OVER (ORDER BY doc_id) AS vec_id, doc_id, 'fineweb2' AS doc_type, s FROM ({band}) "
+            f"ORDER BY doc_id LIMIT {WHOLE_LIMIT}", "vec_id, doc_id, doc_type", "s"
+        ),
         "stream_ingest": _ingest_sql(),
         "stream_resume": _ingest_sql(),
         "jsonl_export": "SELECT row_number() OVER (ORDER BY vec_id % 2, vec_id) AS id, concat('u', vec_id) AS url FROM embeddings",

@@ -6,7 +6,7 @@ from vecloom.plans.ingest import IngestOptions, ingest_corpus, whole_text_option
 from vecloom.plans.search import search, search_one
 from vecloom.plans.stats import store_stats
 from vecloom.plans.vectors import add_vectors
-from vecloom.store import VectorStore, compact, open_store, vacuum
+from vecloom.store import VectorStore, compact, index_regions, open_store, vacuum
 from vecloom.streaming.ingest import stream_corpus, stream_documents
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "VectorStore",
     "add_vectors",
     "compact",
+    "index_regions",
     "ingest_corpus",
     "ingest_markdown",
     "ingest_markdown_page",

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 from vecloom.constants import SCORE_DIGITS
 from vecloom.functions.vectors import to_matrix, unit_rows
 from vecloom.operators.numbering import assign_ids
+from vecloom.operators.regions import Pruner
 from vecloom.session import new_folder
 
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
@@ -42,8 +43,9 @@ class LocalTopK:
     may still belong to the top k are scored again in double precision, and only those scores are compared.
     """
 
-    def __init__(self, queries: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, k: int, floors: np.ndarray | None = None):
         self.queries, self.k = queries, k
+        self.floors = np.full(len(queries), -np.inf) if floors is None else floors
         self.narrow = queries.astype(np.float32)
         self.scores = np.full((len(queries), k), -np.inf)
         self.ids = np.full((len(queries), k), _NO_ID)
@@ -61,7 +63,7 @@ class LocalTopK:
 
     def _add_tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         cells = self.narrow @ vectors.T
-        floor = self.scores[:, -1]
+        floor = np.maximum(self.scores[:, -1], self.floors)
         if len(ids) > self.k and np.isneginf(floor).any():
             cut = len(ids) - self.k
             floor = np.maximum(floor, np.partition(cells, cut, axis=1)[:, cut])
@@ -71,6 +73,7 @@ class LocalTopK:
         fresh = np.round(self._exact(owner, column, vectors, cells.size), SCORE_DIGITS)
         last, last_id = self.scores[owner, -1], self.ids[owner, -1]
         better = (fresh > last) | ((fresh == last) & (ids[column] < last_id))
+        better &= fresh >= self.floors[owner]
         self._merge(owner[better], fresh[better], ids[column[better]])
 
     def _merge(self, owner: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
@@ -102,25 +105,43 @@ class LocalTopK:
         return owner, self.ids[owner, place], self.scores[owner, place]
 
 
-def _score(vectors: DataFrame, block: pa.Table, dim: int, k: int, id_field: StructField) -> DataFrame:
-    spark = vectors.sparkSession
-    queries = unit_rows(to_matrix(block["_query"].combine_chunks(), dim))
-    shared = spark.sparkContext.broadcast((block["query_id"].combine_chunks(), queries))
+def _scan(
+    vectors: DataFrame, queries: np.ndarray, query_ids: pa.Array, id_field: StructField, k: int, floors: np.ndarray | None = None
+) -> DataFrame:
+    """The k best of each task per query, but none below the query's floor."""
+    shared = vectors.sparkSession.sparkContext.broadcast((query_ids, queries, floors))
+    dim = queries.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = shared.value
-        best = LocalTopK(matrix, k)
+        names, matrix, least = shared.value
+        best = LocalTopK(matrix, k, least)
         for batch in batches:
             best.add(batch.column(0).to_numpy(), to_matrix(batch.column(1), dim))
         owner, ids, scores = best.rows()
         yield pa.RecordBatch.from_arrays(
-            [query_ids.take(pa.array(owner)), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"]
+            [names.take(pa.array(owner)), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"]
         )
 
     schema = StructType([id_field, StructField("vec_id", LongType()), StructField("score", DoubleType())])
     return vectors.mapInArrow(run, schema)
 
 
+def _score(
+    vectors: DataFrame, block: pa.Table, dim: int, k: int, id_field: StructField, pruner: Pruner | None = None
+) -> DataFrame:
+    queries = unit_rows(to_matrix(block["_query"].combine_chunks(), dim))
+    floors = None
+    if pruner is not None:
+        index, field = pa.array(np.arange(len(queries))), StructField("query_id", LongType())
+        vectors, floors = pruner.narrow(queries, k, lambda rows: rank_hits(_scan(_typed(rows), queries, index, field, k), k))
+        vectors = _typed(vectors)
+    return _scan(vectors, queries, block["query_id"].combine_chunks(), id_field, k, floors)
+
+
+def _typed(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<float>"))
+
+
 def rank_hits(hits: DataFrame, k: int) -> DataFrame:
     """Rank scored rows inside each query. The salted first pass keeps a query's rows, which grow with the number
     of scan tasks, from meeting in one task before they are cut to k."""
@@ -133,15 +154,21 @@ def rank_hits(hits: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int, dim: int | None = None, block_bytes: int = QUERY_BLOCK_BYTES
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    dim: int | None = None,
+    block_bytes: int = QUERY_BLOCK_BYTES,
+    pruner: Pruner | None = None,
 ) -> Hits:
     """Top k of ``vectors(vec_id, embedding)`` for each of ``queries(query_id, vector)``.
 
     Stored vectors are taken as unit vectors, query vectors are normalised here. Scores are rounded to
-    ``SCORE_DIGITS`` decimals; equal scores rank by smaller id.
+    ``SCORE_DIGITS`` decimals; equal scores rank by smaller id. A ``pruner`` of the same rows leaves out those that
+    cannot be hits; the result is the same.
     """
     spark = vectors.sparkSession
-    vectors = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<float>"))
+    vectors = _typed(vectors)
     queries = queries.select("query_id", F.col("vector").cast("array<float>").alias("_query"))
     id_field = StructField("query_id", queries.schema["query_id"].dataType)
     empty = Hits(spark.createDataFrame([], StructType([id_field, *_RANKED.fields])), 0)
@@ -156,13 +183,20 @@ def top_k(
     if block.num_rows == 0:
         return empty
     if block.num_rows <= block_rows:
-        scored = _score(vectors, block, dim, k, id_field)
+        scored = _score(vectors, block, dim, k, id_field, pruner)
         return Hits(rank_hits(scored, k), block.num_rows * k * 64)
-    return Hits(_by_blocks(spark, vectors, queries, k, dim, block_rows, id_field), None)
+    return Hits(_by_blocks(spark, vectors, queries, k, dim, block_rows, id_field, pruner), None)
 
 
 def _by_blocks(
-    spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int, dim: int, block_rows: int, id_field: StructField
+    spark: SparkSession,
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    dim: int,
+    block_rows: int,
+    id_field: StructField,
+    pruner: Pruner | None,
 ) -> DataFrame:
     """One corpus scan per block of queries. A block carries enough queries that arithmetic, not the scan, is
     the cost of a pass."""
@@ -171,7 +205,7 @@ def _by_blocks(
     folder = new_folder(spark, "hits")
     for low in range(0, n_queries, block_rows):
         block = numbered.where(F.col("_q").between(low, low + block_rows - 1)).drop("_q").toArrow()
-        scored = _score(vectors, block, dim, k, id_field)
+        scored = _score(vectors, block, dim, k, id_field, pruner)
         rank_hits(scored, k).write.parquet(f"{folder}/block={low // block_rows}")
     ranked = StructType([id_field, *_RANKED.fields])
     return spark.read.schema(ranked).parquet(f"{folder}/*")

@@ -12,6 +12,7 @@ from vecloom import schemas
 from vecloom.functions import encoders, metadata
 from vecloom.functions import text as T
 from vecloom.operators import numbering
+from vecloom.operators.regions import Pruner
 from vecloom.operators.topk import top_k
 from vecloom.store import VectorStore
 
@@ -65,12 +66,14 @@ def search(
     filter_mode: Literal["post", "pre"] = "post",
     return_text: bool = False,
     link_documents: bool = False,
+    prune: bool = True,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score, external_id, metadata[, text][, document]``.
 
     ``post`` filters the k best, so fewer than k may be left; ``pre`` ranks only rows that pass. ``rank`` is the
     place among the k best before a post filter. ``link_documents`` adds the registry row of document chunks, whose
-    ``full_text`` comes with ``return_text`` only.
+    ``full_text`` comes with ``return_text`` only. ``prune`` passes over regions of the store that cannot hold a hit,
+    where :func:`~vecloom.store.index_regions` has described them; hits are the same.
     """
     prepared = query_vectors(queries, encoder)
     items = store.items()
@@ -82,7 +85,11 @@ def search(
         prepared = prepared.limit(0)
     else:
         dim = store.head.dim
-    hits = top_k(corpus.select("vec_id", "embedding"), prepared, k, dim)
+    pruner = None
+    if prune and store.head.dim is not None and (known := store.regions()):
+        rows = store.items_by_batch()
+        pruner = Pruner(rows.where(scanned) if equal_to and filter_mode == "pre" else rows, *known)
+    hits = top_k(corpus.select("vec_id", "embedding"), prepared, k, dim, pruner=pruner)
     small = hits.bounded_bytes is not None and hits.bounded_bytes <= HIT_BROADCAST_BYTES
     # The hits are written once: reading the result again does not score the corpus again.
     found = numbering.stage(hits.rows, "hits").read()

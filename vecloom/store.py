@@ -4,6 +4,7 @@
     <root>/documents/batch=N/run=R   document registry
     <root>/processed/batch=N/run=R   ledger of finished files
     <root>/known/batch=N/run=R       bitmaps of the hashes of the documents
+    <root>/regions/build=B           regions of the vectors of whole batches, made by index_regions
     <root>/info/version=N            one row; version N makes run R of batch N of every table visible
 
 A run writes its rows under batch N+1 and a run name of its own, then its info row in a folder beside, and commits by
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vecloom import schemas
-from vecloom.operators import membership
+from vecloom.operators import membership, regions
 from vecloom.session import has_files, make_folder, remove_folder, rename_folder, ship_package
 
 _TABLES = {"items": schemas.ITEMS, "documents": schemas.DOCUMENTS, "processed": schemas.PROCESSED, "known": schemas.KNOWN}
@@ -115,6 +116,15 @@ class VectorStore:
             return None
         return membership.combined(self._visible("known"))
 
+    def regions(self) -> tuple[DataFrame, list[int]] | None:
+        """Regions of visible batches and the numbers of these batches, one per commit; None if there are none."""
+        if not has_files(self.spark, f"{self.root}/regions/build=*/*.parquet"):
+            return None
+        known = self._read("regions", regions.REGIONS, StructField("build", StringType()))
+        known = known.where(F.col("batch").isin(self.batch_starts()[1]))
+        covered = sorted(row.batch for row in known.select("batch").distinct().collect())
+        return (known.drop("build"), covered) if covered else None
+
     def info(self) -> DataFrame:
         return self._read("info", schemas.INFO, "version").where(F.col("version") == self.head.version).drop("version", "run")
 
@@ -207,6 +217,25 @@ class VectorStore:
         self.head, self._run = head, uuid.uuid4().hex
 
 
+def index_regions(store: VectorStore, region_rows: int = regions.REGION_ROWS) -> list[int]:
+    """Describe the regions of the batches that have none, so that searches can pass over regions without hits.
+
+    Returns the batches described. Their regions become visible together by one rename; two runs at once describe a
+    batch twice, which does no harm. Batches without regions, as later ones, are searched in full.
+    """
+    known = store.regions()
+    missing = sorted(set(store.batch_starts()[1]) - set(known[1] if known else ()))
+    if not missing:
+        return []
+    rows = store.items_by_batch().where(F.col("batch").isin(missing)).select("batch", "vec_id", "embedding")
+    build = uuid.uuid4().hex
+    pending = f"{store.root}/pending/regions-{build}"
+    regions.describe(rows, store.head.dim, region_rows).write.parquet(pending)
+    make_folder(store.spark, f"{store.root}/regions")
+    rename_folder(store.spark, pending, f"{store.root}/regions/build={build}")
+    return missing
+
+
 def compact(store: VectorStore, items_per_file: int = ITEMS_PER_FILE) -> None:
     """Write all visible rows anew as one batch of larger files and commit it; ids stay, searches need no earlier batch.
 
