@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,46 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(np.exp(found), [[total(w, k) for k in range(2)] for w in words])
 
 
+def test_forward_sums_over_runs_of_any_length(monkeypatch):
+    """Beyond the block size, and where the sum is below the least number, against the plain recursion on logarithms."""
+    pieces = [bytes([b]) for b in range(256)] + [b"ab", b"bc", b" a", b"abcabc", "漢字".encode(), b"cabcab" * 4]
+    probability = np.random.default_rng(1).random((len(pieces), 2)) * [1.0, 1e-9]
+    place = {p: i for i, p in enumerate(pieces)}
+
+    def total(word, k):
+        sums = [0.0] + [-np.inf] * len(word)
+        for end in range(1, len(word) + 1):
+            for n in range(1, min(end, 24) + 1):
+                if (i := place.get(word[end - n : end])) is not None:
+                    sums[end] = np.logaddexp(sums[end], sums[end - n] + np.log(probability[i, k]))
+        return sums[-1]
+
+    monkeypatch.setattr(langid, "BLOCK_BYTES", 50)
+    words = [b" " + b"abc" * 100, b" x", " ".encode() + "漢字".encode() * 40, b" " + b"abc" * 15, b" " + b"cab" * 333, b" " + b"z" * 50]
+    data, lengths = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    found = langid.word_scores(langid.Pieces(pieces), probability, data, np.cumsum(lengths) - lengths, lengths)
+    assert np.allclose(found, [[total(w, k) for k in range(2)] for w in words])
+
+
+def test_runs_are_whole_for_scores_and_cut_at_characters_for_the_fit():
+    text = ("漢" * 40 + " ab " + "x" * 100).encode()
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    out, begin, sizes, words = langid._texts_as_words(data, offsets, True)
+    assert [out[a : a + n].tobytes() for a, n in zip(begin, sizes, strict=True)] == [b" " + x for x in text.split()] and words[-1] == 3
+    out, begin, sizes, words = langid._texts_as_words(data, offsets, False)
+    parts = [out[a : a + n].tobytes().decode() for a, n in zip(begin, sizes, strict=True)]  # no part begins inside a character
+    assert "".join(parts) == " " + " ".join(text.decode().split()) and max(sizes) <= langid.WORD_BYTES + 4 and words[-1] == len(parts)
+
+
+def test_many_spans_are_swept_in_linear_time():
+    base = [(10 * i, 10 * i + 4, 0, None) for i in range(100_000)]
+    extra = [(10 * i + 2 + 3 * (i % 2), 10 * i + 8, 0)[:2] for i in range(100_000)]
+    began = time.monotonic()
+    kept, every = secret_scan._scan_text(b"x" * 1_000_000, base, extra)
+    assert time.monotonic() - began < 5 and len(kept) == 100_000
+    assert [s[0] for s in every if s[2] == 3] == [10 * i + 5 for i in range(1, 100_000, 2)]
+
+
 def test_language_of_held_out_rows(spark):
     docs = table(spark, "documents", "0.01")
     found = langid.identify(docs, langid.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

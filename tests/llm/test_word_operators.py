@@ -116,6 +116,24 @@ def test_driver_keeps_no_block(spark, no_documents, monkeypatch):
     assert len(sent) > 6 and not any("_value" in b.__dict__ for b in sent)
 
 
+def test_items_and_texts_of_equal_words_take_linear_time(spark):
+    """A suffix is followed for a window, not to its end."""
+    import time
+
+    import pyarrow as pa
+
+    text = "same " * 16_000
+    began = time.monotonic()
+    block = decontaminate.Block([{"item_id": 1, "text": text}], 13)
+
+    class Sent:
+        value = block
+
+    got = decontaminate._judge(pa.array([text, "same " * 12, None]), [Sent()], 13, decontaminate.SHARD_BYTES)
+    assert time.monotonic() - began < 5
+    assert got["n_hit"].tolist() == [16_000, 0, 0] and got["items"] == [["1"], [], []]
+
+
 def test_longest_matches(spark, documents, raw_documents):
     part = raw_documents[40][1].split()[5:30]
     benchmark = spark.createDataFrame([(1, "nowhere " + " ".join(part)), (2, "qqq www")], "item_id bigint, text string")

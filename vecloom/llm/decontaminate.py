@@ -3,6 +3,8 @@
 Documents are cut into shards of bounded size. Each shard's words are put into a suffix array and every suffix of every
 benchmark item is binary-searched in it, which yields the longest verbatim match of the suffix and all places of the
 window of 13 words that starts there. No row is shuffled: a document lies in one shard, so its hits are complete there.
+Hits need no more than a window of each suffix, so texts and items of any length are judged in linear time;
+:func:`longest_matches` follows every suffix to the end of its match.
 
 The benchmark is a stated query set. It is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text, of which the
 driver and each task hold one at a time, so it may grow beyond one task's memory.
@@ -88,8 +90,9 @@ class Shard:
         self.counts = counts
         self.order = suffix_array(self.codes, depth)
 
-    def find(self, block: Block):
-        return search(self.order, self.codes, block.codes, block.starts, block.left, block.stop)
+    def find(self, block: Block, whole: bool):
+        """Every suffix of the block's items, to its end if ``whole``, else to the end of the window it begins with."""
+        return search(self.order, self.codes, block.codes, block.starts, block.left if whole else np.minimum(block.left, block.stop), block.stop)
 
 
 def _shards(column: pa.Array, depth: int, shard_bytes: int) -> Iterator[Shard]:
@@ -106,7 +109,7 @@ def _judge(column: pa.Array, blocks: list, depth: int, shard_bytes: int) -> dict
         for block in _held(blocks):
             if not len(block.codes):
                 continue
-            _, _, _, (lo, hi) = shard.find(block)
+            _, _, _, (lo, hi) = shard.find(block, False)
             live = np.flatnonzero(hi > lo)
             windows, owner = np.unique(np.stack([lo[live], hi[live], block.stop[live]]), axis=1, return_inverse=True)
             owner = owner.reshape(-1)
@@ -141,6 +144,7 @@ def contamination(
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (ids of the items found, as strings), n_items, items_sha256, contaminated."""
     blocks, depth = _blocks(benchmark, window, block_bytes)
+    depth = min(depth, window)
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType(
         [T.StructField("doc_id", kind)]
@@ -158,7 +162,7 @@ def contamination(
             columns = [batch.column(0), pa.array(got["n_words"]), pa.array(got["n_hit"]), pa.array([len(x) for x in got["items"]], pa.int64()), lists, pa.array(digests, pa.string()), pa.array(bad)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(W.tidy(run), schema)
 
 
 def remove_contaminated(
@@ -166,6 +170,7 @@ def remove_contaminated(
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     blocks, depth = _blocks(benchmark, window, block_bytes)
+    depth = min(depth, window)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +178,7 @@ def remove_contaminated(
             got = _judge(batch.column(place), blocks, depth, shard_bytes)
             yield batch.filter(pa.array(~_contaminated(got["n_words"], got["n_hit"], share)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(W.tidy(run), docs.schema)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -192,7 +197,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SH
             for shard in _shards(batch.column(1), depth, shard_bytes):
                 rows = []
                 for block in _held(blocks):
-                    best, lo, hi, _ = shard.find(block) if len(block.codes) else (np.zeros(0, np.int64),) * 4
+                    best, lo, hi, _ = shard.find(block, True) if len(block.codes) else (np.zeros(0, np.int64),) * 4
                     order = np.lexsort((block.starts, -best, block.item))
                     top = order[np.unique(block.item[order], return_index=True)[1]]
                     for s in top[best[top] > 0].tolist():
@@ -205,7 +210,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SH
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["item_id", "n_matched", "item_word", "doc_id", "doc_word"])
 
-    found = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    found = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(W.tidy(run), schema)
     order = F.struct((-F.col("n_matched")).alias("a"), "doc_id", "doc_word", "item_word")
     best = found.groupBy("item_id").agg(F.min(order).alias("m"))
     return best.select("item_id", (-F.col("m.a")).alias("n_matched"), "m.item_word", "m.doc_id", "m.doc_word")

@@ -13,8 +13,9 @@ counts are rounded to a power of two that makes their sums exact, so that the mo
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0, and so is every text where no row is
 labelled; rows with null lang or doc_id, or without a word, are not learned from, and a language that has no other rows
-is not among the answers; runs of more than ``WORD_BYTES`` bytes without white space
-are scored in parts of that length; equal scores go to the lesser language code.
+is not among the answers; runs without white space are scored whole, however long they are: beyond ``WORD_BYTES`` bytes the
+recursion goes on block by block on logarithms, and the longest piece bounds what it carries along; only fitting takes longer
+runs in parts, which begin with a character; equal scores go to the lesser language code.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ ROUNDS = 3
 SMOOTHING = 0.02
 REJECT_BELOW = 0.5
 CHUNK = 4_000
+LONG_CHUNK = 256
+BLOCK_BYTES = 1_024
 EMIT_WORDS = 50_000
 CACHE_WORDS = 200_000
 _MULTIPLY = np.uint64(0xD1342543DE82EF95)
@@ -59,7 +62,7 @@ def load_pieces(path: str) -> list[bytes]:
         piece = model.id_to_piece(i)
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or "▁" in piece[1:]):
             pieces.add(piece.replace("▁", " ").encode())
-    return sorted(x for x in pieces if len(x) <= WORD_BYTES)
+    return sorted(pieces)
 
 
 class Pieces:
@@ -125,10 +128,16 @@ def _forward(word, start, end, weight, size, m):
     return alpha
 
 
-def _chunks(lengths: np.ndarray) -> Iterator[np.ndarray]:
+def _chunks(lengths: np.ndarray, most: int = CHUNK) -> Iterator[np.ndarray]:
+    """Places by length, at most ``most`` at a time and not many of long ones."""
     order = np.argsort(lengths, kind="stable")
-    for a in range(0, len(order), CHUNK):
-        yield order[a : a + CHUNK]
+    a = 0
+    while a < len(order):
+        b = min(a + most, len(order))
+        while b - a > 1 and lengths[order[b - 1]] * (b - a) > W.SLICE_BYTES:
+            b = a + (b - a) // 2
+        yield order[a:b]
+        a = b
 
 
 def _cells(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -140,14 +149,53 @@ def _cells(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return cells
 
 
+def _log_forward(pieces: Pieces, log_probability: np.ndarray, cells: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over all segmentations [word, language] of words of any length, ``BLOCK_BYTES`` at a time."""
+    (size, m), k, reach = cells.shape, log_probability.shape[1], pieces.longest
+    out = np.zeros((m, k))
+    carried = np.full((reach + 1, m, k), -np.inf)  # at the last positions, the current one in the end
+    carried[-1] = 0.0
+    for low in range(0, size, BLOCK_BYTES):
+        high = min(low + BLOCK_BYTES, size)
+        first = max(0, low - reach)
+        word, start, end, piece = pieces.matches(cells[first:high], lengths)
+        # rows stand for the positions from low - reach on
+        start, end = start + first - (low - reach), end + first - (low - reach)
+        new = end > reach
+        word, start, end, weight = word[new], start[new], end[new], log_probability[piece[new]]
+        alpha = np.concatenate([carried, np.full((high - low, m, k), -np.inf)])
+        edges = np.searchsorted(end, np.arange(reach + 1, len(alpha) + 1))
+        for e, (a, b) in enumerate(zip(edges, edges[1:], strict=False), reach + 1):
+            if a < b:
+                w = word[a:b]
+                each = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+                alpha[e, w[each]] = np.logaddexp.reduceat(alpha[start[a:b], w] + weight[a:b], each)
+        ended = np.flatnonzero((lengths > low) & (lengths <= high))
+        out[ended] = alpha[lengths[ended] - low + reach, ended]
+        carried = alpha[len(alpha) - reach - 1 :]
+    return out
+
+
 def word_scores(pieces: Pieces, probability: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log-probability [word, language] of the byte ranges."""
     out = np.zeros((len(starts), probability.shape[1]))
-    for part in _chunks(lengths):
+    short = np.flatnonzero(lengths <= WORD_BYTES)
+    rest = [np.flatnonzero(lengths > WORD_BYTES)]
+    for part in _chunks(lengths[short]):
+        part = short[part]
         cells = _cells(data, starts[part], lengths[part])
         word, start, end, piece = pieces.matches(cells, lengths[part])
         alpha = _forward(word, start, end, probability[piece], cells.shape[0], len(part))
-        out[part] = np.log(np.maximum(alpha[lengths[part], np.arange(len(part))], 1e-300))
+        whole = alpha[lengths[part], np.arange(len(part))]
+        tiny = (whole < 1e-290).any(axis=1)  # near the least number
+        rest.append(part[tiny])
+        out[part] = np.log(np.where(tiny[:, None], 1.0, whole))
+    long = np.concatenate(rest)
+    with np.errstate(divide="ignore"):
+        logs = np.log(probability) if len(long) else None
+    for part in _chunks(lengths[long], LONG_CHUNK):
+        part = long[part]
+        out[part] = _log_forward(pieces, logs, _cells(data, starts[part], lengths[part]), lengths[part])
     return out
 
 
@@ -172,19 +220,24 @@ def _expected(pieces: Pieces, probability: np.ndarray, data, starts, lengths, co
     return total
 
 
-def _texts_as_words(data: np.ndarray, offsets: np.ndarray):
-    """Bytes with a space before every word, and start, length and row offsets of the words (with their space)."""
+def _texts_as_words(data: np.ndarray, offsets: np.ndarray, whole: bool):
+    """Bytes with a space before every word, and start, length and row offsets of the words (with their space).
+
+    Unless they are to be ``whole``, words of ``WORD_BYTES`` and more are cut in parts that begin with a character.
+    """
     starts, ends, words = W.split_words(data, offsets, W.NOT_SPACE)
     lengths = ends - starts
-    if lengths.max(initial=0) >= WORD_BYTES:
+    lead = np.ones(len(starts), bool)
+    if not whole and lengths.max(initial=0) >= WORD_BYTES:
         parts = -(-lengths // (WORD_BYTES - 1))
         owner, inside = W.spans(parts)
         at = starts[owner] + inside * (WORD_BYTES - 1)
+        for _ in range(3):  # a character has at most three bytes behind its first one
+            at -= (inside > 0) & ((data[at] & 0xC0) == 0x80)
         words = np.concatenate([[0], np.cumsum(parts)])[words]
-        starts, lengths = at, np.minimum(ends[owner] - at, WORD_BYTES - 1)
+        last = np.append(inside[1:] == 0, True)
+        starts, lengths = at, np.where(last, ends[owner], np.append(at[1:], 0)) - at
         lead = inside == 0
-    else:
-        lead = np.ones(len(starts), bool)
     sizes = lengths + lead
     begin = np.cumsum(sizes) - sizes
     out = np.full(int(sizes.sum()), 0x20, np.uint8)
@@ -192,9 +245,9 @@ def _texts_as_words(data: np.ndarray, offsets: np.ndarray):
     return out, begin, sizes, words
 
 
-def _distinct(data, offsets):
+def _distinct(data, offsets, whole: bool):
     """Distinct words of the texts: their bytes' starts and lengths, fingerprints, and the index of every word's own."""
-    out, begin, sizes, words = _texts_as_words(data, offsets)
+    out, begin, sizes, words = _texts_as_words(data, offsets, whole)
     codes = W.fingerprints(out, begin, begin + sizes)
     unique, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
     return out, begin[first], sizes[first], unique, inverse, words
@@ -218,7 +271,7 @@ def _labelled_words(docs: DataFrame, langs: list[str]) -> DataFrame:
             data, offsets = W.text_bytes(batch.column(1))
             for a, b in W.row_slices(offsets):
                 raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                out, starts, lengths, _, inverse, words = _distinct(raw, bounds)
+                out, starts, lengths, _, inverse, words = _distinct(raw, bounds, False)
                 pairs, n = np.unique(inverse * len(langs) + np.repeat(of[a:b], np.diff(words)), return_counts=True)
                 for i in range(0, len(pairs), EMIT_WORDS):
                     at, lang = np.divmod(pairs[i : i + EMIT_WORDS], len(langs))
@@ -226,7 +279,7 @@ def _labelled_words(docs: DataFrame, langs: list[str]) -> DataFrame:
                     columns = [pa.array(word, pa.binary()), pa.array(lang, pa.int64()), pa.array(n[i : i + EMIT_WORDS], pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["word", "lang", "n"])
 
-    found = docs.select("lang", "text").mapInArrow(run, "word binary, lang bigint, n bigint")
+    found = docs.select("lang", "text").mapInArrow(W.tidy(run), "word binary, lang bigint, n bigint")
     found = found.groupBy("word", "lang").agg(F.sum("n").alias("n"))
     return found.groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("uses"))
 
@@ -252,7 +305,7 @@ def _expected_of(words: DataFrame, model: Model, unit: float) -> np.ndarray:
             p, k = piece[i : i + EMIT_WORDS], lang[i : i + EMIT_WORDS]
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(k), pa.array(total[p, k])], names=["piece", "lang", "uses"])
 
-    sums = words.mapInArrow(run, "piece bigint, lang bigint, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toArrow()
+    sums = words.mapInArrow(W.tidy(run), "piece bigint, lang bigint, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toArrow()
     shared.destroy()
     out = np.zeros_like(model.probability)
     out[sums.column("piece").to_numpy(), sums.column("lang").to_numpy()] = sums.column("uses").to_numpy()
@@ -320,7 +373,7 @@ class Scorer:
             if not k:
                 break
             raw, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            out, starts, lengths, codes, inverse, words = _distinct(raw, bounds)
+            out, starts, lengths, codes, inverse, words = _distinct(raw, bounds, True)
             scores = self._lookup(codes, out, starts, lengths)
             row = np.repeat(np.arange(b - a), np.diff(words))
             total = np.stack([np.bincount(row, weights=scores[inverse, j], minlength=b - a) for j in range(k)], axis=1)
@@ -349,7 +402,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             best, score = scorer(batch.column(2))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], names.take(pa.array(best % len(names))), pa.array(score)], names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(W.tidy(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: Model, reject_below: float = REJECT_BELOW) -> DataFrame:
@@ -363,7 +416,7 @@ def keep_identified(docs: DataFrame, model: Model, reject_below: float = REJECT_
             best, score = scorer(batch.column(place))
             yield batch.filter(pa.array((best >= 0) & (score >= reject_below)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(W.tidy(run), docs.schema)
 
 
 def op6_marginal_language_id(spark, sf_dir):

@@ -94,7 +94,7 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
                 kept.append(values[:k].copy())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), _lists(kept)], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(W.tidy(run), schema)
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             members = pa.array([values.tobytes() for values in shingle_sets(batch.column(1))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), members], names=schema.names)
 
-    return wanted.mapInArrow(run, schema)
+    return wanted.mapInArrow(W.tidy(run), schema)
 
 
 def _may_reach(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
@@ -143,7 +143,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num:
 
     with_a = near.join(sets.select(F.col("id").alias("a"), F.col("members").alias("members_a")), "a")
     full = with_a.join(sets.select(F.col("id").alias("b"), F.col("members").alias("members_b")), "b")
-    return staged(full.select("a", "b", "members_a", "members_b").mapInArrow(run, near.schema), "links")
+    return staged(full.select("a", "b", "members_a", "members_b").mapInArrow(W.tidy(run), near.schema), "links")
 
 
 def _pivot_pairs(listed: DataFrame) -> DataFrame:
@@ -210,7 +210,7 @@ def _open_families(families: DataFrame, labels: DataFrame, nodes: DataFrame, doc
                 common.append(len(x) - len(own[-1]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(common, pa.int64()), _lists(own)], names=schema.names)
 
-    return staged(both.mapInArrow(run, schema), "family-values")
+    return staged(both.mapInArrow(W.tidy(run), schema), "family-values")
 
 
 def _family_pairs(opened: DataFrame, num: int, den: int) -> DataFrame:

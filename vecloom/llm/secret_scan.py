@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -311,8 +313,9 @@ def _join(spans: list[tuple[int, int, int]]) -> str:
 
 def _scan_text(raw: bytes, base: list, extra: list[tuple[int, int]]) -> tuple[list, list]:
     """Base spans and all spans, in code points."""
-    ends = sorted((a, b) for a, b, *_ in base)
-    added = [(a, b, 3) for a, b in extra if not any(x < b and a < y for x, y in ends)]
+    starts = sorted((a, b) for a, b, *_ in base)
+    reach = [0, *accumulate((b for _, b in starts), max)]  # the furthest end of the first spans
+    added = [(a, b, 3) for a, b in extra if reach[bisect_left(starts, (b,))] <= a]
     every = sorted([(a, b, kind) for a, b, kind, _ in base] + added, key=lambda s: (s[0], s[2]))
     code_point = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
     every = [(int(code_point[a]), int(code_point[b]), kind) for a, b, kind in every]

@@ -6,7 +6,8 @@ never have to be decoded. A word's identity is a 64-bit fingerprint that is neve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,27 @@ def _powers(base: int, n: int) -> np.ndarray:
         step = np.full(size, base, dtype=np.uint64)
         step[0] = 1
         known = _POWERS[base] = np.cumprod(step, dtype=np.uint64)
-        if size > 8 * SLICE_BYTES:  # one very long text; not kept for the rest of the worker's life
+        if size > 2 * SLICE_BYTES:  # one very long text; not kept for the rest of the worker's life
             del _POWERS[base]
     return known
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` over a task's batches, returning freed memory to the system in the end. Workers serve many tasks, and what
+    an earlier one has left would count beside what the next one needs."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all rows and the n + 1 offsets into them; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):
