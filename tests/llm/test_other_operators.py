@@ -1,6 +1,7 @@
 """Language identification, secrets, WARC, search and token records against brute force or round trips."""
 
 import hashlib
+import json
 import re
 import time
 import zlib
@@ -329,6 +330,77 @@ def test_encoder_forgets_without_harm(monkeypatch):
         assert [x.tolist() for x in encoder(pa.array(texts))] == [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.characters = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.characters += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_of_letters_skip_normalizer_and_patterns():
+    encoder = token_records.Encoder(token_records.default_tokenizer())
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    texts = ["Größe ŞİİR Şehir ёлка ÀÉÎ æœ ŉ ÿ Ÿ word, Don't", None, "x" * 300 + " Ça", "漢字 a1 ́ é é"]
+    want = [x.ids for x in encoder.tokenizer.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(pa.array(texts))] == want
+    encoder.tokenizer.characters = 0
+    plain = ["Größe Şehir ёлка", "ÀÉÎ longer words THAN before " + " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600))]
+    want = [x.ids for x in encoder.tokenizer.tokenizer.encode_batch(plain, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(pa.array(plain))] == want
+    assert encoder.tokenizer.characters == 0
+
+
+def test_letters_are_single_words_in_lower_case():
+    """Every letter claimed, alone and beside every other, is encoded as in a whole text."""
+    encoder = token_records.Encoder(token_records.default_tokenizer())
+    letters = [chr(c) for c in range(0x500) if token_records.LETTERS.fullmatch(chr(c))]
+    assert len(letters) > 250 and not {"İ", "×", "÷", "ª", "º", "Σ"} & set(letters)
+    texts = [" ".join(a + b for b in letters) for a in letters] + letters
+    want = [x.ids for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder(pa.array(texts))] == want
+
+
+def test_common_runs_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(token_records, "CACHE_RUNS", 100)
+    encoder = token_records.Encoder(token_records.default_tokenizer())
+    given, encode = [], encoder._encode_some
+    encoder._encode_some = lambda runs: given.extend(runs) or encode(runs)
+    for k in range(20):
+        text = "the common words " + " ".join(f"r{k}x{i}" for i in range(30))
+        assert [x.tolist() for x in encoder(pa.array([text]))] == [encoder.tokenizer.encode(text, add_special_tokens=False).ids]
+        assert len(encoder.codes) <= 100
+    assert [given.count(w) for w in (b"the", b"common", b"words")] == [1, 1, 1]
+    monkeypatch.setattr(token_records, "CACHE_IDS", 500)
+    for k in range(5):
+        text = " ".join(["the", "common", "words", *("漢字" * 90 + f"{k}x{i}" for i in range(3)), "words"])
+        assert [x.tolist() for x in encoder(pa.array([text]))] == [encoder.tokenizer.encode(text, add_special_tokens=False).ids]
+        assert len(encoder.ids) <= 500
+    assert [given.count(w) for w in (b"the", b"common", b"words")] == [1, 1, 1]
+
+
+def test_models_without_marks_or_with_other_tokens_get_whole_runs(tmp_path):
+    with open(token_records.default_tokenizer()) as file:
+        settings = json.load(file)
+    assert token_records.Encoder(token_records.default_tokenizer()).plain
+    settings["added_tokens"].append({**settings["added_tokens"][-1], "id": 49408, "content": "ell"})
+    path = str(tmp_path / "added.json")
+    with open(path, "w") as file:
+        json.dump(settings, file)
+    encoder = token_records.Encoder(path)
+    assert encoder.by_runs and encoder.plain is None
+    texts = ["hello Hello yellow", "ell"]
+    assert [x.tolist() for x in encoder(pa.array(texts))] == [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    settings["model"]["end_of_word_suffix"] = None
+    assert token_records.words_at_once(encoder.tokenizer, {**settings, "added_tokens": []}) is None
+
+
 # ---- pipeline ----
 def test_pipeline_stages(spark, tmp_path):
     sf = f"{TESTDATA}/sf0.001"

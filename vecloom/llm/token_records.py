@@ -12,7 +12,10 @@ documents before it), n_tokens and the CRC-32 of the ids; a shuffled reader need
 
 With a tokenizer that cuts texts into words as ``WORDS`` says, no token holds white space or spans the end of a word and a
 sign, so each distinct run is encoded once per worker and the ids of a text are those of its runs. Capitals are only lowered in runs
-of pure ASCII, as others are composed before they are lowered. With any other tokenizer whole texts are encoded. Tests compare both.
+of pure ASCII, as others are composed before they are lowered. Runs of nothing but ``LETTERS`` are one word that composing
+leaves as it is; they go to the tokenizer's model as such, without its normalizer and its patterns, which take longer than the model.
+Where the memory of runs is full, those met in the fewest slices of text are forgotten. With any other tokenizer whole texts are encoded.
+Tests compare both.
 
 Defined results: a null text is the empty text (its record holds the end id only); rows without doc_id come first; rows
 that share a doc_id are ordered by a hash of the text; further columns are ignored.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,12 +43,22 @@ from vecloom.session import new_folder
 END_ID = 2
 FILE_BYTES = 16 << 20
 CACHE_RUNS = 200_000
+CACHE_IDS = 4 << 20
+#: What is left of both when one has become too large.
+KEPT = 0.75
 RUNS_AT_ONCE = 2000
 OUT_BYTES = 1 << 20
 SEPARATOR = "<|startoftext|>"
 TEXTS_AT_ONCE = 64
 #: Fixed value: the words of tokenizers whose texts may be cut into runs.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Latin and Cyrillic letters that are composed, and lowered to one letter of the same kind wherever they stand.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u045f]+")
+WORD_END = "</w>"
+#: The characters that stand for the bytes of letters in the vocabularies of byte-level models, and the space.
+_BYTE_LEVEL = np.arange(256, dtype="<u4")
+_BYTE_LEVEL[0x80:0xA1] += 0x122 - 0x80
+_BYTE_LEVEL[0xAD] = 0x143
 _SIGN = np.zeros(256, bool)
 _SIGN[0x21:0x30] = _SIGN[0x3A:0x41] = _SIGN[0x5B:0x61] = _SIGN[0x7B:0x7F] = True
 _LETTER = W.ALNUM & (np.arange(256) < 0x80)
@@ -100,6 +114,32 @@ def cuts_into_words(settings: dict) -> bool:
     )
 
 
+def byte_level(data: bytes) -> str:
+    return _BYTE_LEVEL[np.frombuffer(data, np.uint8)].tobytes().decode("utf-32-le")
+
+
+def words_at_once(tokenizer, settings: dict):
+    """A tokenizer with the model of the given one that takes words of ``LETTERS``, in lower case and as byte-level characters, with spaces
+    between them, and which of its ids end a word; None if the model does not mark the ends of all such words, or a special token might
+    stand in one."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    vocabulary = settings["model"].get("vocab") or {}
+    letters = byte_level(bytes([*range(0x61, 0x7B), *range(0x80, 0x100)]))
+    if (
+        settings["model"].get("type") != "BPE"
+        or settings["model"].get("end_of_word_suffix") != WORD_END
+        or not all(c in vocabulary and c + WORD_END in vocabulary for c in letters)
+        or not all(x["content"].startswith("<|") for x in settings.get("added_tokens") or [])
+    ):
+        return None
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    plain = Tokenizer(tokenizer.model)
+    plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    return plain, ends
+
+
 class Encoder:
     """Encodes texts run by run, with a bounded memory of runs seen before, or whole where runs are not shown to be enough."""
 
@@ -109,17 +149,48 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, "rb") as file:
-            self.by_runs = cuts_into_words(json.load(file))
+            settings = json.load(file)
+        self.by_runs = cuts_into_words(settings)
+        self.plain = words_at_once(self.tokenizer, settings) if self.by_runs else None
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.gap = SEPARATOR if self.tokenizer.token_to_id(SEPARATOR) is not None else None
         self._forget()
 
     def _forget(self) -> None:
         self.codes, self.lengths, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+        self.met = np.zeros(0, np.int32)
 
     def _encode_some(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids. Runs are joined by a special token, at which the tokenizer starts afresh."""
+        """Lengths and ids."""
         texts = [r.decode("utf-8", "replace") for r in runs]
+        if self.plain is None:
+            return self._encode_any(texts)
+        plain = np.fromiter((LETTERS.fullmatch(t) is not None for t in texts), bool, len(texts))
+        if plain.all():
+            return self._encode_words(texts)
+        words = self._encode_words([t for t, p in zip(texts, plain, strict=True) if p])
+        others = self._encode_any([t for t, p in zip(texts, plain, strict=True) if not p])
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[plain], sizes[~plain] = words[0], others[0]
+        of_words = np.repeat(plain, sizes)
+        ids = np.zeros(len(of_words), self.kind)
+        ids[of_words], ids[~of_words] = words[1], others[1]
+        return sizes, ids
+
+    def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of words of ``LETTERS``. The model marks where each of them ends."""
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(0, self.kind)
+        tokenizer, ends = self.plain
+        line = byte_level(" ".join(texts).lower().encode())
+        ids = np.array(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, self.kind)
+        sizes = np.diff(np.flatnonzero(ends[ids]), prepend=-1)
+        if len(sizes) != len(texts):
+            raise ValueError(f"{len(texts)} words, {len(sizes)} ends")
+        return sizes, ids
+
+    def _encode_any(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of any runs. They are joined by a special token, at which the tokenizer starts afresh."""
         if self.gap is None or any("<|" in t for t in texts):
             ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter((i for x in ids for i in x), self.kind)
@@ -129,7 +200,11 @@ class Encoder:
 
     def _known(self, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """Length and place in the returned ids of the distinct runs with the given sorted fingerprints."""
-        fresh = ~np.isin(codes, self.codes, assume_unique=True)
+        place = np.searchsorted(self.codes, codes)
+        fresh = np.ones(len(codes), bool)
+        within = place < len(self.codes)
+        fresh[within] = self.codes[place[within]] != codes[within]
+        self.met[place[~fresh]] += 1
         raw = data.tobytes()
         runs = [raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)]
         parts = [self._encode_some(runs[i : i + RUNS_AT_ONCE]) for i in range(0, len(runs), RUNS_AT_ONCE)]
@@ -139,11 +214,16 @@ class Encoder:
         order = np.argsort(merged, kind="stable")
         every = np.concatenate([self.ids, *(p[1] for p in parts)])
         wanted = order[np.searchsorted(merged[order], codes)]
-        if len(order) <= CACHE_RUNS:
-            self.codes, self.lengths = merged[order], sizes[order]
-            self.ids = every[W.ranges(begin[order], sizes[order])]
-        else:
-            self._forget()
+        met = np.concatenate([self.met, np.ones(len(runs), np.int32)])
+        if len(order) > CACHE_RUNS or len(every) > CACHE_IDS:
+            latest = np.zeros(len(order), np.int32)
+            latest[wanted] = 1
+            best = np.argsort(-(2 * met + latest)[order], kind="stable")[: int(KEPT * CACHE_RUNS)]
+            best = best[np.cumsum(sizes[order][best]) <= KEPT * CACHE_IDS]
+            order = order[np.sort(best)]
+            met //= 2
+        self.codes, self.lengths, self.met = merged[order], sizes[order], met[order]
+        self.ids = every[W.ranges(begin[order], sizes[order])]
         return sizes[wanted], begin[wanted], every
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
